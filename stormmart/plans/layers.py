@@ -29,13 +29,14 @@ def dedupe(rows: DataFrame, key: str = ROW_HASH) -> DataFrame:
     return first_per_key(rows, key, [DATE_LOADED, FILENAME])
 
 
-def clean(staged: DataFrame, clean_target: DataFrame | None = None) -> DataFrame:
+def clean(staged: DataFrame, clean_target: DataFrame | None = None,
+          key: str = ROW_HASH) -> DataFrame:
     """New clean rows for this run: incremental filter, then first row per hash.
 
     Merging the result into the stored clean table (newer load replaces an
     older row with the same hash) is ``sinks.tables.upsert_table``.
     """
-    return dedupe(latest_batch(staged, clean_target))
+    return dedupe(latest_batch(staged, clean_target), key)
 
 
 def damage_columns(df: DataFrame, text_col: str = "damage_property") -> DataFrame:
