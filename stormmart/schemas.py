@@ -123,7 +123,7 @@ def log_schema() -> T.StructType:
         [
             T.StructField(FILENAME, T.StringType(), True),
             T.StructField("date_loaded", T.TimestampType(), True),
-            T.StructField("batch_id", T.LongType(), True),
+            T.StructField("batch_id", T.StringType(), True),
         ]
     )
 

@@ -25,10 +25,10 @@ def csv_options(multi_line: bool = True) -> dict[str, str]:
     }
 
 
-def read_landing(spark: SparkSession, path: str, schema: StructType | None = None,
+def read_landing(spark: SparkSession, path: str | list[str], schema: StructType | None = None,
                  glob: str = CSV_GLOB, multi_line: bool = True,
                  partitions: int | None = None) -> DataFrame:
-    """Scan the CSV files of a folder as text columns plus ``__filename``.
+    """Scan the CSV files of a folder (or a list of files) as text + ``__filename``.
 
     The schema is given, never inferred: a header line repeated inside a file
     stays recognisable as text. A ``.gz`` file (and any file read with
