@@ -7,12 +7,14 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stormmart.operators import quality as dq
 from stormmart.operators.cleaning import prepare_raw
 from stormmart.plans.layers import clean, stage
-from stormmart.schemas import FILENAME, text_length_limits
+from stormmart.schemas import FILENAME, ROW_HASH, text_length_limits
 from stormmart.sinks.tables import (
+    BATCH,
     ensure_raw_tables,
     log_rows,
     path_exists,
@@ -57,18 +59,21 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     try:
         results = dq.run_suite(rows, suite or default_suite())
         checked = dq.gate(results)
-        if layout.results_table:
-            save_results(spark.createDataFrame(checked, results.schema), layout.results_table, batch)
         write_batch(rows, layout.raw_table, batch)
-        write_batch(log_rows(rows, batch), layout.log_table, batch)
-        if layout.clean_path:
-            target = (read_upsert_table(spark, layout.clean_path)
-                      if path_exists(spark, layout.clean_path) else None)
-            new_rows = clean(stage(rows), target)
-            upsert_table(spark, new_rows, layout.clean_path, "__row_hash", layout.n_buckets)
-        return checked
     finally:
         rows.unpersist()
+    if layout.results_table:
+        save_results(spark.createDataFrame(checked, results.schema), layout.results_table, batch)
+    # Later steps read the batch partition just written: the lineage stops at
+    # a stored table, and the log records exactly the files that landed.
+    written = spark.table(layout.raw_table).filter(F.col(BATCH) == batch).drop(BATCH)
+    write_batch(log_rows(written, batch), layout.log_table, batch)
+    if layout.clean_path:
+        target = (read_upsert_table(spark, layout.clean_path)
+                  if path_exists(spark, layout.clean_path) else None)
+        new_rows = clean(stage(written), target)
+        upsert_table(spark, new_rows, layout.clean_path, ROW_HASH, layout.n_buckets)
+    return checked
 
 
 def files_to_load(spark: SparkSession, landing_dir: str, layout: Layout) -> DataFrame:

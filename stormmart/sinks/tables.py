@@ -68,11 +68,22 @@ def ensure_raw_tables(spark: SparkSession, raw: str, log: str) -> None:
 
 
 def write_batch(df: DataFrame, table: str, batch: str) -> None:
-    """Write ``df`` as partition ``__batch=batch`` of ``table`` (replaces a replay)."""
-    cols = [f.name for f in df.sparkSession.table(table).schema.fields]
-    out = df.withColumn(BATCH, F.lit(batch)).select(*cols)
-    (out.write.option("partitionOverwriteMode", "dynamic")
-     .insertInto(table, overwrite=True))
+    """Write ``df`` as partition ``__batch=batch`` of ``table`` (replaces a replay).
+
+    ``INSERT OVERWRITE ... PARTITION (__batch = '<batch>')`` names the one
+    partition it replaces; every other batch stays untouched.
+    """
+    spark = df.sparkSession
+    cols = [f.name for f in spark.table(table).schema.fields if f.name != BATCH]
+    view = f"__stormmart_batch_{uuid.uuid4().hex}"
+    df.select(*cols).createOrReplaceTempView(view)
+    try:
+        quoted = batch.replace("'", "''")
+        col_list = ", ".join(f"`{c}`" for c in cols)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{quoted}') "
+                  f"SELECT {col_list} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def log_rows(batch_rows: DataFrame, batch_id: str | None) -> DataFrame:
@@ -132,6 +143,9 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
     2. those buckets: stored rows minus replaced keys, plus the batch rows of
        the bucket -> staging folder -> dynamic overwrite of just those buckets;
     3. batch rows of the other buckets: append.
+    The batch is first written to a staging folder under the shared checkpoint
+    folder: it may be derived from the stored table (incremental filter), and
+    must not change while that table is rewritten.
     Every step is safe to replay: a replay finds its own rows as replaced keys.
     """
     keys = _cols(key)
@@ -141,6 +155,9 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
         return []
     stored = spark.read.parquet(path)
     check_schema(batch, stored.schema, ignore=(BUCKET,))
+    staging_root = shared_path(spark, "upsert-staging", uuid.uuid4().hex)
+    staged.write.parquet(f"{staging_root}/batch")
+    staged = spark.read.parquet(f"{staging_root}/batch")
     hits = (stored.select(BUCKET, *keys)
             .join(staged.select(BUCKET, *keys), on=[BUCKET, *keys], how="left_semi")
             .select(BUCKET).distinct())
@@ -151,7 +168,7 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
         kept = stored.filter(in_touched).join(
             batch_part.select(BUCKET, *keys).distinct(), on=[BUCKET, *keys], how="left_anti")
         rewritten = kept.unionByName(batch_part.select(*stored.columns))
-        staging = shared_path(spark, "upsert-staging", uuid.uuid4().hex)
+        staging = f"{staging_root}/rewrite"
         rewritten.write.partitionBy(BUCKET).parquet(staging)
         (spark.read.parquet(staging).select(*stored.columns).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
