@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stormmart.functions.hashing import row_hash
 
+_UNORDERABLE = (T.MapType, T.VariantType) if hasattr(T, "VariantType") else (T.MapType,)
+
 
 def _cols(names) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -31,12 +34,13 @@ def first_per_key(
     ``row_number() over (partition by keys order by ...) = 1``: Spark plans a
     partial ``WindowGroupLimit`` before the shuffle, so every map task sends at
     most one row per key and a hot key cannot pile up in one reducer.
-    Ties are broken by ``tie_breakers`` (default: a hash over all columns), so
-    the kept row does not depend on task order.
+    Ties are broken by ``tie_breakers`` (default: every other column, plus a
+    hash of the columns that have no ordering), so the kept row does not
+    depend on task order.
     """
     keys = _cols(keys)
     if tie_breakers is None:
-        tie_breakers = [row_hash(*df.columns)]
+        tie_breakers = default_tie_breakers(df, keys, order_by)
     order = [F.col(c) if isinstance(c, str) else c for c in [*order_by, *tie_breakers]]
     w = Window.partitionBy(*keys).orderBy(*order)
     return (
@@ -46,6 +50,27 @@ def first_per_key(
     )
 
 
+def _orderable(dt: T.DataType) -> bool:
+    if isinstance(dt, _UNORDERABLE):
+        return False
+    if isinstance(dt, T.ArrayType):
+        return _orderable(dt.elementType)
+    if isinstance(dt, T.StructType):
+        return all(_orderable(f.dataType) for f in dt.fields)
+    return True
+
+
+def default_tie_breakers(df: DataFrame, keys: Sequence[str],
+                         order_by: Sequence[str | Column]) -> list[Column]:
+    used = set(keys) | {c for c in order_by if isinstance(c, str)}
+    rest = [f for f in df.schema.fields if f.name not in used]
+    ties: list[Column] = [F.col(f.name) for f in rest if _orderable(f.dataType)]
+    unordered = [f.name for f in rest if not _orderable(f.dataType)]
+    if unordered:
+        ties.append(row_hash(*[F.to_json(F.col(c)) for c in unordered]))
+    return ties
+
+
 def above_max(batch: DataFrame, target: DataFrame | None, column: str) -> DataFrame:
     """Rows of ``batch`` strictly newer than ``max(target.column)``.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stormmart.operators import quality as dq
 from stormmart.operators.cleaning import prepare_raw
-from stormmart.plans.layers import clean, stage
+from stormmart.plans.layers import clean
 from stormmart.schemas import FILENAME, ROW_HASH, text_length_limits
 from stormmart.sinks.tables import (
     BATCH,
@@ -71,7 +71,7 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     if layout.clean_path:
         target = (read_upsert_table(spark, layout.clean_path)
                   if path_exists(spark, layout.clean_path) else None)
-        new_rows = clean(stage(written), target)
+        new_rows = clean(written, target)
         upsert_table(spark, new_rows, layout.clean_path, ROW_HASH, layout.n_buckets)
     return checked
 

@@ -29,14 +29,17 @@ def dedupe(rows: DataFrame, key: str = ROW_HASH) -> DataFrame:
     return first_per_key(rows, key, [DATE_LOADED, FILENAME])
 
 
-def clean(staged: DataFrame, clean_target: DataFrame | None = None,
+def clean(rows: DataFrame, clean_target: DataFrame | None = None,
           key: str = ROW_HASH) -> DataFrame:
-    """New clean rows for this run: incremental filter, then first row per hash.
+    """New clean rows for this run: incremental filter, then first row per key.
 
-    Merging the result into the stored clean table (newer load replaces an
-    older row with the same hash) is ``sinks.tables.upsert_table``.
+    ``rows`` may be the raw table or the staging view: the staging DISTINCT
+    cannot change which row is first per key, so it is not run again here
+    (one shuffle instead of two). Merging the result into the stored clean
+    table (newer load replaces an older row with the same key) is
+    ``sinks.tables.upsert_table``.
     """
-    return dedupe(latest_batch(staged, clean_target), key)
+    return dedupe(latest_batch(rows, clean_target), key)
 
 
 def damage_columns(df: DataFrame, text_col: str = "damage_property") -> DataFrame:

@@ -303,7 +303,7 @@ def orders_two_loads(orders: DataFrame) -> DataFrame:
 def q21_clean_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging + clean on an empty target: earliest load per key wins."""
     raw = orders_two_loads(parquet_table(spark, sf_dir, "orders"))
-    return clean(stage(raw), None, key="o_orderkey")
+    return clean(raw, None, key="o_orderkey")
 
 
 def q22_clean_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +313,7 @@ def q22_clean_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = first_per_key(
         raw.filter(F.col(DATE_LOADED) == F.lit(FIRST_LOAD_AT).cast("timestamp_ntz")),
         "o_orderkey", [DATE_LOADED, FILENAME])
-    new_rows = clean(stage(raw), target, key="o_orderkey")
+    new_rows = clean(raw, target, key="o_orderkey")
     return upsert_frames(target, new_rows, "o_orderkey")
 
 
