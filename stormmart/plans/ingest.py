@@ -57,6 +57,8 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     rows = rows.join(loaded_files(spark.table(layout.log_table)), on=FILENAME, how="left_anti")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if rows.isEmpty():          # every file already loaded: nothing to do
+            return []
         results = dq.run_suite(rows, suite or default_suite())
         checked = dq.gate(results)
         write_batch(rows, layout.raw_table, batch)

@@ -137,9 +137,9 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
     """Delete stored rows whose key is in ``batch``, insert ``batch``.
 
     Returns the rewritten buckets. Steps:
-    1. semi join of the stored keys (only the key column is read; dynamic
-       partition pruning limits it to the batch's buckets) with the batch keys
-       -> the buckets holding a replaced key (at most ``n_buckets`` ints);
+    1. semi join of the stored keys (only the key column of the batch's
+       buckets is read) with the batch keys -> the buckets holding a replaced
+       key (at most ``n_buckets`` ints);
     2. those buckets: stored rows minus replaced keys, plus the batch rows of
        the bucket -> staging folder -> dynamic overwrite of just those buckets;
     3. batch rows of the other buckets: append.
@@ -158,7 +158,11 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
     staging_root = shared_path(spark, "upsert-staging", uuid.uuid4().hex)
     staged.write.parquet(f"{staging_root}/batch")
     staged = spark.read.parquet(f"{staging_root}/batch")
-    hits = (stored.select(BUCKET, *keys)
+    # Buckets of the batch (at most n_buckets ints): the stored key scan is
+    # pruned to those partition folders; the semi join then finds the buckets
+    # that really hold a replaced key.
+    batch_buckets = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
+    hits = (stored.filter(F.col(BUCKET).isin(batch_buckets)).select(BUCKET, *keys)
             .join(staged.select(BUCKET, *keys), on=[BUCKET, *keys], how="left_semi")
             .select(BUCKET).distinct())
     touched = sorted(r[0] for r in hits.collect())

@@ -24,17 +24,21 @@ def anchor_text(inner: Column) -> Column:
 
 
 def extract_links(pages: DataFrame, token: str | None, html_col: str = "html",
-                  id_col: str = "page_id") -> DataFrame:
+                  id_col: str = "page_id", max_anchors: int | None = None) -> DataFrame:
     """One row per matching link: (id, link_pos, link_text).
 
     Runs per page inside the scan task (no shuffle); ``link_pos`` is the 0-based
     position among all anchors of the page, ``link_text`` is stripped.
+    ``max_anchors`` looks at only the first n anchors of each page (the
+    parser's ``limit``), before the token test.
     """
     links = pages.select(
         id_col,
         F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR), F.lit(1)))
         .alias("link_pos", "inner"),
     ).withColumn("raw_text", anchor_text(F.col("inner")))
+    if max_anchors is not None:
+        links = links.filter(F.col("link_pos") < max_anchors)
     if token is not None:
         links = links.filter(F.col("raw_text").contains(token))
     return links.select(id_col, "link_pos", strip_whitespace("raw_text").alias("link_text"))

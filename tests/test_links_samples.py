@@ -22,6 +22,7 @@ def test_extract_links_nested_tags_case_and_token(spark):
         (3, "details-ftp & more"),
     ]
     assert count_links(extract_links(pages, "details-ftp")).first().num_links == 3
+    assert [r.link_pos for r in extract_links(pages, "details-ftp", max_anchors=2).collect()] == [0, 1]
 
 
 def test_json_totals_line(spark):
