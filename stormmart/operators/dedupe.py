@@ -86,8 +86,18 @@ def above_max(batch: DataFrame, target: DataFrame | None, column: str) -> DataFr
 def upsert_frames(target: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Delete target rows whose key is in the batch, then insert the batch.
 
-    Anti join + union by name. Null keys never match, so such target rows stay.
+    Anti join + union by name. Null keys never match, so such target rows stay;
+    they bypass the join (all nulls would hash to one join partition).
     """
     keys = _cols(key)
-    kept = target.join(batch.select(*keys).distinct(), on=keys, how="left_anti")
-    return kept.unionByName(batch)
+    return anti_by_key(target, batch.select(*keys), keys).unionByName(batch)
+
+
+def anti_by_key(rows: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``keys_df``; rows with a null key part are kept
+    without entering the join."""
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    matched = rows.filter(present).join(keys_df.select(*keys).distinct(), on=list(keys), how="left_anti")
+    return matched.unionByName(rows.filter(~present))

@@ -10,6 +10,28 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+# Settings meant for a large cluster (100 TB inputs): AQE sizes shuffle
+# partitions from measured map output, splits skewed join partitions, and
+# runtime bloom filters prune the big side of selective joins.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set the cluster settings above (runtime SQL settings only)."""
+    for k, v in {**SCALE_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "stormmart") -> SparkSession:
     """Session for local runs. On a cluster, use the cluster's own session."""

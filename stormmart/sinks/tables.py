@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stormmart.operators.dedupe import anti_by_key
 from stormmart.schemas import FILENAME, log_schema, raw_table_schema
 from stormmart.session import shared_path
 
@@ -169,8 +170,8 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
     if touched:
         in_touched = F.col(BUCKET).isin(touched)
         batch_part = staged.filter(in_touched)
-        kept = stored.filter(in_touched).join(
-            batch_part.select(BUCKET, *keys).distinct(), on=[BUCKET, *keys], how="left_anti")
+        kept = anti_by_key(stored.filter(in_touched), batch_part.select(BUCKET, *keys),
+                           [BUCKET, *keys])
         rewritten = kept.unionByName(batch_part.select(*stored.columns))
         staging = f"{staging_root}/rewrite"
         rewritten.write.partitionBy(BUCKET).parquet(staging)
