@@ -71,14 +71,25 @@ def default_tie_breakers(df: DataFrame, keys: Sequence[str],
     return ties
 
 
-def above_max(batch: DataFrame, target: DataFrame | None, column: str) -> DataFrame:
+def above_max(batch: DataFrame, target: DataFrame | None, column: str,
+              eager: bool = True) -> DataFrame:
     """Rows of ``batch`` strictly newer than ``max(target.column)``.
 
-    The max is a scalar subquery (one small aggregate job, planned by Catalyst).
     An empty or missing target has a null max: then every row is taken.
+    ``eager`` (default) runs the one-value max first and filters with a
+    literal, which parquet can use to skip row groups (and partitions) of old
+    loads; ``eager=False`` keeps it a scalar subquery inside one lazy plan.
     """
     if target is None:
         return batch
+    if eager:
+        # The value travels as Spark's own text form and is cast back to the
+        # column type: exact, and free of Python timezone conversions.
+        dtype = target.schema[column].dataType
+        mx = target.agg(F.max(column).cast("string")).first()[0]
+        if mx is None:
+            return batch
+        return batch.filter(F.col(column) > F.lit(mx).cast(dtype))
     mx = target.select(F.max(column)).scalar()
     return batch.filter(F.coalesce(F.col(column) > mx, mx.isNull()))
 

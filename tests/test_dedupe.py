@@ -23,6 +23,16 @@ def test_above_max_and_empty_target(spark):
     empty = target.filter("t > 100")
     assert above_max(batch, empty, "t").count() == 3
     assert above_max(batch, None, "t").count() == 3
+    assert sorted(r.t for r in above_max(batch, target, "t", eager=False).collect()) == [5]
+    assert above_max(batch, empty, "t", eager=False).count() == 3
+
+
+def test_above_max_literal_reaches_parquet(spark, tmp_dir):
+    spark.range(100).selectExpr("id as t").write.parquet(f"{tmp_dir}/b")
+    batch = spark.read.parquet(f"{tmp_dir}/b")
+    target = spark.createDataFrame([(90,)], "t long")
+    plan = above_max(batch, target, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(t,90)" in plan
 
 
 def test_upsert_frames_replaces_and_keeps_null_keys(spark):
