@@ -1,37 +1,62 @@
-"""Event time text ('28-APR-50 14:45:00') -> TIMESTAMP_NTZ with the right century."""
+"""Event time text ('28-APR-50 14:45:00') -> TIMESTAMP_NTZ with the right century.
+
+The text is split with one regular expression and rebuilt with
+``try_make_timestamp_ntz``: no session time zone is involved (a wall-clock
+time inside a daylight-saving gap stays as written), and impossible dates
+(31-FEB) give null instead of an error.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stormmart.schemas import TIMESTAMP_TEXT_FORMAT
+# --- fixed values: month abbreviations in calendar order, and the two-digit
+# year rule used when no year-month column gives the century (00-69 -> 20xx,
+# 70-99 -> 19xx).
+MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+TWO_DIGIT_PIVOT = 70
+# --- end of fixed values
+
+# dd-MMM-yy HH:mm:ss (day and hour may have one digit)
+TEXT_PATTERN = r"^\s*(\d{1,2})-([A-Za-z]{3})-(\d{2}) (\d{1,2}):(\d{2}):(\d{2})\s*$"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def with_century_of(ts: Column, year: Column) -> Column:
-    """Move ``ts`` into the century of ``year`` keeping its two-digit year.
+def _part(text: Column, i: int) -> Column:
+    return F.regexp_extract(text, TEXT_PATTERN, i)
 
-    A two-digit year parses into 2000-2099; the row's own year-month column
-    tells the real century. Without that year the parsed value is kept.
-    """
-    parsed = F.year(ts)
-    target = year - F.pmod(year, F.lit(100)) + F.pmod(parsed, F.lit(100))
-    shift = F.coalesce(target - parsed, F.lit(0))
-    return F.timestamp_add("YEAR", shift, ts)
+
+def century_year(two_digit: Column, year: Column | None) -> Column:
+    """Four-digit year: century of ``year`` when known, else the pivot rule."""
+    pivot = F.when(two_digit < TWO_DIGIT_PIVOT, two_digit + 2000).otherwise(two_digit + 1900)
+    if year is None:
+        return pivot
+    return F.coalesce(year - F.pmod(year, F.lit(100)) + two_digit, pivot)
 
 
-def parse_event_timestamp(text, yearmonth=None, fmt: str = TIMESTAMP_TEXT_FORMAT) -> Column:
-    """Parse the text (month names in any case); null when it does not parse.
+def parse_event_timestamp(text, yearmonth=None) -> Column:
+    """Parse 'dd-MMM-yy HH:mm:ss' (month name in any case); null if it does not parse.
 
     ``yearmonth`` (YYYYMM as text or int) supplies the century.
     """
-    ts = F.try_to_timestamp(_col(text), F.lit(fmt)).cast("timestamp_ntz")
-    if yearmonth is None:
-        return ts
-    ym = _col(yearmonth).cast("string")
-    year = F.substring(ym, 1, 4).try_cast("int")
-    return with_century_of(ts, year)
+    text = _col(text)
+    matched = text.rlike(TEXT_PATTERN)
+    pos = F.instr(F.lit(MONTHS), F.upper(_part(text, 2)))
+    month = F.when((pos > 0) & (F.pmod(pos, F.lit(3)) == 1), F.floor((pos + 2) / 3).cast("int"))
+    yy = _part(text, 3).try_cast("int")
+    year = None
+    if yearmonth is not None:
+        year = F.substring(_col(yearmonth).cast("string"), 1, 4).try_cast("int")
+    ts = F.try_make_timestamp_ntz(
+        century_year(yy, year),
+        month,
+        _part(text, 1).try_cast("int"),
+        _part(text, 4).try_cast("int"),
+        _part(text, 5).try_cast("int"),
+        _part(text, 6).try_cast("int"),
+    )
+    return F.when(matched, ts)

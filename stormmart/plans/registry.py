@@ -27,7 +27,7 @@ from stormmart.operators.cleaning import (
 from stormmart.operators.dedupe import above_max, first_per_key, upsert_frames
 from stormmart.plans.layers import clean, stage, yearly_damage
 from stormmart.plans.samples import day_activities, first_model, order_totals, second_model
-from stormmart.schemas import DATE_LOADED, FILENAME
+from stormmart.schemas import DATE_LOADED, FILENAME, TIMESTAMP_TEXT_FORMAT
 from stormmart.sources.catalog import missing_files
 from stormmart.sources.links import extract_links
 from stormmart.sources.tables import inline_rows, parquet_table
@@ -249,7 +249,7 @@ def orders_as_landing_rows(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").cast("string").alias('"O_ORDERKEY"'),
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("string").alias("BEGIN_YEARMONTH"),
-        F.upper(F.date_format("o_orderdate", "dd-MMM-yy HH:mm:ss")).alias("BEGIN_DATE_TIME"),
+        F.upper(F.date_format("o_orderdate", TIMESTAMP_TEXT_FORMAT)).alias("BEGIN_DATE_TIME"),
         magnitude.alias("MAGNITUDE"),
         F.when(k == 3, F.lit("null")).otherwise(price_text).alias("TOR_LENGTH"),
         F.when(k == 4, F.lit("N/A")).otherwise(F.col("o_orderstatus")).alias("STATE"),

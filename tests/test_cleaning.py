@@ -43,3 +43,20 @@ def test_hash_keeps_null_positions(spark):
     df = spark.createDataFrame([("a", None, "b"), ("a", "b", None), ("a", "", "b")], "x string, y string, z string")
     hashes = df.select(row_hash("x", "y", "z").alias("h")).distinct().count()
     assert hashes == 3
+
+
+def test_event_timestamp_parse_and_century(spark):
+    from stormmart.functions.timestamps import parse_event_timestamp
+
+    rows = [("28-APR-50 14:45:00", "195004"), ("28-apr-50 14:45:00", None), ("31-FEB-50 00:00:00", "195002"),
+            ("01-Jan-99 1:05:09", "189901"), ("garbage", "195004"), ("10-MAR-24 02:30:00", "202403"),
+            (None, "195004"), ("28-XYZ-50 14:45:00", "195004")]
+    df = spark.createDataFrame(rows, "t string, ym string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [None if r.p is None else str(r.p)
+               for r in df.select(parse_event_timestamp("t", "ym").alias("p")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["1950-04-28 14:45:00", "2050-04-28 14:45:00", None, "1899-01-01 01:05:09",
+                   None, "2024-03-10 02:30:00", None, None]
