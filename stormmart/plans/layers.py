@@ -56,6 +56,22 @@ def damage_columns(df: DataFrame, text_col: str = "damage_property") -> DataFram
     )
 
 
+# Amount text columns of the raw table and the mart column of their totals.
+DAMAGE_TOTALS = {"damage_property": "total_property_damage", "damage_crops": "total_crop_damage"}
+
+
+def yearly_totals(clean_rows: DataFrame, totals: dict[str, str] | None = None) -> DataFrame:
+    """Mart with one total per amount column (property and crop damage by default).
+
+    All columns are parsed in the same projection and summed in one aggregate.
+    """
+    totals = totals or DAMAGE_TOTALS
+    year = F.substring(F.col("begin_yearmonth").cast("string"), 1, 4).alias("event_year")
+    parsed = clean_rows.select(year, "state", *[parse_amount(F.col(c)).alias(c) for c in totals])
+    return parsed.groupBy("event_year", "state").agg(
+        *[F.sum(c).alias(out) for c, out in totals.items()])
+
+
 def yearly_damage(clean_rows: DataFrame, text_col: str = "damage_property") -> DataFrame:
     """Mart: total property damage per (event_year, state).
 
