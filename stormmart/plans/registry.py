@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormmart.functions.amounts import amount_number, amount_unit, parse_amount
-from stormmart.functions.hashing import row_hash
 from stormmart.operators import quality as dq
 from stormmart.operators.cleaning import (
     add_meta_columns,

@@ -41,3 +41,21 @@ def test_stream_each_file_once_batches_and_archive(spark, tmp_dir):
     assert read_upsert_table(spark, layout.clean_path).count() == 16
     archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".gz")]
     assert len(archived) >= 2
+
+
+def test_stream_stops_on_failed_gate_and_writes_nothing(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "bad.csv.gz"), [event_row(1, begin_time=None)])
+    db = "raw_" + uuid.uuid4().hex[:8]
+    layout = Layout(raw_table=f"{db}.disaster_data", log_table=f"{db}.disaster_data_log",
+                    clean_path=os.path.join(tmp_dir, "clean"), results_table=None, n_buckets=4)
+    q = start_ingest(spark, landing, layout, checkpoint=os.path.join(tmp_dir, "ckpt"),
+                     query_name="bad_" + db)
+    with pytest.raises(StreamingQueryException, match="suite failed"):
+        q.awaitTermination(300)
+    spark.catalog.refreshTable(layout.raw_table)
+    assert spark.table(layout.raw_table).count() == 0
+    assert not os.path.exists(layout.clean_path)
