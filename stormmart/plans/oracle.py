@@ -107,6 +107,7 @@ def _links_sql(pages: str, token: str | None, name_col: str = "link_text") -> st
 
 
 _Q01_N, _Q01_U, _Q01_A = _amount_parts("damage_property")
+_Q23_CN, _Q23_CU, _Q23_CA = _amount_parts("damage_crops")
 _Q02_N, _Q02_U, _Q02_A = _amount_parts("amount_text")
 
 _THOUSANDS = "cast(cast(floor(o_totalprice / 1000) as bigint) as varchar)"
@@ -150,6 +151,9 @@ _TWO_LOADS = f"""(
 _CAL_VALUES = ", ".join(f"({_lit(d)}, {_lit(w)}, {_lit(a)})" for d, w, a in
                         __import__("stormmart.operators.lookup", fromlist=["DAY_ACTIVITIES"]).DAY_ACTIVITIES)
 
+_LINKS_TOKEN = _links_sql("pages", R.LINK_TOKEN)
+_LOG_LINKS = _links_sql(f"(select * from pages where starts_with(url, '{R.LOADED_URL_PREFIX}'))", None)
+
 ORACLE: dict[str, str] = {
     "q01_yearly_amount": f"""
 with d as (
@@ -309,4 +313,29 @@ select * from target t where not exists (select 1 from new_rows n where n.o_orde
 union all
 select * from new_rows
 """,
+    "q23_yearly_totals": f"""
+with d as (
+  select o_orderstatus as state,
+         year(o_orderdate) * 100 + month(o_orderdate) as begin_yearmonth,
+         {_THOUSANDS} || (['', 'H', 'k', 'M', 'B', 't'])[(o_orderkey % 6) + 1] as damage_property,
+         cast(o_custkey % 1000 as varchar) || (['', 'K', 'M'])[(o_orderkey % 3) + 1] as damage_crops
+  from orders
+)
+select substr(cast(begin_yearmonth as varchar), 1, 4) as event_year, state,
+       sum({_Q01_A}) as total_property_damage, sum({_Q23_CA}) as total_crop_damage
+from d group by 1, 2
+""",
+    "q24_observed_values": 'select event_type, count(*) as "count" from events group by event_type',
+    "q25_link_counts": f"select page_id, count(*) as num_links from {_LINKS_TOKEN} group by page_id",
+    "q26_loaded_files": f"select distinct link_text as __filename from {_LOG_LINKS}",
+    "q27_day_branches": f"""
+with cal(day_name, is_weekday, activity) as (values {_CAL_VALUES})
+select case when c.is_weekday then 'weekday' else 'weekend' end as branch,
+       case when c.is_weekday then 'weekday_activities' else 'weekend_activities' end
+         || '.' || replace(c.activity, ' ', '_') as task_id,
+       count(*) as n_events
+from events e join cal c on lower(dayname(e.ts)) = c.day_name
+group by 1, 2
+""",
+    "q28_dq_lengths": _suite_sql("documents", R.Q28_SUITE),
 }

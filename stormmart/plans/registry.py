@@ -24,11 +24,12 @@ from stormmart.operators.cleaning import (
     normalize_columns,
 )
 from stormmart.operators.dedupe import above_max, first_per_key, upsert_frames
-from stormmart.plans.layers import clean, stage, yearly_damage
+from stormmart.operators.lookup import weekday_rows, weekend_rows
+from stormmart.plans.layers import clean, stage, yearly_damage, yearly_totals
 from stormmart.plans.samples import day_activities, first_model, order_totals, second_model
 from stormmart.schemas import DATE_LOADED, FILENAME, TIMESTAMP_TEXT_FORMAT
-from stormmart.sources.catalog import missing_files
-from stormmart.sources.links import extract_links
+from stormmart.sources.catalog import loaded_files, missing_files
+from stormmart.sources.links import count_links, extract_links
 from stormmart.sources.tables import inline_rows, parquet_table
 
 # --- fixed values used to derive test inputs ---------------------------------
@@ -45,6 +46,8 @@ SECOND_LOAD_AT = "2024-02-01 00:00:00"
 FIRST_LOAD_UNTIL = "1998-01-01 00:00:00"
 FIRST_FILE = "orders_d1997.csv.gz"
 SECOND_FILE = "orders_d2001.csv.gz"
+# Crop-damage unit letter, by o_orderkey % 3.
+CROP_UNITS = ["", "K", "M"]
 # Link token and the page filter standing for "already loaded".
 LINK_TOKEN = "th"
 LOADED_URL_PREFIX = "https://"
@@ -61,13 +64,16 @@ def _thousands(price: str) -> Column:
     return F.floor(F.col(price) / 1000).cast("string")
 
 
-def orders_as_damage_rows(orders: DataFrame) -> DataFrame:
-    """Orders reshaped to the mart's input: state, begin_yearmonth, damage_property."""
+def orders_as_damage_rows(orders: DataFrame, crops: Column | None = None) -> DataFrame:
+    """Orders reshaped to the mart's input: state, begin_yearmonth, damage_property
+    (and damage_crops when a crop-amount expression is given)."""
+    extra = [] if crops is None else [crops.alias("damage_crops")]
     return orders.select(
         F.col("o_orderstatus").alias("state"),
         (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("begin_yearmonth"),
         F.concat(_thousands("o_totalprice"),
                  _pick(Q01_UNITS, F.pmod(F.col("o_orderkey"), F.lit(6)))).alias("damage_property"),
+        *extra,
     )
 
 
@@ -316,6 +322,54 @@ def q22_clean_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_frames(target, new_rows, "o_orderkey")
 
 
+def q23_yearly_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q20: property and crop damage parsed by the same function, one aggregate."""
+    orders = parquet_table(spark, sf_dir, "orders")
+    crops = F.concat(F.pmod(F.col("o_custkey"), F.lit(1000)).cast("string"),
+                     _pick(CROP_UNITS, F.pmod(F.col("o_orderkey"), F.lit(3))))
+    return yearly_totals(orders_as_damage_rows(orders, crops))
+
+
+def q24_observed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-06: distinct values of a column with their counts."""
+    return dq.observed_values(parquet_table(spark, sf_dir, "events"), "event_type")
+
+
+def q25_link_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-09: number of matching links per page."""
+    return count_links(extract_links(parquet_table(spark, sf_dir, "pages"), LINK_TOKEN))
+
+
+def q26_loaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-04 / S-09: distinct names in the load log (link names of the https pages)."""
+    pages = parquet_table(spark, sf_dir, "pages")
+    log = extract_links(pages.filter(F.col("url").startswith(LOADED_URL_PREFIX)), None) \
+        .select(F.col("link_text").alias(FILENAME))
+    return loaded_files(log)
+
+
+def q27_day_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-02: weekday and weekend branches of the enriched events, counted per task."""
+    enriched = day_activities(parquet_table(spark, sf_dir, "events").select("event_id", "ts"), "ts")
+    week = weekday_rows(enriched).withColumn("branch", F.lit("weekday"))
+    weekend = weekend_rows(enriched).withColumn("branch", F.lit("weekend"))
+    return week.unionByName(weekend).groupBy("branch", "task_id") \
+        .agg(F.count(F.lit(1)).alias("n_events"))
+
+
+Q28_SUITE = dq.Suite("document_lengths", [
+    dq.not_null("text"),
+    dq.length_between("text", 1, 20000),
+    dq.length_between("lang", 2, 2),
+    dq.length_between("source", None, 4),
+])
+
+
+def q28_dq_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-08: varchar(n)-style length limits over whole document texts."""
+    return dq.run_suite(parquet_table(spark, sf_dir, "documents"), Q28_SUITE)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_yearly_amount": q01_yearly_amount,
     "q02_parse_amount_edges": q02_parse_amount_edges,
@@ -339,4 +393,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q20_union_filter": q20_union_filter,
     "q21_clean_first_run": q21_clean_first_run,
     "q22_clean_incremental": q22_clean_incremental,
+    "q23_yearly_totals": q23_yearly_totals,
+    "q24_observed_values": q24_observed_values,
+    "q25_link_counts": q25_link_counts,
+    "q26_loaded_files": q26_loaded_files,
+    "q27_day_branches": q27_day_branches,
+    "q28_dq_lengths": q28_dq_lengths,
 }
