@@ -131,7 +131,7 @@ def unique(*columns: str) -> Rule:
     return Rule(COMPOUND_UNIQUE, tuple(columns)) if len(columns) > 1 else Rule(UNIQUE, columns[0])
 
 
-def source_suite(name: str = "disaster__source__suite") -> Suite:
+def source_suite(name: str = "event_source_suite") -> Suite:
     """Default gate for cleaned source rows (column names in lower case)."""
     rules = [not_null(c) for c in REQUIRED_SOURCE_COLUMNS]
     rules.append(in_set("state", STATE_NAMES, ignore_case=True))
@@ -198,7 +198,7 @@ def _row_rules_frame(df: DataFrame, suite: Suite, rules: Sequence[Rule]) -> Data
 
 
 def _key_rule_frame(df: DataFrame, suite: Suite, rule: Rule) -> DataFrame:
-    """dbt-style uniqueness: keys (every part non-null) occurring more than once.
+    """Uniqueness as the model tests define it: keys (every part non-null) occurring more than once.
 
     One grouping by the key (partial counts per task, so a hot key costs one
     row per task), then a one-row aggregate over the groups.

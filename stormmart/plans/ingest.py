@@ -30,8 +30,8 @@ from stormmart.sources.landing import list_landing, read_landing
 @dataclass
 class Layout:
     """Where the layers live: catalog tables for raw/log, a folder for clean."""
-    raw_table: str = "raw.disaster_data"
-    log_table: str = "raw.disaster_data_log"
+    raw_table: str = "raw.storm_events"
+    log_table: str = "raw.storm_events_log"
     clean_path: str = ""
     results_table: str | None = "raw.quality_results"
     n_buckets: int = 64

@@ -13,7 +13,7 @@ from tests.landing_fixture import event_row, write_csv
 
 def _layout(tmp_dir) -> Layout:
     db = "raw_" + uuid.uuid4().hex[:8]
-    return Layout(raw_table=f"{db}.disaster_data", log_table=f"{db}.disaster_data_log",
+    return Layout(raw_table=f"{db}.storm_events", log_table=f"{db}.storm_events_log",
                   clean_path=os.path.join(tmp_dir, "clean"), results_table=f"{db}.quality_results",
                   n_buckets=4)
 

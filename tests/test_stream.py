@@ -14,7 +14,7 @@ def test_stream_each_file_once_batches_and_archive(spark, tmp_dir):
         write_csv(os.path.join(landing, f"f{f}.csv.gz"), [event_row(10 * f + i) for i in range(5)],
                   header_every=2)
     db = "raw_" + uuid.uuid4().hex[:8]
-    layout = Layout(raw_table=f"{db}.disaster_data", log_table=f"{db}.disaster_data_log",
+    layout = Layout(raw_table=f"{db}.storm_events", log_table=f"{db}.storm_events_log",
                     clean_path=os.path.join(tmp_dir, "clean"), results_table=None, n_buckets=4)
     ckpt = os.path.join(tmp_dir, "ckpt")
 
@@ -50,7 +50,7 @@ def test_stream_stops_on_failed_gate_and_writes_nothing(spark, tmp_dir):
     landing = os.path.join(tmp_dir, "landing")
     write_csv(os.path.join(landing, "bad.csv.gz"), [event_row(1, begin_time=None)])
     db = "raw_" + uuid.uuid4().hex[:8]
-    layout = Layout(raw_table=f"{db}.disaster_data", log_table=f"{db}.disaster_data_log",
+    layout = Layout(raw_table=f"{db}.storm_events", log_table=f"{db}.storm_events_log",
                     clean_path=os.path.join(tmp_dir, "clean"), results_table=None, n_buckets=4)
     q = start_ingest(spark, landing, layout, checkpoint=os.path.join(tmp_dir, "ckpt"),
                      query_name="bad_" + db)
