@@ -14,4 +14,4 @@ from stormmart.functions.text import (  # noqa: F401
     null_tokens_to_null,
     strip_whitespace,
 )
-from stormmart.functions.timestamps import century_year, parse_event_timestamp  # noqa: F401
+from stormmart.functions.timestamps import century_year, parse_event_timestamp, parse_wall_clock  # noqa: F401

@@ -1,9 +1,9 @@
 """Event time text ('28-APR-50 14:45:00') -> TIMESTAMP_NTZ with the right century.
 
-The text is split with one regular expression and rebuilt with
-``try_make_timestamp_ntz``: no session time zone is involved (a wall-clock
-time inside a daylight-saving gap stays as written), and impossible dates
-(31-FEB) give null instead of an error.
+The text is parsed with an explicit ``+0000`` offset, so the parse is an
+exact instant in UTC (UTC has no daylight-saving gaps), and the wall clock is
+rebuilt as NTZ epoch + seconds: the session time zone never takes part, and
+impossible dates (31-FEB) give null instead of an error.
 """
 
 from __future__ import annotations
@@ -11,25 +11,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# --- fixed values: month abbreviations in calendar order, and the two-digit
-# year rule used when no year-month column gives the century (00-69 -> 20xx,
-# 70-99 -> 19xx).
-MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+from stormmart.schemas import TIMESTAMP_PARSE_FORMAT
+
+# --- fixed values: the two-digit year rule used when no year-month column
+# gives the century (00-69 -> 20xx, 70-99 -> 19xx).
 TWO_DIGIT_PIVOT = 70
 # --- end of fixed values
 
-# dd-MMM-yy HH:mm:ss (day and hour may have one digit)
-TEXT_PATTERN = r"^\s*(\d{1,2})-([A-Za-z]{3})-(\d{2}) (\d{1,2}):(\d{2}):(\d{2})\s*$"
+_EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _part(text: Column, i: int) -> Column:
-    return F.regexp_extract(text, TEXT_PATTERN, i)
-
-
 def century_year(two_digit: Column, year: Column | None) -> Column:
     """Four-digit year: century of ``year`` when known, else the pivot rule."""
     pivot = F.when(two_digit < TWO_DIGIT_PIVOT, two_digit + 2000).otherwise(two_digit + 1900)
@@ -38,25 +33,23 @@ def century_year(two_digit: Column, year: Column | None) -> Column:
     return F.coalesce(year - F.pmod(year, F.lit(100)) + two_digit, pivot)
 
 
-def parse_event_timestamp(text, yearmonth=None) -> Column:
-    """Parse 'dd-MMM-yy HH:mm:ss' (month name in any case); null if it does not parse.
+def parse_wall_clock(text, fmt: str = TIMESTAMP_PARSE_FORMAT) -> Column:
+    """Text in ``fmt`` (month names in any case) -> TIMESTAMP_NTZ, or null."""
+    instant = F.try_to_timestamp(F.concat(F.trim(_col(text)), F.lit(" +0000")), F.lit(fmt + " Z"))
+    return F.timestamp_add("SECOND", F.unix_seconds(instant),
+                           F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def parse_event_timestamp(text, yearmonth=None, fmt: str = TIMESTAMP_PARSE_FORMAT) -> Column:
+    """Parse the event time; ``yearmonth`` (YYYYMM as text or int) gives the century.
 
-    ``yearmonth`` (YYYYMM as text or int) supplies the century.
+    A two-digit year parses into 2000-2099; it is moved into the century of
+    the row's own year-month, or by the pivot rule when that is missing.
     """
-    text = _col(text)
-    matched = text.rlike(TEXT_PATTERN)
-    pos = F.instr(F.lit(MONTHS), F.upper(_part(text, 2)))
-    month = F.when((pos > 0) & (F.pmod(pos, F.lit(3)) == 1), F.floor((pos + 2) / 3).cast("int"))
-    yy = _part(text, 3).try_cast("int")
+    ts = parse_wall_clock(text, fmt)
     year = None
     if yearmonth is not None:
         year = F.substring(_col(yearmonth).cast("string"), 1, 4).try_cast("int")
-    ts = F.try_make_timestamp_ntz(
-        century_year(yy, year),
-        month,
-        _part(text, 1).try_cast("int"),
-        _part(text, 4).try_cast("int"),
-        _part(text, 5).try_cast("int"),
-        _part(text, 6).try_cast("int"),
-    )
-    return F.when(matched, ts)
+    parsed = F.year(ts)
+    shift = century_year(F.pmod(parsed, F.lit(100)), year) - parsed
+    return F.timestamp_add("YEAR", shift, ts)

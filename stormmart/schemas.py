@@ -66,8 +66,10 @@ TIMESTAMP_CENTURY_SOURCE = {
     "begin_date_time": "begin_yearmonth",
     "end_date_time": "end_yearmonth",
 }
-# Text form of the timestamp columns, e.g. 28-APR-50 14:45:00.
+# Text form of the timestamp columns, e.g. 28-APR-50 14:45:00, and the
+# pattern used to read it (day and hour may also have one digit).
 TIMESTAMP_TEXT_FORMAT = "dd-MMM-yy HH:mm:ss"
+TIMESTAMP_PARSE_FORMAT = "d-MMM-yy H:mm:ss"
 # Column that is rounded (not truncated) on its way to an integer.
 ROUNDED_INT_COLUMNS = ("magnitude",)
 
