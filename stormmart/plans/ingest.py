@@ -96,3 +96,28 @@ def ingest_directory(spark: SparkSession, landing_dir: str, layout: Layout,
         return []
     rows = read_landing(spark, paths)
     return ingest_batch(spark, rows, batch_id or uuid.uuid4().hex, layout, suite)
+
+
+def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str,
+                   layout: Layout) -> list[str]:
+    """Move landing files that are in the load log into ``archive_dir``.
+
+    The batch counterpart of the stream's ``cleanSource=archive``: the file
+    list is a semi join of the listing with the log; each move is one
+    file-system rename (metadata only, no data passes the driver).
+    """
+    ensure_raw_tables(spark, layout.raw_table, layout.log_table)
+    listing = list_landing(spark, landing_dir)
+    done = listing.join(loaded_files(spark.table(layout.log_table)), on=FILENAME, how="left_semi")
+    paths = [r.path for r in done.select("path").collect()]
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target_dir = jvm.org.apache.hadoop.fs.Path(archive_dir)
+    fs = target_dir.getFileSystem(conf)
+    fs.mkdirs(target_dir)
+    moved = []
+    for p in paths:
+        src = jvm.org.apache.hadoop.fs.Path(p)
+        if fs.rename(src, jvm.org.apache.hadoop.fs.Path(target_dir, src.getName())):
+            moved.append(src.getName())
+    return moved

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormmart.operators import quality as dq
-from stormmart.plans.ingest import Layout, ingest_directory
+from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory
 from stormmart.plans.layers import yearly_damage
 from stormmart.sinks.tables import read_upsert_table
 from tests.landing_fixture import event_row, write_csv
@@ -48,6 +48,12 @@ def test_ingest_directory_once_per_file_and_clean_dedupe(spark, tmp_dir):
     assert r0["__date_loaded"] == newest and r0["__filename"] == "d1951.csv.gz"
     mart = {(r.event_year, r.state): r.total_property_damage for r in yearly_damage(clean).collect()}
     assert mart == {("1950", "OKLAHOMA"): 1000.0 * (sum(range(10)) + 50)}
+    # archive what is loaded; a file that is not in the log stays
+    write_csv(os.path.join(landing, "d1952.csv.gz"), [event_row(60)])
+    archive = os.path.join(tmp_dir, "archive")
+    moved = archive_loaded(spark, landing, archive, layout)
+    assert sorted(moved) == ["d1950.csv.gz", "d1950_again.csv.gz", "d1951.csv.gz"]
+    assert sorted(os.listdir(landing)) == ["d1952.csv.gz"]
 
 
 def test_failed_gate_writes_nothing(spark, tmp_dir):
