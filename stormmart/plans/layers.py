@@ -25,8 +25,13 @@ def latest_batch(staged: DataFrame, clean_target: DataFrame | None) -> DataFrame
 
 
 def dedupe(rows: DataFrame, key: str = ROW_HASH) -> DataFrame:
-    """One row per key: the earliest load, then file name, then content."""
-    return first_per_key(rows, key, [DATE_LOADED, FILENAME])
+    """One row per key: the earliest load, then file name, then content.
+
+    Rows with the same content hash have the same content, so for that key
+    (load time, file name) already decides; other keys also sort on content.
+    """
+    ties = [] if key == ROW_HASH else None
+    return first_per_key(rows, key, [DATE_LOADED, FILENAME], ties)
 
 
 def clean(rows: DataFrame, clean_target: DataFrame | None = None,
