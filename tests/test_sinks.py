@@ -26,3 +26,28 @@ def test_upsert_table_rejects_schema_change(spark, tmp_dir):
     with pytest.raises(SchemaDriftError):
         upsert_table(spark, drift, path, "k", 4)
     assert read_upsert_table(spark, path).columns == ["k", "v"]
+
+
+def test_upsert_rewrites_only_buckets_with_replaced_keys(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "clean")
+    upsert_table(spark, spark.createDataFrame([(i, "v0") for i in range(2000)], "k long, v string"),
+                 path, "k", n_buckets=8)
+
+    def files():
+        out = {}
+        for d in sorted(os.listdir(path)):
+            if d.startswith("__bucket="):
+                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
+        return out
+
+    before = files()
+    touched = upsert_table(spark, spark.createDataFrame([(5, "v1")], "k long, v string"), path, "k", 8)
+    after = files()
+    assert len(touched) == 1
+    changed = {b for b in before if before[b] != after[b]}
+    assert changed == {f"__bucket={touched[0]}"}
+    # a batch of new keys only appends: existing files all stay
+    upsert_table(spark, spark.createDataFrame([(9001, "n"), (9002, "n")], "k long, v string"), path, "k", 8)
+    final = files()
+    assert all(set(after[b]) <= set(final[b]) for b in after)
+    assert read_upsert_table(spark, path).count() == 2002
