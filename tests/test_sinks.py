@@ -51,3 +51,26 @@ def test_upsert_rewrites_only_buckets_with_replaced_keys(spark, tmp_dir):
     final = files()
     assert all(set(after[b]) <= set(final[b]) for b in after)
     assert read_upsert_table(spark, path).count() == 2002
+
+
+def test_grouped_upsert_reads_and_rewrites_only_batch_groups(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "clean")
+    rows = [(i, 1950 + i % 3, "v0") for i in range(300)]
+    upsert_table(spark, spark.createDataFrame(rows, "k long, year int, v string"), path, "k",
+                 n_buckets=4, group_cols=["year"])
+    groups = sorted(d for d in os.listdir(path) if d.startswith("__group="))
+    assert groups == ["__group=g1950", "__group=g1951", "__group=g1952"]
+
+    def listing(group):
+        root = os.path.join(path, group)
+        return {b: sorted(os.listdir(os.path.join(root, b))) for b in os.listdir(root)}
+
+    other = {g: listing(g) for g in ("__group=g1951", "__group=g1952")}
+    batch = spark.createDataFrame([(0, 1950, "v1"), (3, 1950, "v1"), (999, 1950, "new")],
+                                  "k long, year int, v string")
+    touched = upsert_table(spark, batch, path, "k", n_buckets=4, group_cols=["year"])
+    assert touched and all(t.startswith("g1950/") for t in touched)
+    assert {g: listing(g) for g in other} == other
+    got = {r.k: (r.year, r.v) for r in read_upsert_table(spark, path).collect()}
+    assert len(got) == 301 and got[0] == (1950, "v1") and got[3] == (1950, "v1") and got[999] == (1950, "new")
+    assert read_upsert_table(spark, path).columns == ["k", "year", "v"]
