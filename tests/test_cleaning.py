@@ -60,3 +60,11 @@ def test_event_timestamp_parse_and_century(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == ["1950-04-28 14:45:00", "2050-04-28 14:45:00", None, "1899-01-01 01:05:09",
                    None, "2024-03-10 02:30:00", None, None]
+
+
+def test_landing_rows_spread_after_unsplittable_scan(spark, tmp_dir):
+    write_csv(os.path.join(tmp_dir, "big.csv.gz"), [event_row(i) for i in range(50)])
+    one = read_landing(spark, tmp_dir)
+    assert one.rdd.getNumPartitions() == 1                    # gzip: one task per file
+    spread = read_landing(spark, tmp_dir, partitions=4)
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 50
