@@ -284,7 +284,7 @@ from events e join cal c on lower(dayname(e.ts)) = c.day_name
 """,
     "q20_union_filter": """
 select id from (
-  select cast(n_nationkey as integer) as id from nation
+  select cast(c_nationkey as integer) as id from customer
   union all select 1 union all select null
 ) where id = 1
 """,

@@ -288,10 +288,10 @@ def q19_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q20_union_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C-04: nation ids union all literal rows (1, null), then id = 1."""
-    nation = parquet_table(spark, sf_dir, "nation")
+    """C-04: customer nation ids union all literal rows (1, null), then id = 1."""
+    customer = parquet_table(spark, sf_dir, "customer")
     inline = inline_rows(spark, [(1,), (None,)], "id int")
-    return second_model(first_model(nation, inline, "n_nationkey"), 1)
+    return second_model(first_model(customer, inline, "c_nationkey"), 1)
 
 
 def orders_two_loads(orders: DataFrame) -> DataFrame:
