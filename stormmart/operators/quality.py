@@ -233,6 +233,32 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     return out.withColumn("success", F.col("unexpected_count") == 0)
 
 
+def observe_suite(df: DataFrame, suite: Suite):
+    """Attach the suite's row-level rules to ``df`` as observed metrics.
+
+    Returns ``(observed_df, observation)``; the counts are computed by the
+    first action on ``observed_df`` (e.g. its write), with no extra pass.
+    Use it for suites that report; a gate must run before the write
+    (``validate``). Key rules need their own grouping and are not observed.
+    """
+    from pyspark.sql import Observation
+
+    rules = [r for r in suite.rules if not _is_key_rule(r)]
+    obs = Observation(f"suite_{suite.name}")
+    metrics = [F.count(F.lit(1)).alias("__n")]
+    metrics += [F.count_if(unexpected(r)).alias(f"__u{i}") for i, r in enumerate(rules)]
+    return df.observe(obs, *metrics), obs
+
+
+def observation_results(suite: Suite, obs) -> list[dict]:
+    """Result rows (same shape as ``run_suite``) from a finished observation."""
+    rules = [r for r in suite.rules if not _is_key_rule(r)]
+    got = obs.get
+    return [{"suite": suite.name, "rule": r.kind, "column_name": r.column_name,
+             "element_count": int(got["__n"]), "unexpected_count": int(got[f"__u{i}"]),
+             "success": int(got[f"__u{i}"]) == 0} for i, r in enumerate(rules)]
+
+
 def observed_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct values with their counts (distributed; safe at high cardinality)."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))

@@ -64,3 +64,13 @@ def test_observed_values_and_json(spark, rows):
     assert obs["OKLAHOMA"] == 1 and obs[None] == 1
     js = dq.results_json(dq.run_suite(rows, dq.Suite("s", [dq.not_null("id")]))).first()[0]
     assert json.loads(js)["unexpected_count"] == 1
+
+
+def test_observed_suite_equals_one_pass_suite(spark, rows):
+    suite = dq.Suite("s", [dq.not_null("state"), dq.between("n", 1, 31), dq.unique("id")])
+    observed, obs = dq.observe_suite(rows, suite)
+    observed.write.format("noop").mode("overwrite").save()
+    got = {(r["rule"], r["column_name"]): r for r in dq.observation_results(suite, obs)}
+    want = {(r["rule"], r["column_name"]): r.asDict() for r in dq.run_suite(rows, suite).collect()
+            if r["rule"] != dq.UNIQUE}
+    assert got == want
