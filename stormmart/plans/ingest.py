@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -48,14 +48,19 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
                  layout: Layout, suite: dq.Suite | None = None) -> list[dict]:
     """Load one batch of landing rows (all text + ``__filename``).
 
-    Files already in the log are skipped; the batch is scanned once (persisted
-    for the gate and the writes); nothing is written when the gate fails.
-    Returns the quality results.
+    Order: gate -> raw partition -> clean upsert -> log. The log is written
+    last and is the commit marker: a file counts as loaded only when every
+    layer has it. Files logged by *other* batches are skipped; a replay of this
+    batch id (a retried micro-batch, a rerun after a crash) redoes its own
+    steps, each of which replaces what an earlier attempt wrote. The batch is
+    scanned once (persisted for the gate and the raw write); nothing is
+    written when the gate fails. Returns the quality results.
     """
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
     batch = str(batch_id)
+    done_elsewhere = spark.table(layout.log_table).filter(F.col(BATCH) != batch)
     rows = prepare_raw(landing_rows)
-    rows = rows.join(loaded_files(spark.table(layout.log_table)), on=FILENAME, how="left_anti")
+    rows = rows.join(loaded_files(done_elsewhere), on=FILENAME, how="left_anti")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if rows.isEmpty():          # every file already loaded: nothing to do
@@ -70,16 +75,23 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     # Later steps read the batch partition just written: the lineage stops at
     # a stored table, and the log records exactly the files that landed.
     written = spark.table(layout.raw_table).filter(F.col(BATCH) == batch).drop(BATCH)
-    write_batch(log_rows(written, batch), layout.log_table, batch)
     if layout.clean_path:
         # The batch is the increment: its rows were loaded now, after every
         # stored row, so the clean model's "newer than the target" filter
         # keeps all of them and the target's max is not scanned.
         upsert_table(spark, clean(written), layout.clean_path, ROW_HASH, layout.n_buckets,
                      layout.clean_group_cols)
+    write_batch(log_rows(written, batch), layout.log_table, batch)
     return checked
 
 
+def batch_id_for(paths: list[str]) -> str:
+    """Deterministic batch id of a set of files: a rerun of the same files
+    after a failure reuses it and replaces that attempt's partitions."""
+    digest = hashlib.sha256("\n".join(sorted(paths)).encode("utf-8")).hexdigest()
+    return f"files-{digest[:24]}"
+
+
 def files_to_load(spark: SparkSession, landing_dir: str, layout: Layout) -> DataFrame:
     """Landing files whose name is not in the load log."""
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
@@ -97,7 +109,7 @@ def ingest_directory(spark: SparkSession, landing_dir: str, layout: Layout,
     if not paths:
         return []
     rows = read_landing(spark, paths)
-    return ingest_batch(spark, rows, batch_id or uuid.uuid4().hex, layout, suite)
+    return ingest_batch(spark, rows, batch_id or batch_id_for(paths), layout, suite)
 
 
 def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str,

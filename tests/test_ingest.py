@@ -65,3 +65,28 @@ def test_failed_gate_writes_nothing(spark, tmp_dir):
     assert spark.table(layout.raw_table).count() == 0
     assert spark.table(layout.log_table).count() == 0
     assert not os.path.exists(layout.clean_path)
+
+
+def test_rerun_after_crash_before_log_completes_every_layer(spark, tmp_dir, monkeypatch):
+    import stormmart.plans.ingest as ingest_mod
+
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d1960.csv.gz"), [event_row(i) for i in range(6)])
+    layout = _layout(tmp_dir)
+    real_write = ingest_mod.write_batch
+
+    def crash_on_log(df, table, batch):
+        if table == layout.log_table:
+            raise RuntimeError("executor lost while writing the log")
+        return real_write(df, table, batch)
+
+    monkeypatch.setattr(ingest_mod, "write_batch", crash_on_log)
+    with pytest.raises(RuntimeError):
+        ingest_directory(spark, landing, layout)
+    monkeypatch.setattr(ingest_mod, "write_batch", real_write)
+    assert spark.table(layout.log_table).count() == 0           # not committed
+    ingest_directory(spark, landing, layout)                     # rerun: same batch id
+    assert spark.table(layout.raw_table).count() == 6            # partition replaced, not doubled
+    assert spark.table(layout.log_table).count() == 1
+    assert read_upsert_table(spark, layout.clean_path).count() == 6
+    assert ingest_directory(spark, landing, layout) == []        # now committed
