@@ -15,6 +15,9 @@ from stormmart.plans.layers import clean
 from stormmart.schemas import FILENAME, ROW_HASH, text_length_limits
 from stormmart.sinks.tables import (
     BATCH,
+    path_exists,
+    read_raw,
+    read_upsert_table,
     ensure_raw_tables,
     log_rows,
     save_results,
@@ -135,3 +138,17 @@ def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str,
         if fs.rename(src, jvm.org.apache.hadoop.fs.Path(target_dir, src.getName())):
             moved.append(src.getName())
     return moved
+
+
+def run_clean_model(spark: SparkSession, layout: Layout) -> list[str]:
+    """The clean model as a scheduled incremental run over the whole raw table.
+
+    Raw rows loaded after the newest clean row (all rows on the first run; the
+    bound reaches the raw scan as a literal) -> first row per content hash ->
+    upsert into the clean table. Returns the rewritten partitions.
+    """
+    raw = read_raw(spark, layout.raw_table)
+    target = read_upsert_table(spark, layout.clean_path) \
+        if path_exists(spark, layout.clean_path) else None
+    return upsert_table(spark, clean(raw, target), layout.clean_path, ROW_HASH,
+                        layout.n_buckets, layout.clean_group_cols)

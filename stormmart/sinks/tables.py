@@ -88,6 +88,11 @@ def write_batch(df: DataFrame, table: str, batch: str) -> None:
         spark.catalog.dropTempView(view)
 
 
+def read_raw(spark: SparkSession, table: str) -> DataFrame:
+    """The raw table as the models see it (without the batch partition column)."""
+    return spark.table(table).drop(BATCH)
+
+
 def log_rows(batch_rows: DataFrame, batch_id: str | None) -> DataFrame:
     """The distinct file names that really produced rows, with load time and batch."""
     return (batch_rows.select(FILENAME).distinct()
@@ -184,6 +189,8 @@ def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Se
     # Partition values of the batch: the stored key scan is pruned to those
     # folders; the semi join then finds the partitions with a replaced key.
     batch_parts = staged.select(*part_cols).distinct().collect()
+    if not batch_parts:             # empty batch: nothing to replace or add
+        return []
     prune = F.lit(True)
     for i, c in enumerate(part_cols):
         prune = prune & F.col(c).isin(sorted({r[i] for r in batch_parts}))

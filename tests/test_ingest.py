@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormmart.operators import quality as dq
-from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory
+from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory, run_clean_model
 from stormmart.plans.layers import yearly_damage
 from stormmart.sinks.tables import read_upsert_table
 from tests.landing_fixture import event_row, write_csv
@@ -90,3 +90,18 @@ def test_rerun_after_crash_before_log_completes_every_layer(spark, tmp_dir, monk
     assert spark.table(layout.log_table).count() == 1
     assert read_upsert_table(spark, layout.clean_path).count() == 6
     assert ingest_directory(spark, landing, layout) == []        # now committed
+
+
+def test_clean_model_run_over_raw_table(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d1970.csv.gz"), [event_row(i) for i in range(5)] + [event_row(0)])
+    layout = _layout(tmp_dir)
+    clean_path = layout.clean_path
+    layout.clean_path = ""                       # ingest raw only
+    ingest_directory(spark, landing, layout)
+    layout.clean_path = clean_path
+    assert spark.table(layout.raw_table).count() == 6
+    run_clean_model(spark, layout)               # first run: all raw rows, one per hash
+    assert read_upsert_table(spark, clean_path).count() == 5
+    assert run_clean_model(spark, layout) == []  # nothing newer than the clean table
+    assert read_upsert_table(spark, clean_path).count() == 5
