@@ -1,17 +1,20 @@
 """Materializations of the layers.
 
-* raw table and load log: partitioned by batch id and written with dynamic
-  partition overwrite, so replaying a batch (at-least-once ``foreachBatch``,
-  a retried job) rewrites its own partition instead of appending twice;
+* raw table and load log: partitioned by batch id, each batch written with
+  ``INSERT OVERWRITE ... PARTITION (__batch = id)``, so replaying a batch
+  (at-least-once ``foreachBatch``, a retried job) replaces its own partition
+  instead of appending twice;
 * clean table: upsert by key (delete + insert) into a parquet folder
-  partitioned by ``__bucket = pmod(xxhash64(key), n)``. Only buckets that hold
-  a replaced key are rewritten (through a staging copy in the shared
-  checkpoint folder); rows with new keys are a plain append;
+  partitioned by an optional content group and ``__bucket = pmod(xxhash64(key),
+  n)``. Only partitions that hold a replaced key are rewritten (through a
+  staging copy in the shared checkpoint folder); rows with new keys are a
+  plain append;
 * views and full-refresh tables for staging and marts.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -26,6 +29,7 @@ from stormmart.session import shared_path
 BUCKET = "__bucket"
 GROUP = "__group"
 BATCH = "__batch"
+_BATCH_ID = re.compile(r"^[A-Za-z0-9_.:-]{1,200}$")
 
 
 class SchemaDriftError(ValueError):
@@ -75,14 +79,15 @@ def write_batch(df: DataFrame, table: str, batch: str) -> None:
     ``INSERT OVERWRITE ... PARTITION (__batch = '<batch>')`` names the one
     partition it replaces; every other batch stays untouched.
     """
+    if not _BATCH_ID.match(batch):
+        raise ValueError(f"batch id must match {_BATCH_ID.pattern}: {batch!r}")
     spark = df.sparkSession
     cols = [f.name for f in spark.table(table).schema.fields if f.name != BATCH]
     view = f"__stormmart_batch_{uuid.uuid4().hex}"
     df.select(*cols).createOrReplaceTempView(view)
     try:
-        quoted = batch.replace("'", "''")
         col_list = ", ".join(f"`{c}`" for c in cols)
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{quoted}') "
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{batch}') "
                   f"SELECT {col_list} FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
