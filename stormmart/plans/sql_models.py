@@ -22,9 +22,16 @@ def _cols(spark: SparkSession, relation: str, skip: tuple[str, ...] = ()) -> lis
     return [c for c in spark.table(relation).columns if c not in skip]
 
 
-def create_staging_view(spark: SparkSession, raw_table: str, view: str) -> DataFrame:
-    """``CREATE OR REPLACE TEMP VIEW <view> AS SELECT DISTINCT * FROM <raw>``."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT DISTINCT * FROM {raw_table}")
+def create_staging_view(spark: SparkSession, raw_table: str, view: str,
+                        temporary: bool = True) -> DataFrame:
+    """``CREATE OR REPLACE [TEMP] VIEW <view> AS SELECT DISTINCT * FROM <raw>``.
+
+    A catalog (non-temporary) view keeps the definition for other sessions.
+    """
+    kind = "TEMP VIEW" if temporary else "VIEW"
+    if not temporary and "." in view:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{view.split('.')[0]}`")
+    spark.sql(f"CREATE OR REPLACE {kind} {view} AS SELECT DISTINCT * FROM {raw_table}")
     return spark.table(view)
 
 

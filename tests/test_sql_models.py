@@ -36,3 +36,14 @@ def test_staging_and_clean_sql_equal_dataframe_models(spark):
     raw.filter(F.col("__filename") == R.FIRST_FILE).createOrReplaceTempView("sqlm_target")
     later = spark.sql(clean_sql(spark, "sqlm_stg", "sqlm_target", key="o_orderkey"))
     _same(later, clean(raw, spark.table("sqlm_target"), key="o_orderkey"))
+
+
+def test_catalog_staging_view(spark):
+    import uuid
+    db = "stg_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {db}")
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    df.write.saveAsTable(f"{db}.raw")
+    view = create_staging_view(spark, f"{db}.raw", f"{db}.stg", temporary=False)
+    assert view.count() == 2
+    assert f"{db}.stg".split(".")[1] in [t.name for t in spark.catalog.listTables(db)]
