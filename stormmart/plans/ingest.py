@@ -39,6 +39,10 @@ class Layout:
     # Content column(s) above the hash buckets of the clean table: event files
     # come per year, so a batch touches one or two years.
     clean_group_cols: tuple[str, ...] = ("year",)
+    # Spread a batch's rows over this many tasks after parsing. Compressed or
+    # multi-line CSV is one task per file, so a micro-batch of a few big files
+    # would otherwise hash, check and write in a few tasks. None: no shuffle.
+    spread_partitions: int | None = None
 
 
 def default_suite() -> dq.Suite:
@@ -62,6 +66,11 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
     batch = str(batch_id)
     done_elsewhere = spark.table(layout.log_table).filter(F.col(BATCH) != batch)
+    if layout.spread_partitions:
+        # Content hash partitioning: deterministic, so a retried task gets
+        # the same rows without the sort a round-robin repartition needs.
+        landing_rows = landing_rows.repartition(
+            layout.spread_partitions, F.xxhash64(*landing_rows.columns))
     rows = prepare_raw(landing_rows)
     rows = rows.join(loaded_files(done_elsewhere), on=FILENAME, how="left_anti")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

@@ -25,6 +25,7 @@ def test_ingest_directory_once_per_file_and_clean_dedupe(spark, tmp_dir):
     # a second file repeating three rows of the first: same content hash
     write_csv(os.path.join(landing, "d1950_again.csv.gz"), rows[:3])
     layout = _layout(tmp_dir)
+    layout.spread_partitions = 4
     results = ingest_directory(spark, landing, layout)
     assert results and all(r["success"] for r in results)
     raw = spark.table(layout.raw_table)
