@@ -54,6 +54,11 @@ def enrich_calendar(df: DataFrame, ts_col: str, cal: DataFrame | None = None) ->
     )
 
 
+def branch(enriched_is_weekday: str = "is_weekday") -> F.Column:
+    """'weekday' / 'weekend': both branches as one column of a single pass."""
+    return F.when(F.col(enriched_is_weekday), F.lit("weekday")).otherwise(F.lit("weekend"))
+
+
 def weekday_rows(enriched: DataFrame) -> DataFrame:
     return enriched.filter(F.col("is_weekday"))
 
