@@ -36,13 +36,13 @@ def event_row(i: int, **over) -> dict:
 
 
 def write_csv(path: str, rows: list[dict], header_every: int | None = None,
-              gz: bool = True) -> str:
+              gz: bool = True, newline: str = "\n") -> str:
     lines = [",".join(HEADER_NAMES)]
     for j, r in enumerate(rows):
         if header_every and j and j % header_every == 0:
             lines.append(",".join(HEADER_NAMES))
         lines.append(",".join(_quote(r[n]) for n in SOURCE_NAMES))
-    data = ("\n".join(lines) + "\n").encode("utf-8")
+    data = (newline.join(lines) + newline).encode("utf-8")
     os.makedirs(os.path.dirname(path), exist_ok=True)
     if gz:
         with gzip.open(path, "wb") as fh:

@@ -68,3 +68,16 @@ def test_landing_rows_spread_after_unsplittable_scan(spark, tmp_dir):
     assert one.rdd.getNumPartitions() == 1                    # gzip: one task per file
     spread = read_landing(spark, tmp_dir, partitions=4)
     assert spread.rdd.getNumPartitions() == 4 and spread.count() == 50
+
+
+def test_crlf_files_keep_clean_values(spark, tmp_dir):
+    """Windows line endings: no trailing carriage return in any value; a line
+    break inside a quoted field comes out as a plain newline (the CSV reader
+    normalises it)."""
+    rows = [event_row(i) for i in range(5)]
+    rows[1]["event_narrative"] = "line one\r\nline two"
+    write_csv(os.path.join(tmp_dir, "win.csv.gz"), rows, header_every=3, newline="\r\n")
+    out = prepare_raw(read_landing(spark, tmp_dir)).cache()
+    assert out.count() == 5
+    assert out.filter(F.col("data_source") != "PUB").count() == 0     # no trailing \r
+    assert out.filter(F.col("event_id") == 10001).first().event_narrative == "line one\nline two"
