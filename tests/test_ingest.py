@@ -106,3 +106,20 @@ def test_clean_model_run_over_raw_table(spark, tmp_dir):
     assert read_upsert_table(spark, clean_path).count() == 5
     assert run_clean_model(spark, layout) == []  # nothing newer than the clean table
     assert read_upsert_table(spark, clean_path).count() == 5
+
+
+def test_jobs_command_line(spark, tmp_dir):
+    from stormmart import jobs
+
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d1980.csv.gz"), [event_row(i) for i in range(4)])
+    db = "raw_" + uuid.uuid4().hex[:8]
+    common = ["--raw-table", f"{db}.t", "--log-table", f"{db}.log", "--results-table", f"{db}.res",
+              "--buckets", "4"]
+    clean_path = os.path.join(tmp_dir, "clean")
+    out = jobs.run(["ingest", "--landing", landing, "--clean", clean_path, *common], spark)
+    assert out["results"] and all(r["success"] for r in out["results"])
+    jobs.run(["mart", "--clean", clean_path, "--mart", f"{db}.mart", *common], spark)
+    assert spark.table(f"{db}.mart").first()["total_property_damage"] == 6000.0
+    out = jobs.run(["archive", "--landing", landing, "--archive", os.path.join(tmp_dir, "arch"), *common], spark)
+    assert out["archived"] == ["d1980.csv.gz"]
