@@ -117,6 +117,8 @@ def ingest_directory(spark: SparkSession, landing_dir: str, layout: Layout,
     Only file paths (one per file, never rows) reach the driver, to hand the
     reader its inputs.
     """
+    if not path_exists(spark, landing_dir):     # no landing folder yet: nothing to load
+        return []
     paths = [r.path for r in files_to_load(spark, landing_dir, layout).select("path").collect()]
     if not paths:
         return []

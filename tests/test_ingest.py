@@ -123,3 +123,7 @@ def test_jobs_command_line(spark, tmp_dir):
     assert spark.table(f"{db}.mart").first()["total_property_damage"] == 6000.0
     out = jobs.run(["archive", "--landing", landing, "--archive", os.path.join(tmp_dir, "arch"), *common], spark)
     assert out["archived"] == ["d1980.csv.gz"]
+
+
+def test_missing_landing_folder_loads_nothing(spark, tmp_dir):
+    assert ingest_directory(spark, os.path.join(tmp_dir, "absent"), _layout(tmp_dir)) == []
