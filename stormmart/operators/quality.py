@@ -22,7 +22,6 @@ from stormmart.schemas import QUALITY_RESULT_SCHEMA
 NOT_NULL = "expect_column_values_to_not_be_null"
 BE_NULL = "expect_column_values_to_be_null"
 IN_SET = "expect_column_distinct_values_to_be_in_set"
-VALUES_IN_SET = "expect_column_values_to_be_in_set"
 BETWEEN = "expect_column_values_to_be_between"
 LENGTH_BETWEEN = "expect_column_value_lengths_to_be_between"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -161,7 +160,7 @@ def unexpected(rule: Rule) -> Column:
         return c.isNull()
     if rule.kind == BE_NULL:
         return c.isNotNull()
-    if rule.kind in (IN_SET, VALUES_IN_SET):
+    if rule.kind == IN_SET:
         values = list(kw["value_set"])
         if kw.get("ignore_case"):
             return c.isNotNull() & ~F.upper(c).isin(sorted({str(v).upper() for v in values}))
