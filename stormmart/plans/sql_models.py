@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stormmart.functions.amounts import NUMBER_TEXT, UNIT_FACTORS
 from stormmart.schemas import DATE_LOADED, FILENAME, ROW_HASH
+from stormmart.sinks.tables import BATCH
 
 
 def _sql_text(s: str) -> str:
@@ -24,14 +25,16 @@ def _cols(spark: SparkSession, relation: str, skip: tuple[str, ...] = ()) -> lis
 
 def create_staging_view(spark: SparkSession, raw_table: str, view: str,
                         temporary: bool = True) -> DataFrame:
-    """``CREATE OR REPLACE [TEMP] VIEW <view> AS SELECT DISTINCT * FROM <raw>``.
+    """``CREATE OR REPLACE [TEMP] VIEW <view> AS SELECT DISTINCT <cols> FROM <raw>``.
 
-    A catalog (non-temporary) view keeps the definition for other sessions.
+    The columns are the raw table's without the batch partition column; a
+    catalog (non-temporary) view keeps the definition for other sessions.
     """
     kind = "TEMP VIEW" if temporary else "VIEW"
     if not temporary and "." in view:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{view.split('.')[0]}`")
-    spark.sql(f"CREATE OR REPLACE {kind} {view} AS SELECT DISTINCT * FROM {raw_table}")
+    cols = ", ".join(f"`{c}`" for c in _cols(spark, raw_table, skip=(BATCH,)))
+    spark.sql(f"CREATE OR REPLACE {kind} {view} AS SELECT DISTINCT {cols} FROM {raw_table}")
     return spark.table(view)
 
 
