@@ -106,6 +106,14 @@ def test_clean_model_run_over_raw_table(spark, tmp_dir):
     assert read_upsert_table(spark, clean_path).count() == 5
     assert run_clean_model(spark, layout) == []  # nothing newer than the clean table
     assert read_upsert_table(spark, clean_path).count() == 5
+    # the SQL models over the same raw table give the same clean rows
+    from stormmart.plans.sql_models import clean_sql, create_staging_view
+    view = "stg_" + uuid.uuid4().hex[:8]
+    create_staging_view(spark, layout.raw_table, view)
+    sql_clean = spark.sql(clean_sql(spark, view))
+    assert sorted(sql_clean.columns) == sorted(read_upsert_table(spark, clean_path).columns)
+    assert sorted(r["__row_hash"] for r in sql_clean.collect()) == \
+        sorted(r["__row_hash"] for r in read_upsert_table(spark, clean_path).collect())
 
 
 def test_jobs_command_line(spark, tmp_dir):
