@@ -1,4 +1,4 @@
-"""Batch ingestion of landing-zone files: gate -> raw append -> log -> clean upsert."""
+"""Batch ingestion of landing-zone files: gate -> raw partition -> clean upsert -> log."""
 
 from __future__ import annotations
 
@@ -15,11 +15,11 @@ from stormmart.plans.layers import clean
 from stormmart.schemas import FILENAME, ROW_HASH, text_length_limits
 from stormmart.sinks.tables import (
     BATCH,
+    ensure_raw_tables,
+    log_rows,
     path_exists,
     read_raw,
     read_upsert_table,
-    ensure_raw_tables,
-    log_rows,
     save_results,
     upsert_table,
     write_batch,

@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,8 +41,9 @@ def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
                  available_now: bool = True, query_name: str | None = None) -> StreamingQuery:
     """Start the ingest stream; ``available_now`` processes what is there and stops."""
     checkpoint = checkpoint or shared_path(spark, "streams", query_name or "landing_ingest")
-
-    prefix = query_name or "stream"
+    # Batch ids must differ between streams writing the same tables: the
+    # default prefix comes from the stream's own checkpoint location.
+    prefix = query_name or "stream-" + hashlib.sha256(checkpoint.encode("utf-8")).hexdigest()[:12]
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         ingest_batch(batch_df.sparkSession, batch_df, f"{prefix}-{batch_id}", layout, suite)
