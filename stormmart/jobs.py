@@ -48,6 +48,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     p.add_argument("--spread", type=int, default=None)
     p.add_argument("--files-per-trigger", type=int, default=2)
     p.add_argument("--checkpoint")
+    p.add_argument("--continuous", action="store_true", help="keep polling instead of availableNow")
+    p.add_argument("--interval", default="1 minute")
     args = p.parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
     layout = _layout(args)
@@ -55,7 +57,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         return {"results": ingest_directory(spark, args.landing, layout, _suite(args))}
     if args.job == "stream":
         q = start_ingest(spark, args.landing, layout, checkpoint=args.checkpoint, suite=_suite(args),
-                         max_files_per_trigger=args.files_per_trigger, archive_dir=args.archive)
+                         max_files_per_trigger=args.files_per_trigger, archive_dir=args.archive,
+                         available_now=not args.continuous, interval=args.interval)
         q.awaitTermination()
         return {"stream": q.id}
     if args.job == "clean":

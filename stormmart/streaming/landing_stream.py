@@ -38,8 +38,13 @@ def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
 def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
                  checkpoint: str | None = None, suite: dq.Suite | None = None,
                  max_files_per_trigger: int = 2, archive_dir: str | None = None,
-                 available_now: bool = True, query_name: str | None = None) -> StreamingQuery:
-    """Start the ingest stream; ``available_now`` processes what is there and stops."""
+                 available_now: bool = True, query_name: str | None = None,
+                 interval: str = "1 minute") -> StreamingQuery:
+    """Start the ingest stream.
+
+    ``available_now`` processes what is in the folder and stops (a scheduled
+    run); otherwise the stream keeps polling every ``interval``.
+    """
     checkpoint = checkpoint or shared_path(spark, "streams", query_name or "landing_ingest")
     # Batch ids must differ between streams writing the same tables: the
     # default prefix comes from the stream's own checkpoint location.
@@ -53,5 +58,5 @@ def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
               .option("checkpointLocation", checkpoint))
     if query_name:
         writer = writer.queryName(query_name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
