@@ -59,3 +59,22 @@ def test_stream_stops_on_failed_gate_and_writes_nothing(spark, tmp_dir):
     spark.catalog.refreshTable(layout.raw_table)
     assert spark.table(layout.raw_table).count() == 0
     assert not os.path.exists(layout.clean_path)
+
+
+def test_continuous_stream_picks_up_files(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "c0.csv.gz"), [event_row(i) for i in range(3)])
+    db = "raw_" + uuid.uuid4().hex[:8]
+    layout = Layout(raw_table=f"{db}.storm_events", log_table=f"{db}.storm_events_log",
+                    clean_path=os.path.join(tmp_dir, "clean"), results_table=None, n_buckets=4)
+    q = start_ingest(spark, landing, layout, checkpoint=os.path.join(tmp_dir, "ckpt"),
+                     available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+        write_csv(os.path.join(landing, "c1.csv.gz"), [event_row(10)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    spark.catalog.refreshTable(layout.raw_table)
+    assert spark.table(layout.raw_table).count() == 4
+    assert read_upsert_table(spark, layout.clean_path).count() == 4
