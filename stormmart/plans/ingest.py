@@ -43,6 +43,9 @@ class Layout:
     # multi-line CSV is one task per file, so a micro-batch of a few big files
     # would otherwise hash, check and write in a few tasks. None: no shuffle.
     spread_partitions: int | None = None
+    # False: the suite only reports. Its row-level counts are then observed
+    # during the raw write (one pass, no persisted copy) instead of gating it.
+    gate: bool = True
 
 
 def default_suite() -> dq.Suite:
@@ -73,17 +76,25 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
             layout.spread_partitions, F.xxhash64(*landing_rows.columns))
     rows = prepare_raw(landing_rows)
     rows = rows.join(loaded_files(done_elsewhere), on=FILENAME, how="left_anti")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if rows.isEmpty():          # every file already loaded: nothing to do
+    suite = suite or default_suite()
+    if layout.gate:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if rows.isEmpty():          # every file already loaded: nothing to do
+                return []
+            checked = dq.gate(dq.run_suite(rows, suite))
+            write_batch(rows, layout.raw_table, batch)
+        finally:
+            rows.unpersist()
+    else:
+        observed, obs = dq.observe_suite(rows, suite)
+        write_batch(observed, layout.raw_table, batch)
+        checked = dq.observation_results(suite, obs)
+        if checked and checked[0]["element_count"] == 0:
             return []
-        results = dq.run_suite(rows, suite or default_suite())
-        checked = dq.gate(results)
-        write_batch(rows, layout.raw_table, batch)
-    finally:
-        rows.unpersist()
     if layout.results_table:
-        save_results(spark.createDataFrame(checked, results.schema), layout.results_table, batch)
+        save_results(spark.createDataFrame(checked, dq.QUALITY_RESULT_SCHEMA),
+                     layout.results_table, batch)
     # Later steps read the batch partition just written: the lineage stops at
     # a stored table, and the log records exactly the files that landed.
     written = spark.table(layout.raw_table).filter(F.col(BATCH) == batch).drop(BATCH)

@@ -135,3 +135,18 @@ def test_jobs_command_line(spark, tmp_dir):
 
 def test_missing_landing_folder_loads_nothing(spark, tmp_dir):
     assert ingest_directory(spark, os.path.join(tmp_dir, "absent"), _layout(tmp_dir)) == []
+
+
+def test_report_only_suite_is_observed_during_the_write(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d1990.csv.gz"),
+              [event_row(i) for i in range(4)] + [event_row(9, state="ATLANTIS")])
+    layout = _layout(tmp_dir)
+    layout.gate = False
+    results = ingest_directory(spark, landing, layout)
+    by_rule = {(r["rule"], r["column_name"]): r for r in results}
+    assert by_rule[(dq.IN_SET, "state")]["unexpected_count"] == 1      # reported, not fatal
+    assert all(r["element_count"] == 5 for r in results)
+    assert spark.table(layout.raw_table).count() == 5
+    assert spark.table(layout.results_table).count() == len(results)
+    assert read_upsert_table(spark, layout.clean_path).count() == 5
