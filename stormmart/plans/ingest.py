@@ -46,6 +46,10 @@ class Layout:
     # False: the suite only reports. Its row-level counts are then observed
     # during the raw write (one pass, no persisted copy) instead of gating it.
     gate: bool = True
+    # Persist a gated batch so the gate and the write share one read. For a
+    # very large backfill batch, False reads the files twice instead of
+    # holding the whole batch in executor memory / disk.
+    persist_batch: bool = True
 
 
 def default_suite() -> dq.Suite:
@@ -78,14 +82,16 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     rows = rows.join(loaded_files(done_elsewhere), on=FILENAME, how="left_anti")
     suite = suite or default_suite()
     if layout.gate:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        if layout.persist_batch:
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if rows.isEmpty():          # every file already loaded: nothing to do
                 return []
             checked = dq.gate(dq.run_suite(rows, suite))
             write_batch(rows, layout.raw_table, batch)
         finally:
-            rows.unpersist()
+            if layout.persist_batch:
+                rows.unpersist()
     else:
         observed, obs = dq.observe_suite(rows, suite)
         write_batch(observed, layout.raw_table, batch)

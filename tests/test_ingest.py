@@ -150,3 +150,13 @@ def test_report_only_suite_is_observed_during_the_write(spark, tmp_dir):
     assert spark.table(layout.raw_table).count() == 5
     assert spark.table(layout.results_table).count() == len(results)
     assert read_upsert_table(spark, layout.clean_path).count() == 5
+
+
+def test_gated_batch_without_persist(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d2000.csv.gz"), [event_row(i) for i in range(3)])
+    layout = _layout(tmp_dir)
+    layout.persist_batch = False
+    assert all(r["success"] for r in ingest_directory(spark, landing, layout))
+    assert spark.table(layout.raw_table).count() == 3
+    assert read_upsert_table(spark, layout.clean_path).count() == 3
