@@ -338,4 +338,21 @@ from events e join cal c on lower(dayname(e.ts)) = c.day_name
 group by 1, 2
 """,
     "q28_dq_lengths": _suite_sql("documents", R.Q28_SUITE),
+    "q29_event_time_edges": f"""
+with t as (
+  select l_orderkey, l_linenumber,
+         case l_orderkey % 5
+           when 0 then upper(strftime(l_shipdate, '%d-%b-%y %H:%M:%S'))
+           when 1 then lower(upper(strftime(l_shipdate, '%d-%b-%y %H:%M:%S')))
+           when 2 then strftime(l_shipdate, '%-d-%b-%y %-H:%M:%S')
+           when 3 then '31-FEB-' || strftime(l_shipdate, '%y') || ' 00:00:00'
+           else ' ' || upper(strftime(l_shipdate, '%d-%b-%y %H:%M:%S')) || ' ' end as event_text,
+         cast((year(l_shipdate) - case when l_linenumber % 3 = 0 then 100 else 0 end) * 100
+              + month(l_shipdate) as integer) as begin_yearmonth
+  from lineitem
+)
+select *, {_CENTURY_TS.format(t="try_strptime(trim(event_text), '%d-%b-%y %H:%M:%S')",
+                              ym="cast(begin_yearmonth as varchar)")} as event_time
+from t
+""",
 }

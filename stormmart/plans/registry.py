@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormmart.functions.amounts import amount_number, amount_unit, parse_amount
+from stormmart.functions.timestamps import parse_event_timestamp
 from stormmart.operators import quality as dq
 from stormmart.operators.cleaning import (
     add_meta_columns,
@@ -369,6 +370,31 @@ def q28_dq_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.run_suite(parquet_table(spark, sf_dir, "documents"), Q28_SUITE)
 
 
+def lineitem_event_times(li: DataFrame) -> DataFrame:
+    """Ship dates as event-time texts in the forms the files hold, by key % 5:
+    upper-case, lower-case, unpadded day, an impossible date, padded with
+    spaces; a third of the rows take their century from a year-month one
+    century earlier."""
+    ship = F.col("l_shipdate")
+    canon = F.upper(F.date_format(ship, TIMESTAMP_TEXT_FORMAT))
+    text = _pick([
+        canon,
+        F.lower(canon),
+        F.date_format(ship, "d-MMM-yy H:mm:ss"),
+        F.concat(F.lit("31-FEB-"), F.date_format(ship, "yy"), F.lit(" 00:00:00")),
+        F.concat(F.lit(" "), canon, F.lit(" ")),
+    ], F.pmod(F.col("l_orderkey"), F.lit(5)))
+    year = F.year(ship) - F.when(F.pmod(F.col("l_linenumber"), F.lit(3)) == 0, 100).otherwise(0)
+    return li.select("l_orderkey", "l_linenumber", text.alias("event_text"),
+                     (year * 100 + F.month(ship)).alias("begin_yearmonth"))
+
+
+def q29_event_time_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-17 / Q11: text forms, impossible dates and the century of the year-month."""
+    rows = lineitem_event_times(parquet_table(spark, sf_dir, "lineitem"))
+    return rows.withColumn("event_time", parse_event_timestamp("event_text", "begin_yearmonth"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_yearly_amount": q01_yearly_amount,
     "q02_parse_amount_edges": q02_parse_amount_edges,
@@ -398,4 +424,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q26_loaded_files": q26_loaded_files,
     "q27_day_branches": q27_day_branches,
     "q28_dq_lengths": q28_dq_lengths,
+    "q29_event_time_edges": q29_event_time_edges,
 }
