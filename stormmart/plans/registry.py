@@ -56,9 +56,15 @@ LOADED_URL_PREFIX = "https://"
 
 
 def _pick(values: list, index: Column) -> Column:
-    """values[index] for a 0-based integer column (values may be Columns)."""
+    """values[index] for a 0-based integer column (values may be Columns).
+
+    A CASE chain: only the chosen value is computed for a row.
+    """
     items = [v if isinstance(v, Column) else F.lit(v) for v in values]
-    return F.element_at(F.array(*items), (index + 1).cast("int"))
+    expr = F.when(index == 0, items[0])
+    for i, item in enumerate(items[1:], start=1):
+        expr = expr.when(index == i, item)
+    return expr
 
 
 def _thousands(price: str) -> Column:
