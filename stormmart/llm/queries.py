@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stormmart.llm.chat import ORACLE_OP5, op5_preference_formatting
 from stormmart.llm.common import workers_can_import
+from stormmart.llm.language import op4_cross_parsing_entropy
 from stormmart.llm.packing import op1_cutting_stock
 from stormmart.llm.quality import op3_quality_cascade
 from stormmart.llm.sharding import op8_fixed_virtual_slots
@@ -27,6 +28,7 @@ def _importable(query: Query) -> Query:
 QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op1_cutting_stock,
     op3_quality_cascade,
+    op4_cross_parsing_entropy,
     op5_preference_formatting,
     op8_fixed_virtual_slots,
 )}
