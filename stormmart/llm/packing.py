@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -31,14 +32,19 @@ from stormmart.llm.cutting_stock import cutting_plan, length_classes
 CAPACITY = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a worker remembers at most; longer words are not remembered.
-CACHED_WORDS = 300_000
-CACHED_WORD_CHARS = 48
+#: Characters of words whose ids a worker remembers, in each of two generations.
+REMEMBERED_CHARS = 6_000_000
+#: Characters of text whose words are looked up together.
+CHARS_AT_ONCE = 1_000_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
-# Characters that str.split() takes for white space and the tokenizer does not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+# Texts that the tokenizer must see whole: characters that str.split() takes for
+# white space and the tokenizer does not, the letter that str.lower() lowers by
+# its place, and the opening of the tokenizer's special tokens.
+_WHOLE = re.compile("[\x1c-\x1f\u03a3]|<[|]")
+# A single comma or stop behind a letter or digit at the end of a word.
+_LAST_MARK = re.compile(r"(?<=[^\W_])([.,])(?!\S)")
 _state: dict = {}
 
 
@@ -48,42 +54,79 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class ByteCharacters(dict):
+    """str.translate table of a byte-level vocabulary: each UTF-8 byte of a
+    character as one printable character; bytes without one follow from 256 on."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.of_byte = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(self.of_byte[b] for b in chr(code).encode())
+        return self[code]
+
+
 class WordTokenizer:
     """ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and never joins text across it, so a text's
-    ids are those of its words one after the other; words repeat, and their ids
-    are remembered.
+    The tokenizer lowers letters, drops white space, never joins text across it
+    and parts letters from punctuation. So a text's ids are those of its lower-case
+    words, a last comma or stop apart, one after the other. Words repeat, and
+    their ids are remembered: in two generations, of which the older is dropped
+    when the younger is full. Words of letters need no splitting and go straight
+    to the tokenizer's merges. Texts for which this does not hold (see
+    ``_WHOLE``) go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
+        self.byte_characters = ByteCharacters()
         self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, text: str) -> bytes:
-        if _SEPARATORS.search(text):
-            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set(words))
-        fresh = {w: self.packed(e.ids) for w, e in zip(
-            new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        out = b"".join([known.get(w) or fresh.get(w, b"") for w in words])
-        known.update((w, b) for w, b in fresh.items() if len(w) <= CACHED_WORD_CHARS)
+        self.older: dict[str, bytes] = {}
+        self.chars = 0
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids)
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        out, odd, merges, pack = [], [], self.merges, struct.pack
+        for w in words:
+            if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w)):
+                ids = [t.id for t in merges(w if w.isascii() else w.translate(self.byte_characters))]
+                out.append(pack("<%dI" % len(ids), *ids))
+            else:
+                odd.append(len(out))
+                out.append(b"")
+        for i, ids in zip(odd, self._whole([words[i] for i in odd])):
+            out[i] = ids
         return out
 
+    def _learn(self, words: set[str]) -> None:
+        if self.chars > REMEMBERED_CHARS:
+            self.older, self.known, self.chars = self.known, {}, 0
+        known, older = self.known, self.older
+        fresh = words.difference(known)
+        self.chars += sum(map(len, fresh))
+        known.update([(w, older[w]) for w in fresh.intersection(older)] if older else ())
+        new = list(fresh.difference(older))
+        known.update(zip(new, self._words(new)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """ids of a few texts; their words are looked up together."""
+        whole = {i: self._whole([t])[0] for i, t in enumerate(texts) if _WHOLE.search(t)}
+        split = [[] if i in whole else _LAST_MARK.sub(r" \1", t.lower()).split()
+                 for i, t in enumerate(texts)]
+        self._learn(set().union(*split))
+        known = self.known
+        return [whole.get(i) or b"".join([known[w] for w in words]) for i, words in enumerate(split)]
+
 
 def _tokenizer(path: str) -> WordTokenizer:
     import os
@@ -100,12 +143,23 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
     and, if asked for, the ids themselves as little-endian 32-bit bytes."""
     schema = PIECES + (", ids binary" if with_ids else "")
 
+    def groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+        ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(doc_id)
+            texts.append(text.as_py() or "")
+            size += len(texts[-1])
+            if size > CHARS_AT_ONCE:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        yield ids, texts
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _tokenizer(path).encode, struct.pack("<I", END_ID)
-        for batch in batches:
+        tokenizer, end = _tokenizer(path), struct.pack("<I", END_ID)
+        for doc_ids, texts in (g for batch in batches for g in groups(batch)):
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in zip(doc_ids, tokenizer.encode(texts)):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = ids[4 * start:4 * (start + capacity)]
