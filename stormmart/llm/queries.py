@@ -14,6 +14,7 @@ from stormmart.llm.language import op4_cross_parsing_entropy
 from stormmart.llm.packing import op1_cutting_stock
 from stormmart.llm.quality import op3_quality_cascade
 from stormmart.llm.sharding import op8_fixed_virtual_slots
+from stormmart.llm.suffix_dedup import op10_interval_expansion
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,7 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op5_preference_formatting,
     op7_pigeonhole_edit,
     op8_fixed_virtual_slots,
+    op10_interval_expansion,
 )}
 
 ORACLE: dict[str, str] = {
