@@ -11,6 +11,7 @@ from stormmart.llm.chat import ORACLE_OP5, op5_preference_formatting
 from stormmart.llm.common import workers_can_import
 from stormmart.llm.decontaminate import op7_pigeonhole_edit
 from stormmart.llm.language import op4_cross_parsing_entropy
+from stormmart.llm.licenses import op9_minhash_licenses
 from stormmart.llm.ngram_join import op2_heavy_light_join
 from stormmart.llm.packing import op1_cutting_stock
 from stormmart.llm.quality import op3_quality_cascade
@@ -36,6 +37,7 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op5_preference_formatting,
     op7_pigeonhole_edit,
     op8_fixed_virtual_slots,
+    op9_minhash_licenses,
     op10_interval_expansion,
 )}
 

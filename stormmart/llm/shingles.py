@@ -39,10 +39,11 @@ def _power_table(n: int) -> np.ndarray:
     return table
 
 
-def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word of a block; A-Z count as a-z."""
+def word_hashes(data: bytes, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word of a block; A-Z count as a-z, ``gaps`` tells
+    the bytes between words."""
     x = np.frombuffer(data, dtype=np.uint8)
-    inside = ~_SPACE[x]
+    inside = ~gaps[x]
     if not inside.any():
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
@@ -65,20 +66,20 @@ def _blocks(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def words_of(texts: list[bytes]) -> list[np.ndarray]:
+def words_of(texts: list[bytes], gaps: np.ndarray = _SPACE) -> list[np.ndarray]:
     """Word hashes of every text; short texts are hashed together."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint64)] * len(texts)
     held, size = [], 0
 
     def flush() -> None:
         ends = np.cumsum([len(texts[i]) + 1 for i in held])
-        hashes, starts = word_hashes(b" ".join([texts[i] for i in held]))
+        hashes, starts = word_hashes(b" ".join([texts[i] for i in held]), gaps)
         for i, part in zip(held, np.split(hashes, np.searchsorted(starts, ends[:-1]))):
             out[i] = part
 
     for i, text in enumerate(texts):
         if len(text) > BLOCK_BYTES:
-            out[i] = np.concatenate([word_hashes(b)[0] for b in _blocks(text)])
+            out[i] = np.concatenate([word_hashes(b, gaps)[0] for b in _blocks(text)])
             continue
         held.append(i)
         size += len(text)
@@ -90,15 +91,21 @@ def words_of(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def shingle_row(words: np.ndarray, k: int) -> np.ndarray:
+    """Shingles of k words in the order of the text; none if it has fewer words."""
+    n = max(0, len(words) - k + 1)
+    total = np.full(n, np.uint64(k))
+    for j in range(k):
+        total = mixed(total + words[j:j + n])
+    return total
+
+
 def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
     """Sorted distinct shingles of k words; the whole text if it has fewer."""
     if not len(words):
         return words
-    width = min(k, len(words))
-    n = len(words) - width + 1
-    total = np.full(n, np.uint64(width))
-    for j in range(width):
-        total = mixed(total + words[j:j + n])
+    total = shingle_row(words, min(k, len(words)))
+    n = len(total)
     total.sort()
     keep = np.ones(n, dtype=bool)
     np.not_equal(total[1:], total[:-1], out=keep[1:])
