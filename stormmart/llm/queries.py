@@ -17,6 +17,7 @@ from stormmart.llm.packing import op1_cutting_stock
 from stormmart.llm.quality import op3_quality_cascade
 from stormmart.llm.sharding import op8_fixed_virtual_slots
 from stormmart.llm.suffix_dedup import op10_interval_expansion
+from stormmart.llm.warc import op6_two_level_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,7 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op3_quality_cascade,
     op4_cross_parsing_entropy,
     op5_preference_formatting,
+    op6_two_level_index,
     op7_pigeonhole_edit,
     op8_fixed_virtual_slots,
     op9_minhash_licenses,
