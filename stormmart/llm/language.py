@@ -131,9 +131,14 @@ class CrossParser:
             table = suffix_automaton(symbols, self.n_symbols)
             table[:, BREAK] = -1
             table[:, OTHER] = -1
-            # No edge: a phrase ends, and the next one starts with this symbol.
-            again = np.where(table[0] >= 0, table[0], 0)
+            # No edge: a phrase ends, and the next one starts with this symbol. A
+            # symbol that the sample lacks is a phrase of its own, which the last
+            # state stands for. At the root no phrase has begun that could end.
+            alone = len(table)
+            again = np.where(table[0] >= 0, table[0], alone)
+            table = np.vstack([table, np.full((1, self.n_symbols), -1, dtype=np.int32)])
             full = np.where(table >= 0, table, again | self.RESTART)
+            full[0] = again
             full[:, PAD] = np.arange(len(table))
             states, flags = full & ~self.RESTART, full & self.RESTART
             tables.append((states + base) * self.n_symbols | flags)
@@ -210,8 +215,9 @@ def _parser(sample: dict[str, list[str]]) -> CrossParser:
 CHARS_AT_ONCE = 4_000_000
 
 
-def identify(docs: DataFrame, sample: dict[str, list[str]], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns of every row with ``lang_pred`` and ``score``."""
+def identify(docs: DataFrame, sample: dict[str, list[str]], keep: tuple[str, ...] = ("doc_id",),
+             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of every row with the predicted language and its score."""
     cols = docs.select(*(F.col(c) for c in keep), F.col("text").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields[:-1])
 
@@ -230,9 +236,9 @@ def identify(docs: DataFrame, sample: dict[str, list[str]], keep: tuple[str, ...
             arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
             arrays += [pa.array([x[0] for x in found], pa.string()),
                        pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
-    return cols.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return cols.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def op4_cross_parsing_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:

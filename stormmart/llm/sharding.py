@@ -65,7 +65,8 @@ def place_slots(weights: DataFrame, n_shards: int, current: DataFrame | None = N
         (F.sum("bytes") / n_shards * (1 + tolerance)).alias("limit"))
     lightest = "cast(array_position(acc.loads, array_min(acc.loads)) - 1 as int)"
     choice = (f"if(s.held is not null and s.held < {n_shards} and "
-              f"element_at(acc.loads, s.held + 1) - s.neg_bytes <= limit, s.held, {lightest})")
+              f"(element_at(acc.loads, s.held + 1) = 0 or "
+              f"element_at(acc.loads, s.held + 1) - s.neg_bytes <= limit), s.held, {lightest})")
     fold = f"""
       aggregate(slots,
         named_struct('loads', array_repeat(cast(0 as bigint), {n_shards}),
