@@ -19,7 +19,8 @@ from pyspark.sql import SparkSession
 from stormmart.operators import quality as dq
 from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory, run_clean_model
 from stormmart.plans.layers import yearly_damage
-from stormmart.sinks.tables import materialize_table, read_upsert_table
+from stormmart.sinks.tables import materialize_table
+from stormmart.sinks.upsert import compact_upsert_table, read_upsert_table
 from stormmart.streaming.landing_stream import start_ingest
 
 

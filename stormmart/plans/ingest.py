@@ -19,11 +19,10 @@ from stormmart.sinks.tables import (
     log_rows,
     path_exists,
     read_raw,
-    read_upsert_table,
     save_results,
-    upsert_table,
     write_batch,
 )
+from stormmart.sinks.upsert import read_upsert_table, upsert_exists, upsert_table
 from stormmart.sources.catalog import loaded_files, missing_files
 from stormmart.sources.landing import list_landing, read_landing
 
@@ -109,7 +108,7 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
         # stored row, so the clean model's "newer than the target" filter
         # keeps all of them and the target's max is not scanned.
         upsert_table(spark, clean(written), layout.clean_path, ROW_HASH, layout.n_buckets,
-                     layout.clean_group_cols)
+                     layout.clean_group_cols, key_sets_group=True)
     write_batch(log_rows(written, batch), layout.log_table, batch)
     return checked
 
@@ -177,6 +176,6 @@ def run_clean_model(spark: SparkSession, layout: Layout) -> list[str]:
     """
     raw = read_raw(spark, layout.raw_table)
     target = read_upsert_table(spark, layout.clean_path) \
-        if path_exists(spark, layout.clean_path) else None
+        if upsert_exists(spark, layout.clean_path) else None
     return upsert_table(spark, clean(raw, target), layout.clean_path, ROW_HASH,
-                        layout.n_buckets, layout.clean_group_cols)
+                        layout.n_buckets, layout.clean_group_cols, key_sets_group=True)

@@ -42,7 +42,7 @@ def clean(rows: DataFrame, clean_target: DataFrame | None = None,
     cannot change which row is first per key, so it is not run again here
     (one shuffle instead of two). Merging the result into the stored clean
     table (newer load replaces an older row with the same key) is
-    ``sinks.tables.upsert_table``.
+    ``sinks.upsert.upsert_table``.
     """
     return dedupe(latest_batch(rows, clean_target), key)
 

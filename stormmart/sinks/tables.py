@@ -4,11 +4,7 @@
   ``INSERT OVERWRITE ... PARTITION (__batch = id)``, so replaying a batch
   (at-least-once ``foreachBatch``, a retried job) replaces its own partition
   instead of appending twice;
-* clean table: upsert by key (delete + insert) into a parquet folder
-  partitioned by an optional content group and ``__bucket = pmod(xxhash64(key),
-  n)``. Only partitions that hold a replaced key are rewritten (through a
-  staging copy in the shared checkpoint folder); rows with new keys are a
-  plain append;
+* clean table: upsert by key, see ``sinks.upsert``;
 * views and full-refresh tables for staging and marts.
 """
 
@@ -18,16 +14,12 @@ import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stormmart.operators.dedupe import anti_by_key
 from stormmart.schemas import FILENAME, log_schema, raw_table_schema
-from stormmart.session import shared_path
 
-BUCKET = "__bucket"
-GROUP = "__group"
 BATCH = "__batch"
 _BATCH_ID = re.compile(r"^[A-Za-z0-9_.:-]{1,200}$")
 
@@ -36,10 +28,6 @@ class SchemaDriftError(ValueError):
     """The incoming rows do not have the stored table's columns and types."""
 
 
-def _cols(names) -> list[str]:
-    return [names] if isinstance(names, str) else list(names)
-
-
 def check_schema(df: DataFrame, expected: StructType, ignore: Sequence[str] = ()) -> None:
     """Fail (before any write) when columns were added, removed or retyped."""
     def shape(schema: StructType) -> dict[str, str]:
@@ -127,94 +115,8 @@ def save_results(results: DataFrame, table: str, batch: str | None = None) -> No
     out.write.mode("append").format("parquet").saveAsTable(table)
 
 
-# -- upsert by key ---------------------------------------------------------------
-def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hpath)
-
-
-def read_upsert_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rows without the partition helper columns."""
-    stored = spark.read.parquet(path)
-    return stored.drop(*[c for c in (GROUP, BUCKET) if c in stored.columns])
-
-
-def group_of(group_cols: Sequence[str]) -> Column:
-    """Text partition value of the group columns ('g' prefix: never numeric)."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in group_cols]
-    return F.concat(F.lit("g"), F.concat_ws("|", *parts))
-
-
-def _partition_id(cols: Sequence[str]) -> Column:
-    return F.concat_ws("/", *[F.col(c).cast("string") for c in cols])
-
-
-def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Sequence[str],
-                 n_buckets: int = 64, group_cols: Sequence[str] = ()) -> list[str]:
-    """Delete stored rows whose key is in ``batch``, insert ``batch``.
-
-    The table is partitioned by ``__bucket = pmod(xxhash64(key), n_buckets)``,
-    below an optional ``__group`` level built from ``group_cols``. Group
-    columns must be determined by the key (true for any content column when
-    the key is a content hash): a batch of one year's files then only reads
-    and rewrites that year's buckets, and a hot group is still split into
-    ``n_buckets`` parts.
-
-    Returns the rewritten partitions ("group/bucket"). Steps:
-    1. semi join of the stored keys (only the key column of the batch's
-       partitions is read) with the batch keys -> the partitions holding a
-       replaced key (at most groups x n_buckets values reach the driver);
-    2. those partitions: stored rows minus replaced keys, plus the batch rows
-       -> staging folder -> dynamic overwrite of just those partitions;
-    3. batch rows of the other partitions: append.
-    The batch is first written to a staging folder under the shared checkpoint
-    folder: it may be derived from the stored table (incremental filter), and
-    must not change while that table is rewritten.
-    Every step is safe to replay: a replay finds its own rows as replaced keys.
-    """
-    keys = _cols(key)
-    part_cols = [GROUP, BUCKET] if group_cols else [BUCKET]
-    staged = batch.withColumn(BUCKET, bucket_of(keys, n_buckets))
-    if group_cols:
-        staged = staged.withColumn(GROUP, group_of(group_cols))
-    if not path_exists(spark, path):
-        staged.write.partitionBy(*part_cols).parquet(path)
-        return []
-    stored = spark.read.parquet(path)
-    check_schema(staged, stored.schema)
-    staging_root = shared_path(spark, "upsert-staging", uuid.uuid4().hex)
-    staged.write.parquet(f"{staging_root}/batch")
-    staged = spark.read.parquet(f"{staging_root}/batch")
-    # Partition values of the batch: the stored key scan is pruned to those
-    # folders; the semi join then finds the partitions with a replaced key.
-    batch_parts = staged.select(*part_cols).distinct().collect()
-    if not batch_parts:             # empty batch: nothing to replace or add
-        return []
-    prune = F.lit(True)
-    for i, c in enumerate(part_cols):
-        prune = prune & F.col(c).isin(sorted({r[i] for r in batch_parts}))
-    hits = (stored.filter(prune).select(*part_cols, *keys)
-            .join(staged.select(*part_cols, *keys), on=[*part_cols, *keys], how="left_semi")
-            .select(_partition_id(part_cols).alias("pid")).distinct())
-    touched = sorted(r[0] for r in hits.collect())
-    if touched:
-        in_touched = prune & _partition_id(part_cols).isin(touched)
-        batch_part = staged.filter(in_touched)
-        kept = anti_by_key(stored.filter(in_touched), batch_part.select(*part_cols, *keys),
-                           [*part_cols, *keys])
-        rewritten = kept.unionByName(batch_part.select(*stored.columns))
-        staging = f"{staging_root}/rewrite"
-        rewritten.write.partitionBy(*part_cols).parquet(staging)
-        (spark.read.parquet(staging).select(*stored.columns).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*part_cols).parquet(path))
-        fresh = staged.filter(~_partition_id(part_cols).isin(touched))
-    else:
-        fresh = staged
-    fresh.select(*stored.columns).write.mode("append").partitionBy(*part_cols).parquet(path)
-    return touched

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stormmart.operators import quality as dq
 from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory, run_clean_model
 from stormmart.plans.layers import yearly_damage
-from stormmart.sinks.tables import read_upsert_table
+from stormmart.sinks.upsert import read_upsert_table
 from tests.landing_fixture import event_row, write_csv
 
 

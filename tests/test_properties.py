@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from stormmart.functions.amounts import parse_amount
 from stormmart.operators.dedupe import first_per_key
-from stormmart.sinks.tables import read_upsert_table, upsert_table
+from stormmart.sinks.upsert import read_upsert_table, upsert_table
 
 SETTINGS = settings(max_examples=6, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -2,7 +2,9 @@ import os
 
 import pytest
 
-from stormmart.sinks.tables import SchemaDriftError, read_upsert_table, upsert_table
+from stormmart.sinks import upsert
+from stormmart.sinks.tables import SchemaDriftError
+from stormmart.sinks.upsert import compact_upsert_table, live_partitions, read_upsert_table, upsert_table
 
 
 def test_upsert_table_replace_add_and_replay(spark, tmp_dir):
@@ -28,28 +30,25 @@ def test_upsert_table_rejects_schema_change(spark, tmp_dir):
     assert read_upsert_table(spark, path).columns == ["k", "v"]
 
 
+def _by_part(spark, path):
+    out = {}
+    for folder, part in live_partitions(spark, path):
+        out.setdefault(part, set()).add(folder)
+    return out
+
+
 def test_upsert_rewrites_only_buckets_with_replaced_keys(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
     upsert_table(spark, spark.createDataFrame([(i, "v0") for i in range(2000)], "k long, v string"),
                  path, "k", n_buckets=8)
-
-    def files():
-        out = {}
-        for d in sorted(os.listdir(path)):
-            if d.startswith("__bucket="):
-                out[d] = sorted(f for f in os.listdir(os.path.join(path, d)) if f.endswith(".parquet"))
-        return out
-
-    before = files()
+    before = _by_part(spark, path)
     touched = upsert_table(spark, spark.createDataFrame([(5, "v1")], "k long, v string"), path, "k", 8)
-    after = files()
-    assert len(touched) == 1
-    changed = {b for b in before if before[b] != after[b]}
-    assert changed == {f"__bucket={touched[0]}"}
-    # a batch of new keys only appends: existing files all stay
+    after = _by_part(spark, path)
+    assert len(touched) == 1 and {p for p in before if before[p] != after[p]} == set(touched)
+    # a batch of new keys only adds folders: all others stay
     upsert_table(spark, spark.createDataFrame([(9001, "n"), (9002, "n")], "k long, v string"), path, "k", 8)
-    final = files()
-    assert all(set(after[b]) <= set(final[b]) for b in after)
+    final = _by_part(spark, path)
+    assert all(after[p] <= final[p] for p in after) and final != after
     assert read_upsert_table(spark, path).count() == 2002
 
 
@@ -57,20 +56,94 @@ def test_grouped_upsert_reads_and_rewrites_only_batch_groups(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
     rows = [(i, 1950 + i % 3, "v0") for i in range(300)]
     upsert_table(spark, spark.createDataFrame(rows, "k long, year int, v string"), path, "k",
-                 n_buckets=4, group_cols=["year"])
-    groups = sorted(d for d in os.listdir(path) if d.startswith("__group="))
-    assert groups == ["__group=g1950", "__group=g1951", "__group=g1952"]
-
-    def listing(group):
-        root = os.path.join(path, group)
-        return {b: sorted(os.listdir(os.path.join(root, b))) for b in os.listdir(root)}
-
-    other = {g: listing(g) for g in ("__group=g1951", "__group=g1952")}
+                 n_buckets=4, group_cols=["year"], key_sets_group=True)
+    before = _by_part(spark, path)
+    assert {p.split("/")[0] for p in before} == {"__group=g1950", "__group=g1951", "__group=g1952"}
     batch = spark.createDataFrame([(0, 1950, "v1"), (3, 1950, "v1"), (999, 1950, "new")],
                                   "k long, year int, v string")
-    touched = upsert_table(spark, batch, path, "k", n_buckets=4, group_cols=["year"])
-    assert touched and all(t.startswith("g1950/") for t in touched)
-    assert {g: listing(g) for g in other} == other
+    touched = upsert_table(spark, batch, path, "k", n_buckets=4, group_cols=["year"], key_sets_group=True)
+    assert touched and all(t.startswith("__group=g1950/") for t in touched)
+    after = _by_part(spark, path)
+    assert all(after[p] == before[p] for p in before if not p.startswith("__group=g1950/"))
     got = {r.k: (r.year, r.v) for r in read_upsert_table(spark, path).collect()}
     assert len(got) == 301 and got[0] == (1950, "v1") and got[3] == (1950, "v1") and got[999] == (1950, "new")
     assert read_upsert_table(spark, path).columns == ["k", "year", "v"]
+
+
+def test_key_that_changes_its_group_is_replaced(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "clean")
+    schema = "k long, g string, v int"
+    upsert_table(spark, spark.createDataFrame([(1, "a|0 %", 0), (2, "b", 0), (3, "", 0)], schema), path, "k", 4, ["g"])
+    upsert_table(spark, spark.createDataFrame([(1, "b", 1), (3, None, 1)], schema), path, "k", 4, ["g"])
+    assert sorted(tuple(r) for r in read_upsert_table(spark, path).collect()) == [(1, "b", 1), (2, "b", 0), (3, None, 1)]
+
+
+@pytest.mark.parametrize("step", ["staging", "load", "half_load", "version", "clean_up"])
+def test_crash_at_every_step_loses_and_doubles_nothing(spark, tmp_dir, monkeypatch, step):
+    path = os.path.join(tmp_dir, "clean")
+    old = spark.createDataFrame([(i, "v0") for i in range(1000)], "k long, v string")
+    new = spark.createDataFrame([(i, "v1") for i in range(950, 1050)], "k long, v string")
+    upsert_table(spark, old, path, "k", 4)
+    with monkeypatch.context() as m:
+        def crash(*args, **kwargs):
+            raise RuntimeError("lost")
+
+        def half(data, folder, load, part_cols):
+            write(data.limit(7), folder, load, part_cols)
+            crash()
+
+        write = upsert._write_load
+        if step == "staging":
+            m.setattr(upsert, "bucket_of", crash)
+        elif step == "load":
+            m.setattr(upsert, "_write_load", crash)
+        elif step == "half_load":
+            m.setattr(upsert, "_write_load", half)
+        elif step == "version":
+            m.setattr(upsert, "_commit", crash)
+        else:
+            m.setattr(upsert, "_clean_up", crash)
+        with pytest.raises(RuntimeError):
+            upsert_table(spark, new, path, "k", 4)
+    seen = {r.k: r.v for r in read_upsert_table(spark, path).collect()}
+    committed = step == "clean_up"
+    assert len(seen) == (1050 if committed else 1000)
+    assert {v for k, v in seen.items() if k >= 950} == ({"v1"} if committed else {"v0"})
+    upsert_table(spark, new, path, "k", 4)                       # replay
+    rows = read_upsert_table(spark, path).collect()
+    assert len(rows) == 1050 and {r.k: r.v for r in rows} == {i: "v1" if i >= 950 else "v0" for i in range(1050)}
+    assert not os.path.exists(os.path.join(path, "staging"))
+    assert len(os.listdir(os.path.join(path, "versions"))) <= 2
+    upsert_table(spark, new, path, "k", 4)
+    upsert_table(spark, new, path, "k", 4)                       # nothing of the first attempts is left
+    named = {f.split("/")[0] for f, _ in live_partitions(spark, path)}
+    assert len(os.listdir(os.path.join(path, "data"))) <= 2 * max(1, len(named))
+
+
+def test_upsert_writes_few_files_for_each_partition(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "clean")
+    rows = spark.range(0, 20000, 1, 16).selectExpr("id AS k", "id % 5 AS g")
+    upsert_table(spark, rows, path, "k", 8, ["g"])
+    files = [f for _, _, names in os.walk(os.path.join(path, "data")) for f in names if f.endswith(".parquet")]
+    assert len(live_partitions(spark, path)) == 40 and len(files) <= 80
+
+
+def test_compaction_keeps_rows(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "clean")
+    for i in range(4):
+        upsert_table(spark, spark.createDataFrame([(100 * i + j, i) for j in range(50)], "k long, v int"), path, "k", 2)
+    before = sorted(map(tuple, read_upsert_table(spark, path).collect()))
+    assert len(live_partitions(spark, path)) == 8
+    assert len(compact_upsert_table(spark, path, max_folders=2)) == 2
+    assert len(live_partitions(spark, path)) == 2
+    assert sorted(map(tuple, read_upsert_table(spark, path).collect())) == before
+    assert compact_upsert_table(spark, path, max_folders=2) == []
+
+
+def test_empty_batches(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "clean")
+    none = spark.createDataFrame([], "k long, v string")
+    assert upsert_table(spark, none, path, "k", 2) == [] and read_upsert_table(spark, path).count() == 0
+    upsert_table(spark, spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string"), path, "k", 2)
+    upsert_table(spark, none, path, "k", 2)
+    assert read_upsert_table(spark, path).count() == 2

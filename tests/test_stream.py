@@ -2,7 +2,7 @@ import os
 import uuid
 
 from stormmart.plans.ingest import Layout
-from stormmart.sinks.tables import read_upsert_table
+from stormmart.sinks.upsert import read_upsert_table
 from stormmart.streaming.landing_stream import start_ingest
 from tests.landing_fixture import event_row, write_csv
 
