@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,15 +18,46 @@ REPO_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__fi
 ROWS_PER_RANK_TASK = 50_000
 
 
+#: Rows of an Arrow batch: long texts would make the default a large one.
+ARROW_ROWS = "2000"
+
+
 def workers_can_import(spark: SparkSession) -> None:
     """Let Python workers import this package when it is not installed there
-    (local runs and shared checkouts; a cluster ships it with ``--py-files``)."""
+    (local runs and shared checkouts; a cluster ships it with ``--py-files``),
+    and get whole texts in batches that fit beside an executor's heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     env = spark.sparkContext.environment
     parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if REPO_ROOT not in parts:
         env["PYTHONPATH"] = os.pathsep.join([REPO_ROOT, *parts])
 
 
+def tidy(run: Callable) -> Callable:
+    """A map function that gives its memory back when its task ends: Python
+    workers are used again, and what one keeps is missing beside the heap."""
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            free_memory()
+    return wrapped
+
+
+def free_memory() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder."""
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")

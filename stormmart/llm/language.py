@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stormmart.llm.common import tidy
+
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 500
 LANE = 256
@@ -212,19 +214,23 @@ def _parser(sample: dict[str, list[str]]) -> CrossParser:
 
 
 #: Characters of text that are parsed together.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 1_000_000
 
 
 def identify(docs: DataFrame, sample: dict[str, list[str]], keep: tuple[str, ...] = ("doc_id",),
              names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``keep`` columns of every row with the predicted language and its score."""
-    cols = docs.select(*(F.col(c) for c in keep), F.col("text").alias("__text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields[:-1])
+    # The text crosses once: as a column to keep, or beside them.
+    cols = docs.select(*keep, *([] if "text" in keep else ["text"]))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields if f.name in keep)
+    at = cols.columns.index("text")
+
+    cols_in = cols.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = _parser(sample)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at)
             found, some, size = [], [], 0
             for text in texts:
                 some.append(text.as_py())
@@ -233,12 +239,12 @@ def identify(docs: DataFrame, sample: dict[str, list[str]], keep: tuple[str, ...
                     found += parser.predict(some)
                     some, size = [], 0
             found += parser.predict(some)
-            arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
+            arrays = [batch.column(i) for i, c in enumerate(cols_in) if c in keep]
             arrays += [pa.array([x[0] for x in found], pa.string()),
                        pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
-    return cols.mapInArrow(run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
+    return cols.mapInArrow(tidy(run), f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def op4_cross_parsing_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,10 @@ banded; a set enters the lists of its own band and of the next. Both schemes
 lose no link, at any similarity or size. The boundary between them is the one
 with the least number of list entries, from the histogram of set sizes.
 
-List members are joined to the list's least member (in every task before the
-shuffle, then once behind it), never pair by pair, which gives candidate
-groups; inside a group, sets are compared unless they are connected already.
-Equal sets are one class throughout. Groups are verified in blocks of bounded
+Members of a list that sizes or parities (a bitmap of each set) show to be too
+far apart are not joined; the others are, pair by pair only in short lists,
+which gives candidate groups. Inside a group, sets are compared unless they are
+connected already. Equal sets are one class throughout. Groups are verified in blocks of bounded
 size: a large group is split into blocks, and every two blocks meet in one task.
 
 Defined cases: words are runs without white space (0x20, 0x09-0x0D), A-Z count
@@ -33,10 +33,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormmart.llm.common import staged, text_bytes
+from stormmart.llm.common import staged, text_bytes, tidy
 from stormmart.llm.components import components
 from stormmart.llm.shingles import mixed, shingle_set, words_of
 
@@ -48,6 +48,11 @@ CUT_BYTES = 4_000_000
 BUCKET_BYTES = 16_000_000
 #: Shingles of a group that one task verifies; larger groups are split into blocks.
 BLOCK_SHINGLES = 2_000_000
+#: Lists of up to so many sets are joined pair by pair; lists of more than
+#: LONG_LIST sets are joined to their least member unseen.
+SHORT_LIST = 8
+LONG_LIST = 5000
+PARITY_BITS = 1024
 #: Groups of up to so many sets are compared without lists.
 SMALL_GROUP = 12
 
@@ -172,36 +177,64 @@ def _digest(sets: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([a, b]).view(np.int64))
 
 
+def parity(sets: np.ndarray) -> np.ndarray:
+    """Parities of the set's elements in cells, as 64-bit words. Two sets differ
+    in at least as many elements as their parities in bits. Larger sets have more
+    cells, by powers of two, and fold to fewer by xor."""
+    bits = PARITY_BITS << max(0, (len(sets) - 1) // PARITY_BITS).bit_length()
+    cells = np.bincount((sets >> np.uint64(13)).astype(np.int64) % bits, minlength=bits)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def set_digests(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, n_shingles and the digest (node, check) of every document's set."""
+    """doc_id, n_shingles, digest (node, check) and parity of every document's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (ids,), sets in _sets(batches, scheme.k):
             digests = [_digest(s) for s in sets]
+            words = [parity(s) for s in sets]
+            ends = np.cumsum([0] + [len(w) for w in words], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64())],
-                names=["doc_id", "n_shingles", "node", "check"])
+                 pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
+                 pa.ListArray.from_arrays(ends, np.concatenate(words))],
+                names=["doc_id", "n_shingles", "node", "check", "parity"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, node long, check long"))
+            .mapInArrow(tidy(run), "doc_id long, n_shingles long, node long, check long, parity array<long>"))
 
 
-def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First entry (least node) of every list, and the distinct edges (u, v)
-    that join its other members to it."""
-    order = np.lexsort((nodes, keys))
-    keys, nodes = keys[order], nodes[order]
-    fresh = np.ones(len(keys), dtype=bool)
-    fresh[1:] = keys[1:] != keys[:-1]
-    first = np.flatnonzero(fresh)
-    least = nodes[first[np.cumsum(fresh) - 1]]
-    joined = least != nodes
-    edges = np.unique(np.stack([nodes[joined], least[joined]]), axis=1)
-    return order[first], edges[0], edges[1]
+# Kinds of rows that the inverted lists give.
+PAIR, MEMBER, STAR = 0, 1, 2
 
 
-def candidate_edges(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
-    """Edges (u, v) between sets that share a list, a star for each list."""
+def _list_rows(keys: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """(kind, u, v) of the lists with two or more members, each once: all pairs
+    of a short list, the members of a longer one (u: the value of its member
+    set, so that lists with the same members are one), or, of a very long list,
+    edges to its least member."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[new], nodes[new]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
+    size = np.diff(np.append(first, len(keys)))
+    own = np.repeat(first, size)
+    length = np.repeat(size, size)
+    rows = []
+    for d in range(1, SHORT_LIST):
+        at = np.flatnonzero((length <= SHORT_LIST) & (np.arange(len(keys)) - own >= d))
+        rows.append(np.stack([np.full(len(at), PAIR), nodes[at], nodes[at - d]]))
+    value = np.add.reduceat(mixed(nodes.view(np.uint64)), first).view(np.int64) if len(first) else first
+    at = np.flatnonzero((length > SHORT_LIST) & (length <= LONG_LIST))
+    rows.append(np.stack([np.full(len(at), MEMBER), np.repeat(value, size)[at], nodes[at]]))
+    at = np.flatnonzero((length > LONG_LIST) & (own != np.arange(len(keys))))
+    rows.append(np.stack([np.full(len(at), STAR), nodes[at], nodes[own[at]]]))
+    return np.unique(np.concatenate(rows, axis=1), axis=1)
+
+
+def list_rows(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
+    """(kind, u, v) of all inverted lists with two or more members."""
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(batches, scheme.k):
             distinct = {_digest(s)[0]: s for s in sets if len(s)}
@@ -210,31 +243,77 @@ def candidate_edges(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
                 continue
             nodes = np.repeat(np.fromiter(distinct, dtype=np.int64), [len(x) for x in keyed])
             keys = np.concatenate(keyed)
-            first, u, v = _stars(keys, nodes)
-            keys, nodes = keys[first], nodes[first]
             bucket = (keys >> np.uint64(20)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             where = [b for b in range(buckets) if edges[b] < edges[b + 1]]
             blobs = [np.stack([keys[o].view(np.int64), nodes[o]]).tobytes()
                      for b in where for o in [order[edges[b]:edges[b + 1]]]]
-            # Edges that are known already travel with the first blob.
-            known = [np.stack([u, v]).tobytes()] + [b""] * (len(blobs) - 1)
             yield pa.RecordBatch.from_pydict({"bucket": pa.array(where, pa.int32()),
-                                              "entries": pa.array(blobs, pa.binary()),
-                                              "known": pa.array(known, pa.binary())})
+                                              "entries": pa.array(blobs, pa.binary())})
 
     def match(table: pa.Table) -> pa.Table:
         entries = np.concatenate([np.frombuffer(b, np.int64).reshape(2, -1)
                                   for b in table.column("entries").to_pylist()], axis=1)
-        _, u, v = _stars(entries[0], entries[1])
-        known = [np.frombuffer(b, np.int64).reshape(2, -1) for b in table.column("known").to_pylist() if b]
-        pairs = np.unique(np.concatenate([np.stack([u, v]), *known], axis=1), axis=1)
-        return pa.table({"u": pa.array(pairs[0], pa.int64()), "v": pa.array(pairs[1], pa.int64())})
+        kind, u, v = _list_rows(entries[0], entries[1])
+        return pa.table({"kind": pa.array(kind, pa.int32()), "u": pa.array(u, pa.int64()),
+                         "v": pa.array(v, pa.int64())})
+
+    routed = docs.select(text_bytes("text").alias("text")).mapInArrow(tidy(route), "bucket int, entries binary")
+    return routed.groupBy("bucket").applyInArrow(match, "kind int, u long, v long").distinct()
+
+
+def _near(sizes: np.ndarray, words: np.ndarray, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+    """Which of ``others`` can link to set i by size and parity."""
+    a, b = sizes[i], sizes[others]
+    apart = np.bitwise_count(words[others] ^ words[i]).sum(axis=1, dtype=np.int64)
+    return ((100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+            & ((100 + percent) * apart <= (100 - percent) * (a + b)))
+
+
+def possible_edges(rows: DataFrame, nodes: DataFrame, scheme: Scheme) -> DataFrame:
+    """Edges (u, v) that connect all sets of a list that can link: sets whose
+    sizes, or whose parities, are too far apart have no edge of their own.
+    ``nodes``: node, n_shingles and parity of every distinct set."""
+    p = scheme.percent
+    a = nodes.select(F.col("node").alias("u"), F.col("n_shingles").alias("nu"), F.col("parity").alias("pu"))
+    b = nodes.select(F.col("node").alias("v"), F.col("n_shingles").alias("nv"), F.col("parity").alias("pv"))
+
+    def folded(own: str, other: str) -> Column:
+        """Parity words as few as the other set's: half of them at most is missing."""
+        words, half = F.col(own), (F.size(own) / 2).cast("int")
+        both = F.zip_with(F.slice(words, F.lit(1), half), F.slice(words, half + 1, half),
+                          lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > F.size(other), both).otherwise(words)
+
+    apart = F.aggregate(F.zip_with(folded("pu", "pv"), folded("pv", "pu"), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                        F.lit(0), lambda s, x: s + x)
+    can_link = F.when(100 * F.least("nu", "nv") >= p * F.greatest("nu", "nv"),
+                      (100 + p) * apart <= (100 - p) * (F.col("nu") + F.col("nv"))).otherwise(False)
+    pairs = rows.where(F.col("kind") == PAIR).join(a, "u").join(b, "v").where(can_link).select("u", "v")
+    stars = rows.where(F.col("kind") == STAR).select("u", "v")
+
+    def connect(table: pa.Table) -> pa.Table:
+        node = np.array(table.column("v").to_pylist(), dtype=np.int64)
+        sizes = np.array(table.column("nv").to_pylist(), dtype=np.int64)
+        words = [np.array(w, dtype=np.int64).view(np.uint64) for w in table.column("pv").to_pylist()]
+        few = min(map(len, words))
+        words = np.stack([np.bitwise_xor.reduce(w.reshape(-1, few), axis=0) for w in words])
+        left, u, v = np.arange(len(node)), [], []
+        while len(left):
+            todo, left = [int(left[0])], left[1:]
+            while todo and len(left):
+                i = todo.pop()
+                near = _near(sizes, words, i, left, p)
+                u += node[left[near]].tolist()
+                v += [int(node[i])] * int(near.sum())
+                todo += left[near].tolist()
+                left = left[~near]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    routed = docs.select(text_bytes("text").alias("text")).mapInArrow(
-        route, "bucket int, entries binary, known binary")
-    return routed.groupBy("bucket").applyInArrow(match, "u long, v long").distinct()
+    members = rows.where(F.col("kind") == MEMBER).join(b, "v").select("u", "v", "nv", "pv")
+    lists = members.groupBy("u").applyInArrow(connect, "u long, v long")
+    return pairs.unionByName(stars).unionByName(lists).distinct()
 
 
 class Clusters:
@@ -278,14 +357,31 @@ def clusters(sets: list[np.ndarray], scheme: Scheme) -> Clusters:
         ends = np.flatnonzero(np.diff(keys[order])) + 1
         lists = sorted((p.tolist() for p in np.split(owner[order], ends) if len(p) > 1), key=len)
     apart: set[tuple[int, int]] = set()
-    for members in lists:
-        for i, y in enumerate(members):
-            for x in members[:i]:
-                if found.find(x) != found.find(y) and (x, y) not in apart:
+
+    def meet(a: list[int], b: list[int]) -> bool:
+        for x in a:
+            for y in b:
+                pair = (min(x, y), max(x, y))
+                if pair not in apart:
                     if _linked(sets[x], sets[y], scheme):
                         found.union(x, y)
-                    else:
-                        apart.add((x, y))
+                        return True
+                    apart.add(pair)
+        return False
+
+    for members in lists:
+        by_root: dict[int, list[int]] = {}
+        for x in members:
+            by_root.setdefault(found.find(x), []).append(x)
+        rest = list(by_root.values())
+        while len(rest) > 1:
+            own, todo = rest.pop(), True
+            while todo:
+                near = next((g for g in rest if meet(own, g)), None)
+                todo = near is not None
+                if todo:
+                    rest.remove(near)
+                    own = own + near
     return found
 
 
@@ -336,9 +432,10 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, schem
     listed = wanted.groupBy("rep").agg(F.collect_list(F.struct("task", "low", "high", "component")).alias("meets"))
     texts = docs.select("doc_id", text_bytes("text").alias("text"))
     # A representative's rows have one set (rows that share its id may have others).
-    sets = (texts.join(listed, texts["doc_id"] == listed["rep"])
+    # The list of representatives grows with the corpus and is never broadcast.
+    sets = (texts.join(listed.hint("merge"), texts["doc_id"] == listed["rep"])
             .select("rep", "meets", "text")
-            .mapInArrow(sets_of, "task long, low int, high int, component long, rep long, shingles binary"))
+            .mapInArrow(tidy(sets_of), "task long, low int, high int, component long, rep long, shingles binary"))
     return sets.groupBy("task", "low", "high").applyInArrow(verify, "u long, v long")
 
 
@@ -349,10 +446,12 @@ def near_duplicate_components(docs: DataFrame, k: int, percent: int) -> DataFram
     small = digests.where(F.col("n_shingles") <= MAX_LIGHT).groupBy("n_shingles").count().collect()
     scheme = with_boundary(Scheme(k, percent), {r["n_shingles"]: r["count"] for r in small})
     classes = staged(digests.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-                     .groupBy("node", "check", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
+                     .groupBy("node", "check", "n_shingles")
+                     .agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity")), "classes")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(math.ceil(size / BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    groups = components(candidate_edges(docs, scheme, buckets))
+    nodes = classes.select("node", "n_shingles", "parity")
+    groups = components(possible_edges(staged(list_rows(docs, scheme, buckets), "lists"), nodes, scheme))
     linked = components(verified_links(docs, classes, groups, scheme))
     reach = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "node", "check", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id"))

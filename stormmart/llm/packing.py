@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stormmart.llm.common import gapless_rank, staged
+from stormmart.llm.common import gapless_rank, staged, tidy
 from stormmart.llm.cutting_stock import cutting_plan, length_classes
 
 CAPACITY = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 #: Characters of words whose ids a worker remembers, in each of two generations.
-REMEMBERED_CHARS = 6_000_000
+REMEMBERED_CHARS = 5_000_000
 #: Characters of text whose words are looked up together.
 CHARS_AT_ONCE = 1_000_000
 
@@ -118,6 +118,9 @@ class WordTokenizer:
         new = list(fresh.difference(older))
         known.update(zip(new, self._words(new)))
 
+    def forget(self) -> None:
+        self.known, self.older, self.chars = {}, {}, 0
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """ids of a few texts; their words are looked up together."""
         whole = {i: self._whole([t])[0] for i, t in enumerate(texts) if _WHOLE.search(t)}
@@ -170,8 +173,9 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], names=names)
+        tokenizer.forget()
 
-    return docs.select("doc_id", "text").mapInArrow(cut, schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut), schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
