@@ -385,14 +385,14 @@ def clusters(sets: list[np.ndarray], scheme: Scheme) -> Clusters:
     return found
 
 
-def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, scheme: Scheme) -> DataFrame:
-    """Links (u, v) between class representatives, a star for each cluster that a
-    task finds. ``groups`` has the candidate group of every node."""
+def linked_classes(docs: DataFrame, classes: DataFrame, groups: DataFrame, scheme: Scheme) -> DataFrame:
+    """(node, component) of the class representatives that have a link. ``groups``
+    has the candidate group of every node."""
     members = staged(groups.join(classes, "node").select("component", "rep", "n_shingles"), "members")
     sizes = members.groupBy("component").agg(F.sum("n_shingles").alias("shingles"), F.count(F.lit(1)).alias("sets"))
     blocks = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
     sizes = sizes.where(F.col("sets") > 1).select("component", blocks.alias("blocks"))
-    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    total, parted = members.agg(F.sum("n_shingles")).first()[0] or 0, sizes.where(F.col("blocks") > 1)
     tasks = max(math.ceil(total / BLOCK_SHINGLES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     wanted = members.join(sizes, "component")
     # A block meets every block of its group; groups of one block share tasks.
@@ -436,7 +436,12 @@ def verified_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, schem
     sets = (texts.join(listed.hint("merge"), texts["doc_id"] == listed["rep"])
             .select("rep", "meets", "text")
             .mapInArrow(tidy(sets_of), "task long, low int, high int, component long, rep long, shingles binary"))
-    return sets.groupBy("task", "low", "high").applyInArrow(verify, "u long, v long")
+    stars = staged(sets.groupBy("task", "low", "high").applyInArrow(verify, "u long, v long"), "links")
+    if not parted.isEmpty():
+        return components(stars)
+    # Every group was seen whole: each star is a component around its least member.
+    ends = stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())
 
 
 def near_duplicate_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -452,7 +457,7 @@ def near_duplicate_components(docs: DataFrame, k: int, percent: int) -> DataFram
     buckets = max(math.ceil(size / BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     nodes = classes.select("node", "n_shingles", "parity")
     groups = components(possible_edges(staged(list_rows(docs, scheme, buckets), "lists"), nodes, scheme))
-    linked = components(verified_links(docs, classes, groups, scheme))
+    linked = linked_classes(docs, classes, groups, scheme)
     reach = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "node", "check", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id"))
     found = digests.join(reach, (digests["node"] == reach["node"]) & (digests["check"] == reach["check"])
