@@ -36,9 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from stormmart.llm.bwt import prefix_classes
-from stormmart.llm.common import staged, text_bytes
+from stormmart.llm.common import free_memory, staged, text_bytes, tidy
 
 LENGTH = 100
 GRAM = 16
@@ -47,7 +48,7 @@ REACH = LENGTH - GRAM + 1
 WIDEST = LENGTH + REACH - 1
 #: Text bytes that are cut into segments at once, and that are packed together.
 CUT_BYTES = 2_000_000
-FLUSH_BYTES = 8_000_000
+FLUSH_BYTES = 6_000_000
 #: Text bytes for each bucket of signposts.
 BUCKET_BYTES = 8_000_000
 #: Segment bytes whose order is made at once (more if one signpost has more).
@@ -152,9 +153,11 @@ class Segments:
         import zstandard
 
         head = np.array([len(self)], dtype="<i8").tobytes()
-        cols = (self.doc.astype("<i8"), self.start.astype("<i8"), self.length.astype("u1"),
-                self.post.astype("u1"), self.flat)
-        return zstandard.ZstdCompressor(level=3).compress(head + b"".join(c.tobytes() for c in cols))
+        # Numbers byte by byte, documents as differences: they compress better.
+        numbers = [x.astype("<i8").view("u1").reshape(-1, 8).T
+                   for x in (np.diff(self.doc, prepend=np.int64(0)), self.start)]
+        cols = (*numbers, self.length.astype("u1"), self.post.astype("u1"), self.flat)
+        return zstandard.ZstdCompressor(level=6).compress(head + b"".join(c.tobytes() for c in cols))
 
     @staticmethod
     def unpacked(blob: bytes) -> Segments:
@@ -163,10 +166,11 @@ class Segments:
         raw = zstandard.ZstdDecompressor().decompress(blob)
         n, at = int(np.frombuffer(raw, "<i8", 1)[0]), 8
         cols = []
-        for kind, size in (("<i8", 8), ("<i8", 8), ("u1", 1), ("u1", 1)):
-            cols.append(np.frombuffer(raw, kind, n, at).astype(np.int64))
+        for size in (8, 8, 1, 1):
+            part = np.frombuffer(raw, "u1", n * size, at).reshape(size, n)
+            cols.append(np.ascontiguousarray(part.T).view("<i8").ravel() if size == 8 else part[0].astype(np.int64))
             at += n * size
-        return Segments(*cols, np.frombuffer(raw, "u1", offset=at))
+        return Segments(np.cumsum(cols[0]), *cols[1:], np.frombuffer(raw, "u1", offset=at))
 
     def joined_copies(self) -> tuple[Segments, np.ndarray]:
         """The earliest of every group of equal segments, in order of document
@@ -340,6 +344,13 @@ def bucket_runs(table: pa.Table) -> pa.Table:
                      "to_byte": pa.array(end, pa.int64())})
 
 
+def _bucket(table: pa.Table) -> pa.Table:
+    try:
+        return bucket_runs(table)
+    finally:
+        free_memory()
+
+
 def frequent_grams(texts: DataFrame) -> np.ndarray:
     """Table of gram values that occur in FREQUENT or more sampled documents."""
     n = texts.count()
@@ -392,9 +403,9 @@ def covered_runs(numbered: DataFrame) -> DataFrame:
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _routed(buckets, np.unpackbits(frequent.value).astype(bool))(batches)
 
-    routed = texts.mapInArrow(route, "bucket int, segments binary, runs binary")
+    routed = texts.mapInArrow(tidy(route), "bucket int, segments binary, runs binary")
     runs = routed.groupBy("bucket").applyInArrow(
-        lambda t: bucket_runs(t), RUNS)
+        _bucket, RUNS)
     return runs.groupBy("doc").agg(F.collect_list(F.struct("from_byte", "to_byte")).alias("__runs"))
 
 
@@ -415,8 +426,36 @@ def kept_parts(text: bytes, runs: list[dict]) -> tuple[list[bytes], int]:
 
 
 def _with_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__text``, the compressed bytes of ``text`` in its place, and
+    ``__runs``: whole texts cross the network once, compressed."""
     numbered = numbered_texts(docs)
-    return numbered.join(covered_runs(numbered).withColumnRenamed("doc", "__doc"), "__doc", "left")
+    others = [c for c in numbered.columns if c != "text"]
+    schema = StructType([*(numbered.schema[c] for c in others), StructField("__text", BinaryType())])
+
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        small = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [None if t.as_py() is None else small(t.as_py()) for t in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(texts, pa.binary())],
+                names=schema.names)
+
+    packed = (numbered.select(*others, F.encode("text", "UTF-8").alias("__text"))
+              .mapInArrow(compress, schema))
+    return packed.join(covered_runs(numbered).withColumnRenamed("doc", "__doc"), "__doc", "left")
+
+
+def _kept(batch: pa.RecordBatch) -> Iterator[tuple[bytes | None, bytes, int]]:
+    """Per row: whole text, what is left of it, and removed runs."""
+    import zstandard
+
+    whole = zstandard.ZstdDecompressor().decompress
+    for packed, runs in zip(batch.column("__text"), batch.column("__runs")):
+        text = None if packed.as_py() is None else whole(packed.as_py())
+        kept, spans = kept_parts(text or b"", runs.as_py() or [])
+        yield text, b"".join(kept), spans
 
 
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -426,33 +465,30 @@ def removal_report(docs: DataFrame) -> DataFrame:
     """Per document: bytes, removed bytes and runs, and the digest of the rest."""
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, text, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                text = text.as_py() or b""
-                kept, spans = kept_parts(text, runs.as_py() or [])
-                rest = b"".join(kept)
-                rows.append((doc, len(text), len(text) - len(rest), spans, hashlib.sha256(rest).hexdigest()))
-            cols = list(zip(*rows)) or [()] * 5
+            rows = [(len(text or b""), len(text or b"") - len(rest), spans, hashlib.sha256(rest).hexdigest())
+                    for text, rest, spans in _kept(batch)]
+            cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 4 + [pa.string()])],
+                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.string()]))],
                 names=[x.split()[0] for x in REPORT.split(", ")])
 
-    joined = _with_runs(docs.select("doc_id", "text"))
-    return joined.select("doc_id", text_bytes("text").alias("text"), "__runs").mapInArrow(report, REPORT)
+    joined = _with_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return joined.select("doc_id", "__text", "__runs").mapInArrow(report, REPORT)
 
 
 def dedup_texts(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``; what a cut leaves of a
     character goes too. Other columns stay as they are."""
-    @F.pandas_udf("string")
-    def rest(text, runs):
-        return text.combine(runs, lambda t, r: t if r is None or t is None else b"".join(
-            kept_parts(t.encode(), [x.asDict() if hasattr(x, "asDict") else x for x in r])[0]
-        ).decode("utf-8", "ignore"))
-
-    joined = _with_runs(docs)
-    return joined.withColumn("text", F.when(F.col("__runs").isNull(), F.col("text")).otherwise(
-        rest("text", "__runs"))).select(*docs.columns)
+    columns = docs.columns
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if text is None else left.decode("utf-8", "ignore") for text, left, _ in _kept(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns],
+                names=columns)
+
+    return _with_runs(docs).mapInArrow(rest, docs.schema)
 
 
 def op10_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
