@@ -5,6 +5,8 @@
     ... stormmart/jobs.py stream --landing ... --clean ... --archive ...
     ... stormmart/jobs.py clean  --clean ...
     ... stormmart/jobs.py mart   --clean ... --mart mart.yearly_damage
+    ... stormmart/jobs.py models --clean ... --mart mart.yearly_damage   (clean, its tests, mart)
+    ... stormmart/jobs.py compact --clean ...
 
 The session is the cluster's (``getOrCreate``); nothing here sets a master.
 """
@@ -17,11 +19,11 @@ import json
 from pyspark.sql import SparkSession
 
 from stormmart.operators import quality as dq
-from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory, run_clean_model
+from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory, run_clean_model, run_models
 from stormmart.plans.layers import yearly_damage
 from stormmart.sinks.tables import materialize_table
 from stormmart.sinks.upsert import compact_upsert_table, read_upsert_table
-from stormmart.streaming.landing_stream import start_ingest
+from stormmart.streaming.landing_stream import FILES_PER_TRIGGER, start_ingest
 
 
 def _layout(args) -> Layout:
@@ -36,7 +38,7 @@ def _suite(args) -> dq.Suite | None:
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     p = argparse.ArgumentParser(prog="stormmart.jobs")
-    p.add_argument("job", choices=["ingest", "stream", "clean", "mart", "archive"])
+    p.add_argument("job", choices=["ingest", "stream", "clean", "mart", "models", "compact", "archive"])
     p.add_argument("--landing")
     p.add_argument("--archive")
     p.add_argument("--clean")
@@ -47,7 +49,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     p.add_argument("--suite", help="expectation-suite JSON file")
     p.add_argument("--buckets", type=int, default=64)
     p.add_argument("--spread", type=int, default=None)
-    p.add_argument("--files-per-trigger", type=int, default=2)
+    p.add_argument("--files-per-trigger", type=int, default=FILES_PER_TRIGGER)
     p.add_argument("--checkpoint")
     p.add_argument("--continuous", action="store_true", help="keep polling instead of availableNow")
     p.add_argument("--interval", default="1 minute")
@@ -64,6 +66,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         return {"stream": q.id}
     if args.job == "clean":
         return {"rewritten": run_clean_model(spark, layout)}
+    if args.job == "models":
+        return run_models(spark, layout, args.mart)
+    if args.job == "compact":
+        return {"rewritten": compact_upsert_table(spark, args.clean)}
     if args.job == "mart":
         materialize_table(yearly_damage(read_upsert_table(spark, args.clean)), args.mart)
         return {"mart": args.mart}

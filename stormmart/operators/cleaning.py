@@ -13,7 +13,10 @@ from stormmart.functions.text import DEFAULT_NULL_TOKENS, normalize_name, null_t
 from stormmart.functions.timestamps import parse_event_timestamp
 from stormmart.schemas import (
     DATE_LOADED,
+    FILE_PATH,
     FILENAME,
+    MALFORMED,
+    NOT_CAST,
     RAW_COLUMNS,
     ROUNDED_INT_COLUMNS,
     ROW_HASH,
@@ -72,14 +75,18 @@ def _as_int(c: Column) -> Column:
 
 def conform_types(df: DataFrame, columns=RAW_COLUMNS,
                   rounded: Sequence[str] = ROUNDED_INT_COLUMNS,
-                  century_source: dict[str, str] = TIMESTAMP_CENTURY_SOURCE) -> DataFrame:
+                  century_source: dict[str, str] = TIMESTAMP_CENTURY_SOURCE,
+                  report: bool = False) -> DataFrame:
     """One projection casting every text column to its table type.
 
     Every cast is a ``try_cast`` (ANSI mode is on): a bad value becomes null
-    and is counted by the quality rules instead of failing the job.
+    instead of failing the job. With ``report``, ``__not_cast`` names the columns
+    of a row whose text was present but did not parse (null if there is none),
+    for a quality rule to count.
     """
     kinds = dict(columns)
     out = []
+    failed = []
     for name in df.columns:
         kind = kinds.get(name)
         c = F.col(name)
@@ -97,6 +104,10 @@ def conform_types(df: DataFrame, columns=RAW_COLUMNS,
             out.append(c)
             continue
         out.append(expr.alias(name))
+        failed.append(F.when(c.isNotNull() & expr.isNull(), F.lit(name)))
+    if report:
+        named = F.concat_ws(",", *failed)
+        out.append(F.when(named != "", named).alias(NOT_CAST))
     return df.select(*out)
 
 
@@ -105,9 +116,9 @@ def prepare_raw(rows: DataFrame, loaded_at: Column | None = None) -> DataFrame:
 
     Header removal -> null tokens -> hash + file name + names -> types -> load time.
     """
-    source = [c for c in rows.columns if c != FILENAME]
+    source = [c for c in rows.columns if c not in (FILENAME, FILE_PATH, MALFORMED)]
     out = drop_repeated_headers(rows, source[0])
     out = apply_null_tokens(out, source)
     out = add_meta_columns(out, source)
-    out = conform_types(out)
+    out = conform_types(out, report=True)
     return out.withColumn(DATE_LOADED, F.current_timestamp() if loaded_at is None else loaded_at)

@@ -83,13 +83,15 @@ def above_max(batch: DataFrame, target: DataFrame | None, column: str,
     if target is None:
         return batch
     if eager:
-        # The value travels as Spark's own text form and is cast back to the
-        # column type: exact, and free of Python timezone conversions.
+        # A timestamp travels as microseconds (its text form is ambiguous in the
+        # hour that a time zone repeats), other values as Spark's own text.
         dtype = target.schema[column].dataType
-        mx = target.agg(F.max(column).cast("string")).first()[0]
+        newest = F.max(column)
+        instant = isinstance(dtype, T.TimestampType)
+        mx = target.agg(F.unix_micros(newest) if instant else newest.cast("string")).first()[0]
         if mx is None:
             return batch
-        return batch.filter(F.col(column) > F.lit(mx).cast(dtype))
+        return batch.filter(F.col(column) > (F.timestamp_micros(F.lit(mx)) if instant else F.lit(mx).cast(dtype)))
     mx = target.select(F.max(column)).scalar()
     return batch.filter(F.coalesce(F.col(column) > mx, mx.isNull()))
 

@@ -14,7 +14,7 @@ import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormmart.schemas import QUALITY_RESULT_SCHEMA
@@ -29,14 +29,20 @@ COMPOUND_UNIQUE = "expect_compound_columns_to_be_unique"
 # Short names of the model tests.
 ALIASES = {"not_null": NOT_NULL, "unique": UNIQUE}
 
-# --- fixed values: state names accepted by the source suite (compared in
-# upper case, so the mixed-case duplicate adds nothing; the header word is in
-# the list as well).
+# Settings of a rule, besides its columns.
+_RANGE = {"min_value", "max_value"}
+RULE_KWARGS = {
+    NOT_NULL: set(), BE_NULL: set(), IN_SET: {"value_set", "ignore_case"},
+    BETWEEN: _RANGE | {"strict_min", "strict_max"}, LENGTH_BETWEEN: _RANGE,
+    UNIQUE: set(), COMPOUND_UNIQUE: set(),
+}
+
+# --- fixed values: state names accepted by the source suite (compared in upper case).
 STATE_NAMES = [
-    "STATE", "ALABAMA", "ALASKA", "ARIZONA", "ARKANSAS", "CALIFORNIA",
+    "ALABAMA", "ALASKA", "ARIZONA", "ARKANSAS", "CALIFORNIA",
     "COLORADO", "CONNECTICUT", "DELAWARE", "DISTRICT OF COLUMBIA", "FLORIDA",
     "GEORGIA", "HAWAII", "IDAHO", "ILLINOIS", "INDIANA", "IOWA", "KANSAS",
-    "KENTUCKY", "Kentucky", "LOUISIANA", "MAINE", "MARYLAND", "MASSACHUSETTS",
+    "KENTUCKY", "LOUISIANA", "MAINE", "MARYLAND", "MASSACHUSETTS",
     "MICHIGAN", "MINNESOTA", "MISSISSIPPI", "MISSOURI", "MONTANA", "NEBRASKA",
     "NEVADA", "NEW HAMPSHIRE", "NEW JERSEY", "NEW MEXICO", "NEW YORK",
     "NORTH CAROLINA", "NORTH DAKOTA", "OHIO", "OKLAHOMA", "OREGON",
@@ -59,6 +65,21 @@ class Rule:
     column: str | tuple[str, ...]
     kwargs: dict = field(default_factory=dict, hash=False, compare=False)
 
+    def __post_init__(self) -> None:
+        if self.kind not in RULE_KWARGS:
+            raise ValueError(f"unknown rule {self.kind}")
+        extra = set(self.kwargs) - RULE_KWARGS[self.kind] - {"mostly"}
+        if extra:
+            raise ValueError(f"{self.kind}: settings {sorted(extra)} are not known")
+        if not 0 < self.mostly <= 1 or (self.mostly < 1 and self.kind in (UNIQUE, COMPOUND_UNIQUE)):
+            raise ValueError(f"{self.kind}: mostly={self.mostly} is not possible")
+
+    @property
+    def mostly(self) -> float:
+        """Least share of the rule's values (all rows, or for rules on values those
+        that are not null) that must meet it."""
+        return float(self.kwargs.get("mostly", 1.0))
+
     @property
     def column_name(self) -> str:
         return ",".join(self.column) if isinstance(self.column, tuple) else self.column
@@ -94,13 +115,18 @@ class Suite:
         return cls(doc.get("expectation_suite_name", "suite"), rules)
 
     def save(self, path: str) -> None:
-        with open(path, "w", encoding="utf-8") as fh:
-            fh.write(self.to_json())
+        """Write the suite to a file of any file system that Spark reads."""
+        spark = SparkSession.getActiveSession()
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out = fs.create(target, True)
+        out.write(bytearray(self.to_json().encode("utf-8")))
+        out.close()
 
     @classmethod
     def load(cls, path: str) -> "Suite":
-        with open(path, encoding="utf-8") as fh:
-            return cls.from_json(fh.read())
+        spark = SparkSession.getActiveSession()
+        return cls.from_json(spark.read.text(path, wholetext=True).first()[0])
 
 
 # -- rule constructors -------------------------------------------------------
@@ -177,25 +203,61 @@ def _is_key_rule(rule: Rule) -> bool:
     return rule.kind in (UNIQUE, COMPOUND_UNIQUE)
 
 
-def _result(suite: str, rule: Rule, n: Column, bad: Column) -> Column:
+def _row_metrics(rules: Sequence[Rule]) -> list[Column]:
+    """One count for each rule, one of its values where ``mostly`` needs it, and the rows."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs += [F.count_if(unexpected(r)).alias(f"__u{i}") for i, r in enumerate(rules)]
+    aggs += [(F.count(F.lit(1)) if r.kind in (NOT_NULL, BE_NULL) else F.count(F.col(r.column))).alias(f"__v{i}")
+             for i, r in enumerate(rules) if r.mostly < 1]
+    return aggs
+
+
+def _passes(rule: Rule, i: int) -> Column:
+    if rule.mostly == 1:
+        return F.col(f"__u{i}") == 0
+    return F.col(f"__v{i}") - F.col(f"__u{i}") >= F.col(f"__v{i}") * rule.mostly
+
+
+def _result(suite: str, rule: Rule, n: Column, bad: Column, success: Column) -> Column:
     return F.struct(
         F.lit(suite).alias("suite"),
         F.lit(rule.kind).alias("rule"),
         F.lit(rule.column_name).alias("column_name"),
         n.cast("long").alias("element_count"),
         bad.cast("long").alias("unexpected_count"),
+        success.alias("success"),
     )
 
 
 def _row_rules_frame(df: DataFrame, suite: Suite, rules: Sequence[Rule]) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.count_if(unexpected(r)).alias(f"__u{i}") for i, r in enumerate(rules)]
-    one = df.agg(*aggs)
+    return _row_results(df.agg(*_row_metrics(rules)), suite, rules)
+
+
+def _row_results(one: DataFrame, suite: Suite, rules: Sequence[Rule]) -> DataFrame:
     return one.select(F.inline(F.array(*[
-        _result(suite.name, r, F.col("__n"), F.col(f"__u{i}")) for i, r in enumerate(rules)
+        _result(suite.name, r, F.col("__n"), F.col(f"__u{i}"), _passes(r, i)) for i, r in enumerate(rules)
     ])))
 
 
+def run_row_rules_by(df: DataFrame, suite: Suite, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Row-level rules for each group of ``by`` in one pass: the results of all
+    rows together, and the groups that break a rule. Both read the small table
+    of counts, which is persisted."""
+    rules = [r for r in suite.rules if not _is_key_rule(r)]
+    counts = df.groupBy(*by).agg(*_row_metrics(rules)).persist()
+    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c not in by])
+    passes = F.lit(True)
+    for i, r in enumerate(rules):
+        passes = passes & _passes(r, i)
+    results = _row_results(sums, suite, rules) if rules else df.sparkSession.createDataFrame([], QUALITY_RESULT_SCHEMA)
+    return results, counts.where(~passes).select(*by)
+
+
+def key_rules(suite: Suite) -> Suite:
+    """The suite's uniqueness rules."""
+    return Suite(suite.name, [r for r in suite.rules if _is_key_rule(r)])
+
+
 def _key_rule_frame(df: DataFrame, suite: Suite, rule: Rule) -> DataFrame:
     """Uniqueness as the model tests define it: keys (every part non-null) occurring more than once.
 
@@ -212,7 +274,7 @@ def _key_rule_frame(df: DataFrame, suite: Suite, rule: Rule) -> DataFrame:
         F.count_if(present & (F.col("__c") > 1)).alias("__u"),
     )
     return one.select(F.inline(F.array(
-        _result(suite.name, rule, F.coalesce(F.col("__n"), F.lit(0)), F.col("__u"))
+        _result(suite.name, rule, F.coalesce(F.col("__n"), F.lit(0)), F.col("__u"), F.col("__u") == 0)
     )))
 
 
@@ -229,7 +291,7 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("success", F.col("unexpected_count") == 0)
+    return out
 
 
 def observe_suite(df: DataFrame, suite: Suite):
@@ -244,9 +306,7 @@ def observe_suite(df: DataFrame, suite: Suite):
 
     rules = [r for r in suite.rules if not _is_key_rule(r)]
     obs = Observation(f"suite_{suite.name}")
-    metrics = [F.count(F.lit(1)).alias("__n")]
-    metrics += [F.count_if(unexpected(r)).alias(f"__u{i}") for i, r in enumerate(rules)]
-    return df.observe(obs, *metrics), obs
+    return df.observe(obs, *_row_metrics(rules)), obs
 
 
 def observation_results(suite: Suite, obs) -> list[dict]:
@@ -255,7 +315,8 @@ def observation_results(suite: Suite, obs) -> list[dict]:
     got = obs.get
     return [{"suite": suite.name, "rule": r.kind, "column_name": r.column_name,
              "element_count": int(got["__n"]), "unexpected_count": int(got[f"__u{i}"]),
-             "success": int(got[f"__u{i}"]) == 0} for i, r in enumerate(rules)]
+             "success": int(got[f"__u{i}"]) == 0 if r.mostly == 1 else
+             got[f"__v{i}"] - got[f"__u{i}"] >= got[f"__v{i}"] * r.mostly} for i, r in enumerate(rules)]
 
 
 def observed_values(df: DataFrame, column: str) -> DataFrame:
@@ -268,12 +329,23 @@ def gate(results: DataFrame) -> list[dict]:
     rows = [r.asDict() for r in results.collect()]
     failed = [r for r in rows if not r["success"]]
     if failed:
-        msg = "; ".join(f"{r['rule']}({r['column_name']}): {r['unexpected_count']} of "
-                        f"{r['element_count']}" for r in failed)
-        raise QualityGateError(f"suite failed: {msg}")
+        raise QualityGateError(failures(failed))
     return rows
 
 
+def failures(failed: Iterable[dict]) -> str:
+    return "suite failed: " + "; ".join(
+        f"{r['rule']}({r['column_name']}): {r['unexpected_count']} of {r['element_count']}" for r in failed)
+
+
+def run_summary(results: Iterable[dict]) -> dict:
+    """The run as a whole: success and how many rules passed."""
+    rows = list(results)
+    passed = sum(bool(r["success"]) for r in rows)
+    return {"success": passed == len(rows), "evaluated_rules": len(rows), "successful_rules": passed,
+            "unsuccessful_rules": len(rows) - passed}
+
+
 def validate(df: DataFrame, suite: Suite) -> list[dict]:
     """Run the suite on ``df`` and stop (raise) when it fails."""
     return gate(run_suite(df, suite))

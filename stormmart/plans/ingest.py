@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,20 +11,22 @@ from pyspark.sql import functions as F
 
 from stormmart.operators import quality as dq
 from stormmart.operators.cleaning import prepare_raw
-from stormmart.plans.layers import clean
-from stormmart.schemas import FILENAME, ROW_HASH, text_length_limits
+from stormmart.plans.layers import clean, stage, yearly_damage
+from stormmart.schemas import FILE_PATH, FILENAME, MALFORMED, NOT_CAST, ROW_HASH, text_length_limits
+from stormmart.session import shared_path
 from stormmart.sinks.tables import (
     BATCH,
     ensure_raw_tables,
-    log_rows,
+    materialize_table,
+    materialize_view,
     path_exists,
     read_raw,
     save_results,
-    write_batch,
+    write_files,
 )
 from stormmart.sinks.upsert import read_upsert_table, upsert_exists, upsert_table
 from stormmart.sources.catalog import loaded_files, missing_files
-from stormmart.sources.landing import list_landing, read_landing
+from stormmart.sources.landing import file_key, list_landing, read_landing
 
 
 @dataclass
@@ -52,94 +54,145 @@ class Layout:
 
 
 def default_suite() -> dq.Suite:
-    """Source rules plus the varchar(n) limits of the raw table."""
+    """Source rules, the varchar(n) limits of the raw table, and rules that no
+    line was malformed and no value lost in its cast."""
     suite = dq.source_suite()
-    return dq.Suite(suite.name, suite.rules + dq.length_suite(text_length_limits()).rules)
+    whole = [dq.be_null(MALFORMED), dq.be_null(NOT_CAST)]
+    return dq.Suite(suite.name, suite.rules + dq.length_suite(text_length_limits()).rules + whole)
 
 
-def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | str,
-                 layout: Layout, suite: dq.Suite | None = None) -> list[dict]:
-    """Load one batch of landing rows (all text + ``__filename``).
+def model_suite() -> dq.Suite:
+    """Tests of the clean model after its run: the row hash is there and unique."""
+    return dq.Suite("clean_model", [dq.not_null(ROW_HASH), dq.unique(ROW_HASH)])
 
-    Order: gate -> raw partition -> clean upsert -> log. The log is written
-    last and is the commit marker: a file counts as loaded only when every
-    layer has it. Files logged by *other* batches are skipped; a replay of this
-    batch id (a retried micro-batch, a rerun after a crash) redoes its own
-    steps, each of which replaces what an earlier attempt wrote. The batch is
-    scanned once (persisted for the gate and the raw write); nothing is
-    written when the gate fails. Returns the quality results.
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """Rows with the load key of their file (by path; by name if there is none)."""
+    path = F.col(FILE_PATH) if FILE_PATH in rows.columns else F.col(FILENAME)
+    return rows.withColumn(BATCH, file_key(path))
+
+
+def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | str, layout: Layout,
+                 suite: dq.Suite | None = None, files: DataFrame | None = None) -> list[dict]:
+    """Load one batch of landing rows (all text, with their file).
+
+    Every file has a partition of its own in the raw table and in the log, so a
+    rerun with any set of files replaces what an earlier attempt wrote of them.
+    Order: gate -> raw partitions -> clean upsert -> log. The log is the commit
+    mark of a file: only then every layer has it, and logged files are skipped.
+
+    The gate judges each file by itself: files that break a row rule are left
+    out (raw, clean and log), the others are loaded, and then the run fails,
+    naming the rules. A broken uniqueness rule stops the whole batch. Without
+    gate the suite only reports; its row rules are counted during the raw
+    write, its uniqueness rules on the written rows.
+
+    ``files`` (file name and load key of all files of the batch) lets files
+    without rows enter the log, too. Returns the quality results.
     """
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
-    batch = str(batch_id)
-    done_elsewhere = spark.table(layout.log_table).filter(F.col(BATCH) != batch)
+    done = spark.table(layout.log_table).select(BATCH).distinct()
     if layout.spread_partitions:
         # Content hash partitioning: deterministic, so a retried task gets
         # the same rows without the sort a round-robin repartition needs.
         landing_rows = landing_rows.repartition(
             layout.spread_partitions, F.xxhash64(*landing_rows.columns))
-    rows = prepare_raw(landing_rows)
-    rows = rows.join(loaded_files(done_elsewhere), on=FILENAME, how="left_anti")
+    rows = _keyed(prepare_raw(landing_rows)).join(done, on=BATCH, how="left_anti")
+    for c in (MALFORMED, NOT_CAST):
+        if c not in rows.columns:
+            rows = rows.withColumn(c, F.lit(None).cast("string"))
     suite = suite or default_suite()
+    keys = dq.key_rules(suite)
+    refused: list[dict] = []
     if layout.gate:
         if layout.persist_batch:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if rows.isEmpty():          # every file already loaded: nothing to do
-                return []
-            checked = dq.gate(dq.run_suite(rows, suite))
-            write_batch(rows, layout.raw_table, batch)
+            results, bad = dq.run_row_rules_by(rows, suite, [FILENAME, BATCH])
+            checked = [r.asDict() for r in results.collect()]
+            bad = bad.select(BATCH)
+            good = rows.join(bad, on=BATCH, how="left_anti")
+            if keys.rules:
+                checked += dq.gate(dq.run_suite(good, keys))
+            refused = [r for r in checked if not r["success"]]
+            if files is not None:
+                files = files.join(bad, on=BATCH, how="left_anti")
+            write_files(good, layout.raw_table)
+            loaded = good.select(BATCH, FILENAME).distinct() if files is None else files
+            # Which files go on is read again below, from a table that stays.
+            loaded = _kept(loaded)
         finally:
             if layout.persist_batch:
                 rows.unpersist()
     else:
         observed, obs = dq.observe_suite(rows, suite)
-        write_batch(observed, layout.raw_table, batch)
+        write_files(observed, layout.raw_table)
         checked = dq.observation_results(suite, obs)
-        if checked and checked[0]["element_count"] == 0:
-            return []
-    if layout.results_table:
+        loaded = _kept(rows.select(BATCH, FILENAME).distinct() if files is None else files)
+        if keys.rules:
+            checked += [r.asDict() for r in dq.run_suite(_written(spark, layout, loaded), keys).collect()]
+    if loaded.isEmpty() and not refused:
+        return []
+    if layout.results_table and checked:
         save_results(spark.createDataFrame(checked, dq.QUALITY_RESULT_SCHEMA),
-                     layout.results_table, batch)
-    # Later steps read the batch partition just written: the lineage stops at
-    # a stored table, and the log records exactly the files that landed.
-    written = spark.table(layout.raw_table).filter(F.col(BATCH) == batch).drop(BATCH)
+                     layout.results_table, str(batch_id))
+    if refused and loaded.isEmpty():
+        raise dq.QualityGateError(dq.failures(refused))
+    # Later steps read the partitions just written: the lineage stops there.
     if layout.clean_path:
         # The batch is the increment: its rows were loaded now, after every
         # stored row, so the clean model's "newer than the target" filter
         # keeps all of them and the target's max is not scanned.
-        upsert_table(spark, clean(written), layout.clean_path, ROW_HASH, layout.n_buckets,
-                     layout.clean_group_cols, key_sets_group=True)
-    write_batch(log_rows(written, batch), layout.log_table, batch)
+        upsert_table(spark, clean(_written(spark, layout, loaded)), layout.clean_path, ROW_HASH,
+                     layout.n_buckets, layout.clean_group_cols, key_sets_group=True)
+    write_files(loaded.withColumn("date_loaded", F.current_timestamp())
+                .withColumn("batch_id", F.lit(str(batch_id))), layout.log_table)
+    if refused:
+        raise dq.QualityGateError(dq.failures(refused) + "; files that break a rule were not loaded")
     return checked
 
 
-def batch_id_for(paths: list[str]) -> str:
-    """Deterministic batch id of a set of files: a rerun of the same files
-    after a failure reuses it and replaces that attempt's partitions."""
-    digest = hashlib.sha256("\n".join(sorted(paths)).encode("utf-8")).hexdigest()
-    return f"files-{digest[:24]}"
+def _kept(files: DataFrame) -> DataFrame:
+    """A list of files as a small table in the shared folder."""
+    path = shared_path(files.sparkSession, "ingest", uuid.uuid4().hex)
+    files.select(BATCH, FILENAME).write.parquet(path)
+    return files.sparkSession.read.schema(files.select(BATCH, FILENAME).schema).parquet(path)
+
+
+def _written(spark: SparkSession, layout: Layout, loaded: DataFrame) -> DataFrame:
+    raw = spark.table(layout.raw_table)
+    return raw.join(loaded.select(BATCH), on=BATCH, how="left_semi").drop(BATCH)
 
 
 def files_to_load(spark: SparkSession, landing_dir: str, layout: Layout) -> DataFrame:
-    """Landing files whose name is not in the load log."""
+    """Landing files whose path is not in the load log."""
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
-    return missing_files(list_landing(spark, landing_dir), spark.table(layout.log_table))
+    listing = list_landing(spark, landing_dir).withColumn(BATCH, file_key(F.col(FILE_PATH)))
+    return missing_files(listing, spark.table(layout.log_table), BATCH)
 
 
 def ingest_directory(spark: SparkSession, landing_dir: str, layout: Layout,
                      suite: dq.Suite | None = None, batch_id: str | None = None) -> list[dict]:
     """Batch run: list the folder, read only the files not loaded yet, ingest them.
 
-    Only file paths (one per file, never rows) reach the driver, to hand the
-    reader its inputs.
+    Only file paths (one per pending file, never rows) reach the driver, to hand
+    the reader its inputs.
     """
     if not path_exists(spark, landing_dir):     # no landing folder yet: nothing to load
         return []
-    paths = [r.path for r in files_to_load(spark, landing_dir, layout).select("path").collect()]
+    pending = files_to_load(spark, landing_dir, layout)
+    paths = [r.path for r in pending.select("path").toLocalIterator()]
     if not paths:
         return []
     rows = read_landing(spark, paths)
-    return ingest_batch(spark, rows, batch_id or batch_id_for(paths), layout, suite)
+    # The files that are read, also if more arrive meanwhile.
+    listed = pending.join(spark.createDataFrame([(p,) for p in paths], "path string"),
+                          on="path", how="left_semi").select(FILENAME, BATCH)
+    return ingest_batch(spark, rows, batch_id or f"run-{uuid.uuid4().hex[:16]}", layout, suite, listed)
+
+
+class ArchiveError(RuntimeError):
+    """Some files could not be moved; they stay in the landing folder."""
 
 
 def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str,
@@ -147,23 +200,28 @@ def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str,
     """Move landing files that are in the load log into ``archive_dir``.
 
     The batch counterpart of the stream's ``cleanSource=archive``: the file
-    list is a semi join of the listing with the log; each move is one
-    file-system rename (metadata only, no data passes the driver).
+    list is a semi join of the listing with the log, read partition by
+    partition; each move is one file-system rename (metadata only). A name that
+    the archive has already gets its load key in front. Files that cannot be
+    moved are reported by an error after all others are done.
     """
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
-    listing = list_landing(spark, landing_dir)
-    done = listing.join(loaded_files(spark.table(layout.log_table)), on=FILENAME, how="left_semi")
-    paths = [r.path for r in done.select("path").collect()]
+    listing = list_landing(spark, landing_dir).withColumn(BATCH, file_key(F.col(FILE_PATH)))
+    done = listing.join(loaded_files(spark.table(layout.log_table), BATCH), on=BATCH, how="left_semi")
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     target_dir = jvm.org.apache.hadoop.fs.Path(archive_dir)
     fs = target_dir.getFileSystem(conf)
     fs.mkdirs(target_dir)
-    moved = []
-    for p in paths:
-        src = jvm.org.apache.hadoop.fs.Path(p)
-        if fs.rename(src, jvm.org.apache.hadoop.fs.Path(target_dir, src.getName())):
-            moved.append(src.getName())
+    moved, failed = [], []
+    for row in done.select("path", BATCH).toLocalIterator():
+        src = jvm.org.apache.hadoop.fs.Path(row["path"])
+        target = jvm.org.apache.hadoop.fs.Path(target_dir, src.getName())
+        if fs.exists(target):
+            target = jvm.org.apache.hadoop.fs.Path(target_dir, f"{row[BATCH]}-{src.getName()}")
+        (moved if fs.rename(src, target) else failed).append(src.getName())
+    if failed:
+        raise ArchiveError(f"{len(moved)} files moved, not moved: {failed}")
     return moved
 
 
@@ -179,3 +237,13 @@ def run_clean_model(spark: SparkSession, layout: Layout) -> list[str]:
         if upsert_exists(spark, layout.clean_path) else None
     return upsert_table(spark, clean(raw, target), layout.clean_path, ROW_HASH,
                         layout.n_buckets, layout.clean_group_cols, key_sets_group=True)
+
+
+def run_models(spark: SparkSession, layout: Layout, mart: str, view: str = "stg_storm_events") -> dict:
+    """The model chain in order: staging view, clean model, its tests, mart."""
+    materialize_view(stage(read_raw(spark, layout.raw_table)), view)
+    rewritten = run_clean_model(spark, layout)
+    rows = read_upsert_table(spark, layout.clean_path)
+    tests = dq.validate(rows, model_suite())
+    materialize_table(yearly_damage(rows), mart)
+    return {"rewritten": rewritten, "tests": dq.run_summary(tests), "mart": mart}

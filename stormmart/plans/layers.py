@@ -19,9 +19,9 @@ def stage(raw: DataFrame) -> DataFrame:
     return distinct_rows(raw)
 
 
-def latest_batch(staged: DataFrame, clean_target: DataFrame | None) -> DataFrame:
+def latest_batch(staged: DataFrame, clean_target: DataFrame | None, eager: bool = True) -> DataFrame:
     """Staged rows loaded after the newest row of the clean table (all if empty)."""
-    return above_max(staged, clean_target, DATE_LOADED)
+    return above_max(staged, clean_target, DATE_LOADED, eager)
 
 
 def dedupe(rows: DataFrame, key: str = ROW_HASH) -> DataFrame:
@@ -35,7 +35,7 @@ def dedupe(rows: DataFrame, key: str = ROW_HASH) -> DataFrame:
 
 
 def clean(rows: DataFrame, clean_target: DataFrame | None = None,
-          key: str = ROW_HASH) -> DataFrame:
+          key: str = ROW_HASH, eager: bool = True) -> DataFrame:
     """New clean rows for this run: incremental filter, then first row per key.
 
     ``rows`` may be the raw table or the staging view: the staging DISTINCT
@@ -44,7 +44,7 @@ def clean(rows: DataFrame, clean_target: DataFrame | None = None,
     table (newer load replaces an older row with the same key) is
     ``sinks.upsert.upsert_table``.
     """
-    return dedupe(latest_batch(rows, clean_target), key)
+    return dedupe(latest_batch(rows, clean_target, eager), key)
 
 
 def damage_columns(df: DataFrame, text_col: str = "damage_property") -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from stormmart.operators import quality as dq
 from stormmart.plans import registry as R
+from stormmart.plans.registry_files import FILE_ORACLE
 
 _NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$"
 _LETTER = r"\p{L}"
@@ -188,7 +189,7 @@ select o_orderkey, amount_text, {_Q02_N} as damage_number, {_Q02_U} as damage_un
        {_Q02_A} as amount
 from t
 """,
-    "q03_distinct_rows": "select distinct l_orderkey, l_returnflag, l_linestatus from lineitem",
+    "q03_distinct_rows": "select distinct * from lineitem",
     "q04_first_per_key": """
 select * exclude (rn) from (
   select *, row_number() over (
@@ -355,4 +356,5 @@ select *, {_CENTURY_TS.format(t="try_strptime(trim(event_text), '%d-%b-%y %H:%M:
                               ym="cast(begin_yearmonth as varchar)")} as event_time
 from t
 """,
+    **FILE_ORACLE,
 }

@@ -28,6 +28,7 @@ from stormmart.operators.dedupe import above_max, first_per_key, upsert_frames
 from stormmart.operators.lookup import branch
 from stormmart.plans.layers import clean, stage, yearly_damage, yearly_totals
 from stormmart.plans.samples import day_activities, first_model, order_totals, second_model
+from stormmart.plans.registry_files import FILE_QUERIES
 from stormmart.schemas import DATE_LOADED, FILENAME, TIMESTAMP_TEXT_FORMAT
 from stormmart.sources.catalog import loaded_files, missing_files
 from stormmart.sources.links import count_links, extract_links
@@ -123,9 +124,8 @@ def q02_parse_amount_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q03_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A-03: staging's SELECT DISTINCT * over a projection of lineitem."""
-    li = parquet_table(spark, sf_dir, "lineitem")
-    return stage(li.select("l_orderkey", "l_returnflag", "l_linestatus"))
+    """A-03: staging's SELECT DISTINCT * over lineitem."""
+    return stage(parquet_table(spark, sf_dir, "lineitem"))
 
 
 def q04_first_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,7 +325,7 @@ def q22_clean_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = first_per_key(
         raw.filter(F.col(DATE_LOADED) == F.lit(FIRST_LOAD_AT).cast("timestamp_ntz")),
         "o_orderkey", [DATE_LOADED, FILENAME])
-    new_rows = clean(raw, target, key="o_orderkey")
+    new_rows = clean(raw, target, key="o_orderkey", eager=False)
     return upsert_frames(target, new_rows, "o_orderkey")
 
 
@@ -431,4 +431,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q27_day_branches": q27_day_branches,
     "q28_dq_lengths": q28_dq_lengths,
     "q29_event_time_edges": q29_event_time_edges,
+    **FILE_QUERIES,
 }

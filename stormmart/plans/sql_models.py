@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stormmart.functions.amounts import LETTER as LETTERS
 from stormmart.functions.amounts import NUMBER_TEXT, UNIT_FACTORS
 from stormmart.schemas import DATE_LOADED, FILENAME, ROW_HASH
 from stormmart.sinks.tables import BATCH
@@ -57,28 +58,13 @@ SELECT {col_list} FROM (
 
 
 def mart_sql(source: str, text_col: str = "damage_property") -> str:
-    """SQL of the yearly damage mart over a clean relation."""
-    rest = f"regexp_replace(lower({text_col}), {_sql_text('^(\\P{L}*)\\p{L}')}, '$1')"
-    last = f"lower(right({text_col}, 1))"
-    cases = "\n".join(f"    WHEN damage_unit = '{u}' THEN damage_number * {f!r}"
-                      for u, f in UNIT_FACTORS.items())
-    return f"""
-WITH formatted AS (
-  SELECT state,
-         substr(CAST(begin_yearmonth AS STRING), 1, 4) AS event_year,
-         CASE WHEN length({rest}) > 0 AND {rest} RLIKE {_sql_text(NUMBER_TEXT)}
-              THEN try_cast({rest} AS DOUBLE) END AS damage_number,
-         CASE WHEN {last} RLIKE {_sql_text('\\p{L}')} THEN {last} END AS damage_unit
-  FROM {source}
-),
-damage AS (
-  SELECT *,
-  CASE
-{cases}
-    ELSE coalesce(damage_number, 0D)
-  END AS property_damage
-  FROM formatted
-)
-SELECT event_year, state, sum(property_damage) AS total_property_damage
-FROM damage
-GROUP BY 1, 2"""
+    """SQL of the yearly damage mart over a clean relation: one grouping, whose
+    summand is made by the unit table in ``functions.amounts``."""
+    low = f"lower({text_col})"
+    digits = f"regexp_replace({low}, {_sql_text('^([^' + LETTERS + ']*)[' + LETTERS + ']')}, '$1')"
+    number = f"if(length({digits}) > 0 AND rlike({digits}, {_sql_text(NUMBER_TEXT)}), try_cast({digits} AS DOUBLE), NULL)"
+    factors = ", ".join(f"'{u}', {f!r}D" for u, f in UNIT_FACTORS.items())
+    factor = f"element_at(map({factors}), right({low}, 1))"
+    return (f"SELECT left(CAST(begin_yearmonth AS STRING), 4) AS event_year, state, "
+            f"sum(coalesce({number} * {factor}, if({factor} IS NULL, coalesce({number}, 0D), NULL))) "
+            f"AS total_property_damage FROM {source} GROUP BY event_year, state")

@@ -77,6 +77,12 @@ ROUNDED_INT_COLUMNS = ("magnitude",)
 DATE_LOADED = "__date_loaded"
 ROW_HASH = "__row_hash"
 FILENAME = "__filename"
+# Set by the landing reader: where a row comes from, and the line if it does not
+# have the header's number of fields.
+FILE_PATH = "__file_path"
+MALFORMED = "__malformed"
+# Names of the columns whose text the table types could not take.
+NOT_CAST = "__not_cast"
 META_COLUMNS = (DATE_LOADED, ROW_HASH, FILENAME)
 META_LENGTHS = {ROW_HASH: 1000, FILENAME: 100}
 LOG_FILENAME_LENGTH = 200

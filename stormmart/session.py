@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -57,10 +58,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster's setting wins; only when it is unset (tests) a folder is chosen.
+    The cluster's setting wins. Only a local session without one gets a folder of
+    its own: on a cluster each executor would write to its own disk, so a missing
+    setting is an error there.
     """
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         current = default or os.path.join("/tmp", f"stormmart-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not spark.sparkContext.getCheckpointDir():

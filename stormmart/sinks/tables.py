@@ -1,27 +1,25 @@
 """Materializations of the layers.
 
-* raw table and load log: partitioned by batch id, each batch written with
-  ``INSERT OVERWRITE ... PARTITION (__batch = id)``, so replaying a batch
-  (at-least-once ``foreachBatch``, a retried job) replaces its own partition
-  instead of appending twice;
+* raw table and load log: partitioned by the load key of the file, written by
+  dynamic overwrite, so loading a file again (at-least-once ``foreachBatch``, a
+  rerun with other files beside it) replaces its partition instead of
+  appending twice;
 * clean table: upsert by key, see ``sinks.upsert``;
 * views and full-refresh tables for staging and marts.
 """
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stormmart.schemas import FILENAME, log_schema, raw_table_schema
+from stormmart.schemas import log_schema, raw_table_schema
 
 BATCH = "__batch"
-_BATCH_ID = re.compile(r"^[A-Za-z0-9_.:-]{1,200}$")
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class SchemaDriftError(ValueError):
@@ -61,24 +59,24 @@ def ensure_raw_tables(spark: SparkSession, raw: str, log: str) -> None:
     ensure_table(spark, log, StructType(log_schema().fields + batch.fields), [BATCH])
 
 
-def write_batch(df: DataFrame, table: str, batch: str) -> None:
-    """Write ``df`` as partition ``__batch=batch`` of ``table`` (replaces a replay).
+def write_files(df: DataFrame, table: str) -> None:
+    """Write rows into the partitions of their files (``__batch`` = load key).
 
-    ``INSERT OVERWRITE ... PARTITION (__batch = '<batch>')`` names the one
-    partition it replaces; every other batch stays untouched.
+    A dynamic overwrite replaces just the partitions that occur in ``df``, so
+    loading a file again replaces what an earlier attempt wrote of it.
     """
-    if not _BATCH_ID.match(batch):
-        raise ValueError(f"batch id must match {_BATCH_ID.pattern}: {batch!r}")
     spark = df.sparkSession
-    cols = [f.name for f in spark.table(table).schema.fields if f.name != BATCH]
-    view = f"__stormmart_batch_{uuid.uuid4().hex}"
-    df.select(*cols).createOrReplaceTempView(view)
+    cols = [f.name for f in spark.table(table).schema.fields]
+    # The insert of a catalog table takes the mode from the session only.
+    before = spark.conf.get(OVERWRITE_MODE, None)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
     try:
-        col_list = ", ".join(f"`{c}`" for c in cols)
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = '{batch}') "
-                  f"SELECT {col_list} FROM {view}")
+        df.select(*cols).write.mode("overwrite").insertInto(table)
     finally:
-        spark.catalog.dropTempView(view)
+        if before is None:
+            spark.conf.unset(OVERWRITE_MODE)
+        else:
+            spark.conf.set(OVERWRITE_MODE, before)
 
 
 def read_raw(spark: SparkSession, table: str) -> DataFrame:
@@ -86,13 +84,6 @@ def read_raw(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).drop(BATCH)
 
 
-def log_rows(batch_rows: DataFrame, batch_id: str | None) -> DataFrame:
-    """The distinct file names that really produced rows, with load time and batch."""
-    return (batch_rows.select(FILENAME).distinct()
-            .withColumn("date_loaded", F.current_timestamp())
-            .withColumn("batch_id", F.lit(batch_id).cast("string")))
-
-
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     """View materialization: the plan is inlined into every reader."""
     df.createOrReplaceTempView(name)

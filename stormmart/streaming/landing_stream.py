@@ -14,30 +14,33 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stormmart.operators import quality as dq
 from stormmart.plans.ingest import Layout, ingest_batch
-from stormmart.schemas import FILENAME, landing_schema
-from stormmart.sources.landing import CSV_GLOB, csv_options
+from stormmart.schemas import landing_schema
+from stormmart.sources.landing import CSV_GLOB, csv_options, with_file_columns, with_malformed
 from stormmart.session import shared_path
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 2,
+# A gzip file is one task; a micro-batch should fill a cluster.
+FILES_PER_TRIGGER = 64
+
+
+def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = FILES_PER_TRIGGER,
                    archive_dir: str | None = None) -> DataFrame:
-    """Streaming scan of the landing folder (text columns + ``__filename``)."""
-    reader = (spark.readStream.schema(landing_schema()).options(**csv_options())
+    """Streaming scan of the landing folder, as ``read_landing``."""
+    reader = (spark.readStream.schema(with_malformed(landing_schema())).options(**csv_options())
               .option("pathGlobFilter", CSV_GLOB)
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return reader.csv(landing_dir).withColumn(FILENAME, F.col("_metadata.file_name"))
+    return with_file_columns(reader.csv(landing_dir))
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
                  checkpoint: str | None = None, suite: dq.Suite | None = None,
-                 max_files_per_trigger: int = 2, archive_dir: str | None = None,
+                 max_files_per_trigger: int = FILES_PER_TRIGGER, archive_dir: str | None = None,
                  available_now: bool = True, query_name: str | None = None,
                  interval: str = "1 minute") -> StreamingQuery:
     """Start the ingest stream.
@@ -45,7 +48,9 @@ def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
     ``available_now`` processes what is in the folder and stops (a scheduled
     run); otherwise the stream keeps polling every ``interval``.
     """
-    checkpoint = checkpoint or shared_path(spark, "streams", query_name or "landing_ingest")
+    own = "|".join([landing_dir, layout.raw_table, layout.log_table, layout.clean_path])
+    checkpoint = checkpoint or shared_path(
+        spark, "streams", query_name or "landing-" + hashlib.sha256(own.encode("utf-8")).hexdigest()[:16])
     # Batch ids must differ between streams writing the same tables: the
     # default prefix comes from the stream's own checkpoint location.
     prefix = query_name or "stream-" + hashlib.sha256(checkpoint.encode("utf-8")).hexdigest()[:12]

@@ -18,18 +18,19 @@ def _quote(v: str | None) -> str:
 
 def event_row(i: int, **over) -> dict:
     row = {n: None for n in SOURCE_NAMES}
+    # An invented hail report.
     row.update({
-        "begin_yearmonth": "195004", "begin_day": str(1 + i % 28), "begin_time": "1445",
-        "end_yearmonth": "195004", "end_day": str(1 + i % 28), "end_time": "1500",
-        "episode_id": str(1000 + i), "event_id": str(10000 + i), "state": "OKLAHOMA",
-        "state_fips": "40", "year": "1950", "month_name": "April", "event_type": "Tornado",
-        "cz_type": "C", "cz_fips": "149", "cz_name": "WASHITA", "wfo": "OUN",
-        "begin_date_time": "28-APR-50 14:45:00", "cz_timezone": "CST",
-        "end_date_time": "28-APR-50 15:00:00", "injuries_direct": "0", "injuries_indirect": "0",
+        "begin_yearmonth": "200707", "begin_day": str(1 + i % 28), "begin_time": "605",
+        "end_yearmonth": "200707", "end_day": str(1 + i % 28), "end_time": "640",
+        "episode_id": str(70 + i), "event_id": str(10000 + i), "state": "OKLAHOMA",
+        "state_fips": "7", "year": "2007", "month_name": "July", "event_type": "Hail",
+        "cz_type": "Z", "cz_fips": "12", "cz_name": "INVENTED", "wfo": "ABC",
+        "begin_date_time": "09-JUL-07 06:05:00", "cz_timezone": "MST",
+        "end_date_time": "09-JUL-07 06:40:00", "injuries_direct": "2", "injuries_indirect": "1",
         "deaths_direct": "0", "deaths_indirect": "0", "damage_property": f"{i}K",
-        "damage_crops": "0", "source": "Unknown", "magnitude": "0", "tor_f_scale": "F3",
-        "tor_length": "3.4", "tor_width": "400", "begin_lat": "35.12", "begin_lon": "-99.2",
-        "end_lat": "35.17", "end_lon": "-99.2", "data_source": "PUB",
+        "damage_crops": "5K", "source": "Made up", "magnitude": "1.75",
+        "begin_lat": "10.5", "begin_lon": "20.25", "end_lat": "10.75", "end_lon": "20.5",
+        "data_source": "TST",
     })
     row.update(over)
     return row

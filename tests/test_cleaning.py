@@ -26,7 +26,7 @@ def test_landing_read_and_prepare(spark, tmp_dir):
     assert out.filter(F.col("event_id") == 10005).first().state is None
     assert out.filter(F.col("event_id") == 10006).first().magnitude == 53
     first = out.filter(F.col("event_id") == 10000).first()
-    assert str(first.begin_date_time) == "1950-04-28 14:45:00"
+    assert str(first.begin_date_time) == "2007-07-09 06:05:00"
     assert first["__filename"] == "f0.csv.gz"
     assert out.select("__row_hash").distinct().count() == 21
     assert set(out.columns[:3]) == {"begin_yearmonth", "begin_day", "begin_time"}
@@ -35,7 +35,7 @@ def test_landing_read_and_prepare(spark, tmp_dir):
 
 
 def test_header_filter_is_null_safe(spark):
-    df = spark.createDataFrame([("BEGIN_YEARMONTH",), (None,), ("195004",)], "BEGIN_YEARMONTH string")
+    df = spark.createDataFrame([("BEGIN_YEARMONTH",), (None,), ("196205",)], "BEGIN_YEARMONTH string")
     assert drop_repeated_headers(df).count() == 2
 
 
@@ -48,9 +48,9 @@ def test_hash_keeps_null_positions(spark):
 def test_event_timestamp_parse_and_century(spark):
     from stormmart.functions.timestamps import parse_event_timestamp
 
-    rows = [("28-APR-50 14:45:00", "195004"), ("28-apr-50 14:45:00", None), ("31-FEB-50 00:00:00", "195002"),
-            ("01-Jan-99 1:05:09", "189901"), ("garbage", "195004"), ("10-MAR-24 02:30:00", "202403"),
-            (None, "195004"), ("28-XYZ-50 14:45:00", "195004")]
+    rows = [("17-MAY-62 03:20:10", "196205"), ("17-may-62 03:20:10", None), ("31-FEB-62 00:00:00", "196202"),
+            ("01-Jan-99 1:05:09", "189901"), ("garbage", "196205"), ("10-MAR-24 02:30:00", "202403"),
+            (None, "196205"), ("17-XYZ-62 03:20:10", "196205")]
     df = spark.createDataFrame(rows, "t string, ym string")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
@@ -58,7 +58,7 @@ def test_event_timestamp_parse_and_century(spark):
                for r in df.select(parse_event_timestamp("t", "ym").alias("p")).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == ["1950-04-28 14:45:00", "2050-04-28 14:45:00", None, "1899-01-01 01:05:09",
+    assert got == ["1962-05-17 03:20:10", "2062-05-17 03:20:10", None, "1899-01-01 01:05:09",
                    None, "2024-03-10 02:30:00", None, None]
 
 
@@ -79,5 +79,5 @@ def test_crlf_files_keep_clean_values(spark, tmp_dir):
     write_csv(os.path.join(tmp_dir, "win.csv.gz"), rows, header_every=3, newline="\r\n")
     out = prepare_raw(read_landing(spark, tmp_dir)).cache()
     assert out.count() == 5
-    assert out.filter(F.col("data_source") != "PUB").count() == 0     # no trailing \r
+    assert out.filter(F.col("data_source") != "TST").count() == 0     # no trailing \r
     assert out.filter(F.col("event_id") == 10001).first().event_narrative == "line one\nline two"

@@ -48,7 +48,7 @@ def test_ingest_directory_once_per_file_and_clean_dedupe(spark, tmp_dir):
     r0 = clean.filter(F.col("event_id") == 10000).first()
     assert r0["__date_loaded"] == newest and r0["__filename"] == "d1951.csv.gz"
     mart = {(r.event_year, r.state): r.total_property_damage for r in yearly_damage(clean).collect()}
-    assert mart == {("1950", "OKLAHOMA"): 1000.0 * (sum(range(10)) + 50)}
+    assert mart == {("2007", "OKLAHOMA"): 1000.0 * (sum(range(10)) + 50)}
     # archive what is loaded; a file that is not in the log stays
     write_csv(os.path.join(landing, "d1952.csv.gz"), [event_row(60)])
     archive = os.path.join(tmp_dir, "archive")
@@ -74,19 +74,19 @@ def test_rerun_after_crash_before_log_completes_every_layer(spark, tmp_dir, monk
     landing = os.path.join(tmp_dir, "landing")
     write_csv(os.path.join(landing, "d1960.csv.gz"), [event_row(i) for i in range(6)])
     layout = _layout(tmp_dir)
-    real_write = ingest_mod.write_batch
+    real_write = ingest_mod.write_files
 
-    def crash_on_log(df, table, batch):
+    def crash_on_log(df, table):
         if table == layout.log_table:
             raise RuntimeError("executor lost while writing the log")
-        return real_write(df, table, batch)
+        return real_write(df, table)
 
-    monkeypatch.setattr(ingest_mod, "write_batch", crash_on_log)
+    monkeypatch.setattr(ingest_mod, "write_files", crash_on_log)
     with pytest.raises(RuntimeError):
         ingest_directory(spark, landing, layout)
-    monkeypatch.setattr(ingest_mod, "write_batch", real_write)
+    monkeypatch.setattr(ingest_mod, "write_files", real_write)
     assert spark.table(layout.log_table).count() == 0           # not committed
-    ingest_directory(spark, landing, layout)                     # rerun: same batch id
+    ingest_directory(spark, landing, layout)                     # rerun of the same file
     assert spark.table(layout.raw_table).count() == 6            # partition replaced, not doubled
     assert spark.table(layout.log_table).count() == 1
     assert read_upsert_table(spark, layout.clean_path).count() == 6
@@ -160,3 +160,107 @@ def test_gated_batch_without_persist(spark, tmp_dir):
     assert all(r["success"] for r in ingest_directory(spark, landing, layout))
     assert spark.table(layout.raw_table).count() == 3
     assert read_upsert_table(spark, layout.clean_path).count() == 3
+
+
+def test_crash_then_new_file_then_rerun_loads_each_row_once(spark, tmp_dir, monkeypatch):
+    import stormmart.plans.ingest as ingest_mod
+
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "a.csv.gz"), [event_row(i) for i in range(4)])
+    layout = _layout(tmp_dir)
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost after the raw write")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest_mod, "upsert_table", crash)
+        with pytest.raises(RuntimeError):
+            ingest_directory(spark, landing, layout)
+    write_csv(os.path.join(landing, "b.csv.gz"), [event_row(10 + i) for i in range(2)])
+    ingest_directory(spark, landing, layout)
+    assert spark.table(layout.raw_table).count() == 6
+    assert spark.table(layout.log_table).count() == 2
+    assert read_upsert_table(spark, layout.clean_path).count() == 6
+
+
+def test_files_without_rows_are_logged_and_archived_once(spark, tmp_dir):
+    landing, archive = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "archive")
+    write_csv(os.path.join(landing, "empty.csv.gz"), [])
+    layout = _layout(tmp_dir)
+    ingest_directory(spark, landing, layout)
+    assert [r["__filename"] for r in spark.table(layout.log_table).collect()] == ["empty.csv.gz"]
+    assert archive_loaded(spark, landing, archive, layout) == ["empty.csv.gz"]
+    assert ingest_directory(spark, landing, layout) == [] and spark.table(layout.log_table).count() == 1
+
+
+def test_one_name_in_two_folders_is_two_files(spark, tmp_dir):
+    layout = _layout(tmp_dir)
+    for i, folder in enumerate(("one", "two")):
+        landing = os.path.join(tmp_dir, folder)
+        write_csv(os.path.join(landing, "same.csv.gz"), [event_row(i)])
+        ingest_directory(spark, landing, layout)
+    assert spark.table(layout.raw_table).count() == 2
+    archive = os.path.join(tmp_dir, "archive")
+    assert archive_loaded(spark, os.path.join(tmp_dir, "one"), archive, layout) == ["same.csv.gz"]
+    assert archive_loaded(spark, os.path.join(tmp_dir, "two"), archive, layout) == ["same.csv.gz"]
+    assert len(os.listdir(archive)) == 2
+
+
+def test_a_bad_file_does_not_block_the_others(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "good.csv.gz"), [event_row(i) for i in range(3)])
+    write_csv(os.path.join(landing, "bad.csv.gz"), [event_row(9, state="ATLANTIS"), event_row(8)])
+    write_csv(os.path.join(landing, "uncast.csv.gz"), [event_row(7, injuries_direct="12abc")])
+    layout = _layout(tmp_dir)
+    with pytest.raises(dq.QualityGateError, match="__not_cast"):
+        ingest_directory(spark, landing, layout)
+    assert spark.table(layout.raw_table).count() == 3
+    assert [r["__filename"] for r in spark.table(layout.log_table).collect()] == ["good.csv.gz"]
+    assert read_upsert_table(spark, layout.clean_path).count() == 3
+
+
+def test_uniqueness_rules_run_without_gate(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d.csv.gz"), [event_row(1), event_row(1)])
+    layout = _layout(tmp_dir)
+    layout.gate = False
+    results = ingest_directory(spark, landing, layout, dq.Suite("s", [dq.unique("event_id")]))
+    assert [(r["rule"], r["unexpected_count"], r["success"]) for r in results] == [(dq.UNIQUE, 1, False)]
+    assert spark.table(layout.raw_table).count() == 2
+
+
+def test_lines_and_headers_that_do_not_fit(spark, tmp_dir):
+    from stormmart.schemas import HEADER_NAMES
+    from stormmart.sources.landing import read_landing
+
+    path = write_csv(os.path.join(tmp_dir, "odd", "lines.csv"), [event_row(1), event_row(2)], gz=False)
+    with open(path, "a", encoding="utf-8") as fh:
+        fh.write("200707,1\n" + ",".join("x" * 60) + "\n")
+    rows = read_landing(spark, os.path.join(tmp_dir, "odd")).collect()
+    assert [r["__malformed"] is None for r in rows] == [True, True, False, False]
+    layout = _layout(tmp_dir)
+    with pytest.raises(dq.QualityGateError, match="__malformed"):
+        ingest_directory(spark, os.path.join(tmp_dir, "odd"), layout)
+    for name, header in (("moved", [HEADER_NAMES[1], HEADER_NAMES[0], *HEADER_NAMES[2:]]),
+                         ("more", [*HEADER_NAMES, "EXTRA"]), ("fewer", HEADER_NAMES[:-1])):
+        folder = os.path.join(tmp_dir, name)
+        os.makedirs(folder)
+        with open(os.path.join(folder, "f.csv"), "w", encoding="utf-8") as fh:
+            fh.write(",".join(header) + "\n" + ",".join("1" for _ in header) + "\n")
+        with pytest.raises(Exception, match="(?i)header"):
+            read_landing(spark, folder).collect()
+
+
+def test_model_chain(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    write_csv(os.path.join(landing, "d.csv.gz"), [event_row(i) for i in range(4)] + [event_row(0)])
+    layout = _layout(tmp_dir)
+    clean_path, layout.clean_path = layout.clean_path, ""
+    ingest_directory(spark, landing, layout)
+    layout.clean_path = clean_path
+    from stormmart.plans.ingest import run_models
+
+    mart = layout.raw_table.split(".")[0] + ".mart"
+    out = run_models(spark, layout, mart, "stg_" + uuid.uuid4().hex[:8])
+    assert out["tests"] == {"success": True, "evaluated_rules": 2, "successful_rules": 2, "unsuccessful_rules": 0}
+    assert spark.table(mart).first()["total_property_damage"] == 6000.0
