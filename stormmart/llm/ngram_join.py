@@ -36,16 +36,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormmart.llm.common import staged, text_bytes, tidy
+from stormmart.llm.common import free_memory, staged, text_bytes, tidy
 from stormmart.llm.components import components
 from stormmart.llm.shingles import mixed, shingle_set, words_of
 
 #: Largest size that may become light.
 MAX_LIGHT = 40
 #: Text bytes whose sets are made, and list entries packed, at once.
-CUT_BYTES = 4_000_000
+CUT_BYTES = 2_000_000
 #: Sets' bytes for each bucket of list entries (by input text).
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 #: Shingles of a group that one task verifies; larger groups are split into blocks.
 BLOCK_SHINGLES = 2_000_000
 #: Lists of up to so many sets are joined pair by pair; lists of more than
@@ -256,6 +256,7 @@ def list_rows(docs: DataFrame, scheme: Scheme, buckets: int) -> DataFrame:
         entries = np.concatenate([np.frombuffer(b, np.int64).reshape(2, -1)
                                   for b in table.column("entries").to_pylist()], axis=1)
         kind, u, v = _list_rows(entries[0], entries[1])
+        free_memory()
         return pa.table({"kind": pa.array(kind, pa.int32()), "u": pa.array(u, pa.int64()),
                          "v": pa.array(v, pa.int64())})
 
@@ -427,6 +428,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, groups: DataFrame, schem
                 if root != i:
                     u.append(rep)
                     v.append(group[root][0])
+        free_memory()
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     listed = wanted.groupBy("rep").agg(F.collect_list(F.struct("task", "low", "high", "component")).alias("meets"))

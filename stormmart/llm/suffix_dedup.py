@@ -47,8 +47,8 @@ GRAM = 16
 REACH = LENGTH - GRAM + 1
 WIDEST = LENGTH + REACH - 1
 #: Text bytes that are cut into segments at once, and that are packed together.
-CUT_BYTES = 2_000_000
-FLUSH_BYTES = 6_000_000
+CUT_BYTES = 1_000_000
+FLUSH_BYTES = 4_000_000
 #: Text bytes for each bucket of signposts.
 BUCKET_BYTES = 8_000_000
 #: Segment bytes whose order is made at once (more if one signpost has more).
