@@ -18,9 +18,12 @@ size: a large group is split into blocks, and every two blocks meet in one task.
 
 Defined cases: words are runs without white space (0x20, 0x09-0x0D), A-Z count
 as a-z; a text with fewer words than a shingle is one shingle; null and empty
-texts have an empty set and no link; equal rows are one class; rows with a null
-doc_id get a component only through others, else null; an empty table gives no
-rows; further columns are ignored.
+texts have an empty set and no link; rows link by their texts only, so rows that
+share a doc_id with different texts are linked no more than others; repeated
+rows are one class, and each row of the table is one of the result; rows with a
+null doc_id carry links like others, but a component has the least doc_id that
+is not null, and null if it has none; an empty table gives no rows; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -187,20 +190,28 @@ def parity(sets: np.ndarray) -> np.ndarray:
 
 
 def set_digests(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """doc_id, n_shingles, digest (node, check) and parity of every document's set."""
+    """doc_id, value of the text, n_shingles, digest (node, check) and parity of
+    every row's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (ids,), sets in _sets(batches, scheme.k):
+        for (ids, values), sets in _sets(batches, scheme.k):
             digests = [_digest(s) for s in sets]
             words = [parity(s) for s in sets]
             ends = np.cumsum([0] + [len(w) for w in words], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                [pa.array(ids, pa.int64()), pa.array(values, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
                  pa.ListArray.from_arrays(ends, np.concatenate(words))],
-                names=["doc_id", "n_shingles", "node", "check", "parity"])
+                names=["doc_id", "value", "n_shingles", "node", "check", "parity"])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text"))
-            .mapInArrow(tidy(run), "doc_id long, n_shingles long, node long, check long, parity array<long>"))
+    return _valued(docs).mapInArrow(
+        tidy(run), "doc_id long, value long, n_shingles long, node long, check long, parity array<long>")
+
+
+def _valued(docs: DataFrame) -> DataFrame:
+    """doc_id, value of the text, and its bytes."""
+    text = text_bytes("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("value"),
+                       text.alias("text"))
 
 
 # Kinds of rows that the inverted lists give.
@@ -387,9 +398,10 @@ def clusters(sets: list[np.ndarray], scheme: Scheme) -> Clusters:
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, groups: DataFrame, scheme: Scheme) -> DataFrame:
-    """(node, component) of the class representatives that have a link. ``groups``
-    has the candidate group of every node."""
-    members = staged(groups.join(classes, "node").select("component", "rep", "n_shingles"), "members")
+    """(node, component_id) of the classes that have a link. ``groups`` has the
+    candidate group of every node; a node is in one group."""
+    members = staged(groups.join(classes, "node").select(
+        "component", "node", "check", "rep", "value", "n_shingles"), "members")
     sizes = members.groupBy("component").agg(F.sum("n_shingles").alias("shingles"), F.count(F.lit(1)).alias("sets"))
     blocks = F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")
     sizes = sizes.where(F.col("sets") > 1).select("component", blocks.alias("blocks"))
@@ -397,53 +409,74 @@ def linked_classes(docs: DataFrame, classes: DataFrame, groups: DataFrame, schem
     tasks = max(math.ceil(total / BLOCK_SHINGLES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     wanted = members.join(sizes, "component")
     # A block meets every block of its group; groups of one block share tasks.
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     meet = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     wanted = (wanted.withColumn("own", own).withColumn("other", meet)
-              .select("rep", "component",
+              .select("node", "check", "rep", "value", "component",
                       F.least("own", "other").cast("int").alias("low"),
                       F.greatest("own", "other").cast("int").alias("high"),
                       F.when(F.col("blocks") > 1, F.col("component"))
                       .otherwise(F.pmod(F.xxhash64("component"), F.lit(tasks))).alias("task")))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (rep, keys), sets in _sets(batches, scheme.k):
-            rows = [(k["task"], k["low"], k["high"], k["component"], r, s.tobytes())
-                    for r, many, s in zip(rep, keys, sets) for k in many]
-            cols = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        done: set[int] = set()
+
+        def fresh() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = [i for i, node in enumerate(batch.column(0).to_pylist()) if node not in done]
+                yield batch.take(pa.array(at, pa.int64()))
+
+        for (nodes, checks, reps, keys), sets in _sets(fresh(), scheme.k):
+            rows = []
+            for node, check, rep, many, s in zip(nodes, checks, reps, keys, sets):
+                # Repeated rows have the same set, and another text of the same value has another.
+                if node not in done and _digest(s) == (node, check):
+                    done.add(node)
+                    rows += [(k["task"], k["low"], k["high"], k["component"], node, rep, s.tobytes()) for k in many]
+            cols = list(zip(*rows)) or [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             names=["task", "low", "high", "component", "rep", "shingles"])
+                                             names=["task", "low", "high", "component", "node", "rep", "shingles"])
 
     def verify(table: pa.Table) -> pa.Table:
-        by_group: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for component, rep, shingles in zip(*(table.column(c).to_pylist() for c in ("component", "rep", "shingles"))):
-            by_group.setdefault(component, []).append((rep, np.frombuffer(shingles, np.uint64)))
-        u, v = [], []
+        # By node: a skewed join may deal the rows of one class to several tasks.
+        by_group: dict[int, dict[int, tuple]] = {}
+        for component, node, rep, shingles in zip(*(table.column(c).to_pylist()
+                                                    for c in ("component", "node", "rep", "shingles"))):
+            by_group.setdefault(component, {})[node] = (rep, np.frombuffer(shingles, np.uint64))
+        rows = []
         for group in by_group.values():
-            group.sort(key=lambda x: x[0])
-            found = clusters([s for _, s in group], scheme)
-            for i, (rep, _) in enumerate(group):
-                root = found.find(i)
-                if root != i:
-                    u.append(rep)
-                    v.append(group[root][0])
+            # The root of connected sets is that with the least representative, nulls last.
+            order = sorted(group, key=lambda n: (group[n][0] is None, group[n][0] or 0, n))
+            found = clusters([group[n][1] for n in order], scheme)
+            for i, node in enumerate(order):
+                root = order[found.find(i)]
+                if root != node:
+                    rows.append((node, root, group[root][0]))
         free_memory()
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+        cols = list(zip(*rows)) or [()] * 3
+        return pa.table({"u": pa.array(cols[0], pa.int64()), "v": pa.array(cols[1], pa.int64()),
+                         "component_id": pa.array(cols[2], pa.int64())})
 
-    listed = wanted.groupBy("rep").agg(F.collect_list(F.struct("task", "low", "high", "component")).alias("meets"))
-    texts = docs.select("doc_id", text_bytes("text").alias("text"))
-    # A representative's rows have one set (rows that share its id may have others).
+    listed = wanted.groupBy("node", "check", "rep", "value").agg(
+        F.collect_list(F.struct("task", "low", "high", "component")).alias("meets"))
+    listed = listed.withColumnRenamed("value", "rep_value")
     # The list of representatives grows with the corpus and is never broadcast.
-    sets = (texts.join(listed.hint("merge"), texts["doc_id"] == listed["rep"])
-            .select("rep", "meets", "text")
-            .mapInArrow(tidy(sets_of), "task long, low int, high int, component long, rep long, shingles binary"))
-    stars = staged(sets.groupBy("task", "low", "high").applyInArrow(verify, "u long, v long"), "links")
+    texts = _valued(docs)
+    sets = (texts.join(listed.hint("merge"), texts["doc_id"].eqNullSafe(listed["rep"])
+                       & (texts["value"] == listed["rep_value"]))
+            .select("node", "check", "rep", "meets", "text")
+            .mapInArrow(tidy(sets_of), "task long, low int, high int, component long, node long, rep long, "
+                                       "shingles binary"))
+    stars = staged(sets.groupBy("task", "low", "high").applyInArrow(verify, "u long, v long, component_id long"),
+                   "links")
     if not parted.isEmpty():
-        return components(stars)
-    # Every group was seen whole: each star is a component around its least member.
-    ends = stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return ends.unionByName(ends.select(F.col("component").alias("node"), "component").distinct())
+        found = staged(components(stars).join(classes.select("node", "rep"), "node"), "parted")
+        least = staged(found.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
+        return found.join(least, "component").select("node", "component_id")
+    # Every group was seen whole, once: each star is a component around its root.
+    return (stars.select(F.col("u").alias("node"), "component_id")
+            .unionByName(stars.select(F.col("v").alias("node"), "component_id").distinct()))
 
 
 def near_duplicate_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -452,18 +485,22 @@ def near_duplicate_components(docs: DataFrame, k: int, percent: int) -> DataFram
     digests = staged(set_digests(docs, Scheme(k, percent)), "digests")
     small = digests.where(F.col("n_shingles") <= MAX_LIGHT).groupBy("n_shingles").count().collect()
     scheme = with_boundary(Scheme(k, percent), {r["n_shingles"]: r["count"] for r in small})
-    classes = staged(digests.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-                     .groupBy("node", "check", "n_shingles")
-                     .agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity")), "classes")
+    # The representative is a row of the class, by doc_id (nulls last) and text.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "value"))
+    classes = (digests.where(F.col("n_shingles") > 0).groupBy("node", "check", "n_shingles")
+               .agg(first.alias("row"), F.first("parity").alias("parity")))
+    classes = staged(classes.select("node", "check", "n_shingles", F.col("row.doc_id").alias("rep"),
+                                    F.col("row.value").alias("value"), "parity"), "classes")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(math.ceil(size / BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")))
     nodes = classes.select("node", "n_shingles", "parity")
     groups = components(possible_edges(staged(list_rows(docs, scheme, buckets), "lists"), nodes, scheme))
     linked = linked_classes(docs, classes, groups, scheme)
-    reach = classes.join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "node", "check", F.col("n_shingles").alias("n"), F.coalesce("component", "rep").alias("component_id"))
+    reach = classes.join(linked, "node", "left").select(
+        "node", "check", F.col("n_shingles").alias("n"), F.coalesce("component_id", "rep").alias("component_id"))
     found = digests.join(reach, (digests["node"] == reach["node"]) & (digests["check"] == reach["check"])
                          & (digests["n_shingles"] == reach["n"]), "left")
+    # A set has the least doc_id in reach, which is null if there is none; an empty set has its own.
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

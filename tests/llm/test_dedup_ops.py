@@ -137,6 +137,26 @@ def test_join_of_repeated_null_and_empty_rows(spark):
     assert ngram_join.near_duplicate_components(docs_frame(spark, []), 3, 90).count() == 0
 
 
+@pytest.mark.parametrize("block", [2_000_000, 60])
+def test_join_of_repeated_rows_and_shared_ids_in_a_group(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", block)
+
+    def near(name, change):
+        w = [f"{name}{i}" for i in range(60)]
+        return " ".join(w[:-1] + [f"{name}{change}"]) if change else " ".join(w)
+
+    rows = [(3, near("a", "x")), (5, near("a", "")), (5, near("a", "")), (3, near("a", "x")), (6, near("a", "")),
+            (7, near("b", "")), (7, near("c", "")), (7, near("b", "x")), (8, near("c", "y")), (9, near("b", "z")),
+            # 20 and 21 are linked only through a row without an id.
+            (20, " ".join(f"d{i}" for i in range(58))), (None, " ".join(f"d{i}" for i in range(2, 60))),
+            (21, " ".join(f"d{i}" for i in range(4, 62))),
+            (None, near("e", "")), (None, near("e", "x")), (None, near("e", "x"))]
+    got = ngram_join.near_duplicate_components(docs_frame(spark, rows), 3, 90)
+    want = [(3, 3), (3, 3), (5, 3), (5, 3), (6, 3), (7, 7), (7, 7), (7, 7), (8, 7), (9, 7), (20, 20), (21, 20),
+            (None, 20), (None, None), (None, None), (None, None)]
+    assert sorted(((r[0], r[2]) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_one_of_each_keeps_the_least_id(spark, corpus):
     docs = docs_frame(spark, corpus)
     kept = ngram_join.one_of_each(docs, 5, 80)
