@@ -504,11 +504,26 @@ def near_duplicate_components(docs: DataFrame, k: int, percent: int) -> DataFram
     return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``, a number of every row in the order of doc_id (nulls
+    last): the doc_id itself where it names one row, else a number made from a sort."""
+    own = F.col("doc_id").cast("long")
+    ids = docs.agg(F.count(F.lit(1)), F.count(own), F.count_distinct(own)).first()
+    if ids[0] == ids[1] == ids[2]:
+        return docs.withColumn("__row", own)
+    rows = docs.withColumn("__at", F.monotonically_increasing_id())
+    rows = rows.orderBy(F.asc_nulls_last("doc_id"), F.xxhash64(text_bytes("text")), "__at")
+    return staged(rows.withColumn("__row", F.monotonically_increasing_id()).drop("__at"), "rows")
+
+
 def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``docs`` without the documents that another of their component precedes."""
-    found = near_duplicate_components(docs, k, percent)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi")
+    """One row of every component of ``docs``, that with the least doc_id (nulls
+    last). Each row is a document of its own: repeated rows are copies, rows that
+    share a doc_id or have none go only if another row of their component stays."""
+    rows = numbered_rows(docs)
+    found = near_duplicate_components(rows.select(F.col("__row").alias("doc_id"), "text"), k, percent)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept"))
+    return rows.join(kept, rows["__row"] == kept["__kept"], "left_semi").drop("__row")
 
 
 def op2_heavy_light_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -177,6 +177,22 @@ def test_pipeline_against_brute_force(spark, corpus):
     assert suffix_dedup.LENGTH == 100
 
 
+def test_near_duplicate_stage_with_null_and_repeated_ids(spark):
+    def near(name, change=""):
+        return " ".join([f"{name}{i}" for i in range(80)] + [name + change])
+
+    rows = [(None, near("a")), (4, near("b")), (4, near("b")), (None, near("b", "x")), (5, near("c")), (5, near("c", "x")),
+            (6, near("d")), (6, near("e")), (None, near("f")), (None, near("f")), (None, near("f", "x")),
+            # 8 and 9 are linked only through a row without an id.
+            (8, " ".join(f"g{i}" for i in range(100))), (None, " ".join(f"g{i}" for i in range(8, 108))),
+            (9, " ".join(f"g{i}" for i in range(16, 116)))]
+    docs = docs_frame(spark, rows)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    got = Counter((r["doc_id"], r["text"].split()[0][0]) for r in out.collect())
+    assert got == Counter([(None, "a"), (4, "b"), (5, "c"), (6, "d"), (6, "e"), (None, "f"), (8, "g")])
+    assert out.columns == docs.columns
+
+
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 11)) and set(queries.ORACLE) <= set(queries.QUERIES)
