@@ -13,8 +13,9 @@ one pass over the documents for each block; documents are never shuffled.
 Defined cases: null and empty texts match nothing; an item without letters and
 digits matches nothing; an item too short for an error must occur as whole
 words; repeated rows are matched each, and the query reports a (doc_id,
-item_id) once with its least distance; an empty benchmark or document table
-gives no matches; further columns are ignored.
+item_id) once with its least distance; items without an item_id count like others
+and are reported together, with a null item_id; an empty benchmark or document
+table gives no matches; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,7 +82,7 @@ def pieces(item: str, chars_per_error: int = CHARS_PER_ERROR) -> list[tuple[int,
 class ItemMatcher:
     """All pieces of a block of items in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]], chars_per_error: int):
+    def __init__(self, items: list[tuple[int | None, str]], chars_per_error: int):
         import ahocorasick
 
         self.items = [(i, n) for i, t in items if (n := normalise(t))]
@@ -97,7 +98,7 @@ class ItemMatcher:
             self.automaton.make_automaton()
         self.empty = not where
 
-    def find(self, text: str | None) -> list[tuple[int, int]]:
+    def find(self, text: str | None) -> list[tuple[int | None, int]]:
         """(item_id, distance) of all items that the text holds."""
         if self.empty or not text:
             return []
@@ -133,7 +134,7 @@ class ItemMatcher:
         return best
 
 
-def _matcher(items: list[tuple[int, str]], chars_per_error: int) -> ItemMatcher:
+def _matcher(items: list[tuple[int | None, str]], chars_per_error: int) -> ItemMatcher:
     key = (hash(tuple(items)), chars_per_error)
     if key not in _matchers:
         _matchers.clear()
@@ -141,23 +142,23 @@ def _matcher(items: list[tuple[int, str]], chars_per_error: int) -> ItemMatcher:
     return _matchers[key]
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
     """The items in blocks of about ``block_chars`` characters, one at a time."""
-    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull() & F.col("item_id").isNotNull())
+    items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, math.ceil(chars / block_chars))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for b in range(n):
         rows = items.where(block == b).distinct().collect()
         if rows:
-            yield sorted((r["item_id"], r["text"]) for r in rows)
+            yield sorted(((r["item_id"], r["text"]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
-def with_hits(docs: DataFrame, items: list[tuple[int, str]],
+def with_hits(docs: DataFrame, items: list[tuple[int | None, str]],
               chars_per_error: int = CHARS_PER_ERROR) -> DataFrame:
     """``docs`` with one more column: the block's items that the text holds."""
     schema = docs.schema
-    out = F.struct(F.lit(0).cast("long").alias("item_id"), F.lit(0).cast("long").alias("distance"))
+    out = F.struct(F.lit(None).cast("long").alias("item_id"), F.lit(0).cast("long").alias("distance"))
     hit_field = docs.sparkSession.range(0).select(F.array(out).alias(HITS)).schema.fields[0]
     full = type(schema)([*schema.fields, hit_field])
     at = docs.columns.index("text")
@@ -181,7 +182,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         rows = hits.select("doc_id", F.explode(HITS).alias("h")).select("doc_id", "h.item_id", "h.distance")
         found = rows if found is None else found.unionByName(rows)
     if found is None:
-        found = docs.select("doc_id", F.lit(0).cast("long").alias("item_id"),
+        found = docs.select("doc_id", F.lit(None).cast("long").alias("item_id"),
                             F.lit(0).cast("long").alias("distance")).where(F.lit(False))
     return found.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
 

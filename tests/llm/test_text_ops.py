@@ -265,6 +265,15 @@ def test_decontamination_matches_brute_force(spark, words):
 
 # --- licenses ------------------------------------------------------------------
 
+def test_items_without_an_id_are_looked_for(spark):
+    a, b = (" ".join(f"{name}{i}" for i in range(12)) for name in ("quiz", "test"))
+    bench = spark.createDataFrame([(None, a), (None, b), (3, b)], "item_id long, text string")
+    docs = docs_frame(spark, [(1, f"x {a} y"), (2, f"{b} {a[1:]}"), (3, "clean words"), (None, b)])
+    got = {tuple(r) for r in decontaminate.benchmark_matches(docs, bench).collect()}
+    assert got == {(1, None, 0), (2, None, 0), (2, 3, 0), (None, None, 0), (None, 3, 0)}
+    assert [r["doc_id"] for r in decontaminate.without_benchmark(docs, bench).collect()] == [3]
+
+
 def test_license_scan_matches_brute_force(spark, words):
     def tokens(t):
         return re.findall(r"[a-z0-9\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
