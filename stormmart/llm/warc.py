@@ -16,9 +16,10 @@ attempt, and only the rows of attempts that Spark commits name files, so a
 lost executor leaves at most unused files.
 
 Defined cases: a null html is an empty payload; a null url has an empty key; a
-null page_id sorts first, is always a response, and repeated rows are one
-capture in lookups; an empty table writes no archive and gives no rows; further
-columns are ignored.
+null page_id sorts first and is always a response; pages may share key and
+page_id (or have no page_id): a lookup gives all their records, and repeated
+rows, whose records are equal, are one capture; an empty table writes no archive
+and gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -116,15 +117,15 @@ def _unzip(data: bytes) -> bytes:
     return zlib.decompress(data, 31)
 
 
-def _order(key: str, page_id: int | None) -> tuple[str, int]:
-    return key, -(1 << 63) if page_id is None else page_id
+def _order(key: str, page_id: int | None) -> tuple[str, bool, int]:
+    return key, page_id is not None, page_id or 0
 
 
 def _line(key: str, page_id: int | None, *rest) -> str:
     return " ".join([key, "" if page_id is None else str(page_id), *map(str, rest)])
 
 
-def _of_line(line: str) -> tuple[tuple[str, int], list[str]]:
+def _of_line(line: str) -> tuple[tuple[str, bool, int], list[str]]:
     key, page_id, *rest = line.split(" ")
     return _order(key, int(page_id) if page_id else None), rest
 
@@ -210,7 +211,8 @@ class ArchiveReader:
         self.blocks = [tuple(map(int, e[1][-2:])) for e in entries]
         self.index = self.files.open_input_file(f"{self.base}.idx")
         self.archive = self.files.open_input_file(f"{self.base}.warc.gz")
-        self.block_no, self.lines = -1, {}
+        self.block_no = -1
+        self.lines: dict[tuple[str, bool, int], list[list[str]]] = {}
         self.ahead, self.ahead_at = b"", 0
 
     def _member(self, offset: int, size: int) -> bytes:
@@ -220,19 +222,29 @@ class ArchiveReader:
             self.ahead, self.ahead_at, at = self.archive.read(max(size, READ_AHEAD)), offset, 0
         return self.ahead[at:at + size]
 
-    def get(self, key: str, page_id: int | None) -> dict | None:
-        """The record of a capture; cheap when captures are asked for in order."""
-        wanted = _order(key, page_id)
-        block_no = bisect.bisect_right(self.firsts, wanted) - 1
-        if block_no < 0:
-            return None
+    def _load(self, block_no: int) -> None:
         if block_no != self.block_no:
             offset, size = self.blocks[block_no]
             self.index.seek(offset)
-            self.lines = dict(map(_of_line, _unzip(self.index.read(size)).decode().split("\n")))
+            self.lines = {}
+            for line in _unzip(self.index.read(size)).decode().split("\n"):
+                capture, place = _of_line(line)
+                self.lines.setdefault(capture, []).append(place)
             self.block_no = block_no
-        place = self.lines.get(wanted)
-        return parsed(_unzip(self._member(*map(int, place)))) if place else None
+
+    def get(self, key: str, page_id: int | None) -> Iterator[dict]:
+        """The different records of a capture; cheap when captures are asked for in order."""
+        wanted, seen = _order(key, page_id), set()
+        # The records may begin in the block before the first one that starts with them.
+        first = max(0, bisect.bisect_left(self.firsts, wanted) - 1)
+        for block_no in range(first, bisect.bisect_right(self.firsts, wanted)):
+            self._load(block_no)
+            for place in self.lines.get(wanted, []):
+                data = _unzip(self._member(*map(int, place)))
+                value = hashlib.sha256(data).digest()
+                if value not in seen:
+                    seen.add(value)
+                    yield parsed(data)
 
 
 RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -261,8 +273,7 @@ def read_captures(wanted: DataFrame, ranges: DataFrame, folder: str) -> DataFram
             reader = ArchiveReader(folder, name)
             asked = set(zip(table.column("key").to_pylist(), table.column("page_id").to_pylist()))
             for key, page_id in sorted(asked, key=lambda x: _order(*x)):
-                r = reader.get(key, page_id)
-                if r is not None:
+                for r in reader.get(key, page_id):
                     whole = r["type"] == "revisit" or (
                         len(r["payload"]) == r["bytes"] and digest_text(r["payload"]) == r["digest"])
                     rows.append((r["page_id"], r["bytes"], r["digest"], r["type"], r["refers_to"], whole))

@@ -131,6 +131,22 @@ def test_archives_round_trip(spark, monkeypatch):
     assert warc.read_captures(wanted, none, folder).count() == 0
 
 
+def test_pages_that_share_key_and_id_are_all_read_back(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 2)
+    url = "http://x.org/"
+    rows = [(None, url, f"<p>{i}") for i in range(7)] + [(None, url, "<p>3"), (None, None, "a"), (None, None, "b"),
+            (5, url, "one"), (5, url, "two"), (5, url, "two"), (6, url, "one"), (6, "https://x.org/", "one"),
+            (-(1 << 63), url, "least")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = scratch(spark, "t-warc")
+    ranges = warc.write_archives(warc.with_originals(warc.captures(pages)), folder)
+    wanted = pages.select(warc.capture_key(F.col("url")).alias("key"), "page_id")
+    out = warc.read_captures(wanted, ranges, folder).collect()
+    digest = lambda text: warc.digest_text(text.encode())
+    want = Counter((p, digest(h)) for p, _, h in set(rows))
+    assert Counter((r["page_id"], r["payload_digest"]) for r in out) == want and all(r["verified"] for r in out)
+
+
 def test_records_are_plain_gzip_members(spark):
     data = warc.record(5, "http://x.org/", b"body", None)
     assert warc.parsed(warc._unzip(warc._zip(data)))["payload"] == b"body"
