@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stormmart.llm.chat import ORACLE_OP5, op5_preference_formatting
 from stormmart.llm.common import workers_can_import
 from stormmart.llm.decontaminate import op7_pigeonhole_edit
+from stormmart.llm.divergence import ORACLE_OP13, op13_term_tree
 from stormmart.llm.language import op4_cross_parsing_entropy
 from stormmart.llm.licenses import op9_minhash_licenses
 from stormmart.llm.ngram_join import op2_heavy_light_join
@@ -41,8 +42,10 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op8_fixed_virtual_slots,
     op9_minhash_licenses,
     op10_interval_expansion,
+    op13_term_tree,
 )}
 
 ORACLE: dict[str, str] = {
     "op5_preference_formatting": ORACLE_OP5,
+    "op13_term_tree": ORACLE_OP13,
 }
