@@ -37,31 +37,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stormmart.llm.common import staged, tidy
+from stormmart.llm.words import HELD_WORDS, word_blocks, word_table
 
 #: Documents of a language that must have a term.
 LEAST_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
-#: Distinct words that a task counts before it passes them on.
-HELD_WORDS = 200_000
-#: Bytes of one text whose words are split at once.
-BLOCK_BYTES = 4_000_000
 #: Cells (rows x sources) of the tree that are laid out at once.
 CELLS = 500_000
 
-# Bytes of a term stay, A-Z as a-z; all others part terms. Every byte of a
-# character beyond ASCII is 0x80 or more.
-_TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
-                    for b in range(256))
-
-
-def _word_blocks(text: bytes) -> Iterator[list[bytes]]:
-    shown, at = text.translate(_TERM_BYTES), 0
-    while at < len(shown):
-        end = shown.find(b" ", at + BLOCK_BYTES)
-        end = len(shown) if end < 0 else end
-        yield shown[at:end].split()
-        at = end
+# Bytes of a term; every byte of a character beyond ASCII is 0x80 or more.
+_TERMS = word_table("abcdefghijklmnopqrstuvwxyz" + "".join(map(chr, range(0x80, 0x100))))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -84,7 +70,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 n, own = held.setdefault(group, (Counter(), Counter()))
                 before, seen = len(n), {b""}
                 n[b""] += 1
-                for words in _word_blocks(text.as_py()):
+                for words in word_blocks(text.as_py(), _TERMS):
                     n.update(words)
                     seen.update(words)
                 own.update(seen)

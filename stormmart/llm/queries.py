@@ -17,6 +17,7 @@ from stormmart.llm.ngram_join import op2_heavy_light_join
 from stormmart.llm.packing import op1_cutting_stock
 from stormmart.llm.quality import op3_quality_cascade
 from stormmart.llm.sharding import op8_fixed_virtual_slots
+from stormmart.llm.spelling import ORACLE_OP11, op11_edit_composition
 from stormmart.llm.suffix_dedup import op10_interval_expansion
 from stormmart.llm.warc import op6_two_level_index
 
@@ -42,10 +43,12 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op8_fixed_virtual_slots,
     op9_minhash_licenses,
     op10_interval_expansion,
+    op11_edit_composition,
     op13_term_tree,
 )}
 
 ORACLE: dict[str, str] = {
     "op5_preference_formatting": ORACLE_OP5,
+    "op11_edit_composition": ORACLE_OP11,
     "op13_term_tree": ORACLE_OP13,
 }
