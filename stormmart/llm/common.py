@@ -58,6 +58,32 @@ def free_memory() -> None:
         pass
 
 
+def groups_of(batches: Iterator, n_keys: int) -> Iterator:
+    """The groups of rows, as tables, of batches that are sorted by their first
+    ``n_keys`` columns of numbers; a group may lie in several batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    held: list = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)])
+        starts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        edges = [0, *starts.tolist(), batch.num_rows]
+        if held and (keys[:, 0] != last).any():
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(edges[:-2], edges[1:-1]):
+            yield pa.Table.from_batches([*held, batch.slice(a, b - a)])
+            held = []
+        held.append(batch.slice(edges[-2]))
+        last = keys[:, -1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder."""
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")

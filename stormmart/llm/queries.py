@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from stormmart.llm.chat import ORACLE_OP5, op5_preference_formatting
+from stormmart.llm.chosen_path import ORACLE_OP12, op12_chosen_path
 from stormmart.llm.common import workers_can_import
 from stormmart.llm.decontaminate import op7_pigeonhole_edit
 from stormmart.llm.divergence import ORACLE_OP13, op13_term_tree
@@ -44,11 +45,13 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
     op9_minhash_licenses,
     op10_interval_expansion,
     op11_edit_composition,
+    op12_chosen_path,
     op13_term_tree,
 )}
 
 ORACLE: dict[str, str] = {
     "op5_preference_formatting": ORACLE_OP5,
     "op11_edit_composition": ORACLE_OP11,
+    "op12_chosen_path": ORACLE_OP12,
     "op13_term_tree": ORACLE_OP13,
 }
