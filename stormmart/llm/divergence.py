@@ -54,12 +54,19 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences) and docs (documents that have it); the
     empty term stands for the documents of a group themselves."""
     def rows(held: dict) -> pa.RecordBatch:
-        cols = list(zip(*((lang, source, term.decode(errors="replace"), n, own_docs[term])
-                          for (lang, source), (own_n, own_docs) in held.items()
-                          for term, n in own_n.items()))) or [()] * 5
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                          names=["lang", "source", "term", "n", "docs"])
+        """A row for each group: its terms and their numbers as lists."""
+        ends = np.cumsum([0] + [len(n) for n, _ in held.values()], dtype=np.int32)
+        terms = [t for n, _ in held.values() for t in n]
+        try:
+            words = pa.array(terms, pa.string())
+        except pa.ArrowInvalid:  # not UTF-8
+            words = pa.array([t.decode(errors="replace") for t in terms], pa.string())
+        numbers = [pa.array(x, pa.int64()) for x in
+                   ([c for n, _ in held.values() for c in n.values()], [own[t] for n, own in held.values() for t in n])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([g[i] for g in held], pa.string()) for i in (0, 1)]
+            + [pa.ListArray.from_arrays(ends, x) for x in (words, *numbers)],
+            names=["lang", "source", "term", "n", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
@@ -83,7 +90,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
     named = [F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]
     found = docs.select(*named, text.alias("text")).mapInArrow(
-        tidy(run), "lang string, source string, term string, n long, docs long")
+        tidy(run), "lang string, source string, term array<string>, n array<long>, docs array<long>")
+    found = found.select("lang", "source", F.inline(F.arrays_zip("term", "n", "docs")))
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
