@@ -33,10 +33,33 @@ def workers_can_import(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([REPO_ROOT, *parts])
 
 
-def tidy(run: Callable) -> Callable:
+#: The model (tokenizer, automata, matcher) that this worker has loaded last.
+_loaded: dict = {}
+
+
+def loaded(kind: str, key: object, make: Callable) -> object:
+    """A model that a worker keeps for its next task of the same kind. There is one
+    at a time: workers are used again by all operators of a job."""
+    if (kind, key) not in _loaded:
+        _loaded.clear()
+        free_memory()
+        _loaded[kind, key] = make()
+    return _loaded[kind, key]
+
+
+def make_room(uses: str | None) -> None:
+    """Drop a loaded model of another kind."""
+    if any(kind != uses for kind, _ in _loaded):
+        _loaded.clear()
+        free_memory()
+
+
+def tidy(run: Callable, uses: str | None = None) -> Callable:
     """A map function that gives its memory back when its task ends: Python
-    workers are used again, and what one keeps is missing beside the heap."""
+    workers are used again, and what one keeps is missing beside the heap. Models
+    of another kind than ``uses`` go before it starts."""
     def wrapped(batches: Iterator) -> Iterator:
+        make_room(uses)
         try:
             yield from run(batches)
         finally:

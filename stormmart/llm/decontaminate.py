@@ -38,9 +38,6 @@ HITS = "__benchmark_hits"
 _HIT_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int64())]))
 
 _NOT_WORD = re.compile(r"[\W_]+")
-_matchers: dict = {}
-
-
 def normalise(text: str | None) -> str:
     return _NOT_WORD.sub(" ", (text or "").lower()).strip()
 
@@ -135,11 +132,7 @@ class ItemMatcher:
 
 
 def _matcher(items: list[tuple[int | None, str]], chars_per_error: int) -> ItemMatcher:
-    key = (hash(tuple(items)), chars_per_error)
-    if key not in _matchers:
-        _matchers.clear()
-        _matchers[key] = ItemMatcher(items, chars_per_error)
-    return _matchers[key]
+    return loaded("matcher", (hash(tuple(items)), chars_per_error), lambda: ItemMatcher(items, chars_per_error))
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
@@ -171,7 +164,7 @@ def with_hits(docs: DataFrame, items: list[tuple[int | None, str]],
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(hits, _HIT_TYPE)],
                                              names=[f.name for f in full.fields])
 
-    return docs.mapInArrow(run, full)
+    return docs.mapInArrow(tidy(run, "matcher"), full)
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -4,20 +4,26 @@ From a bounded sample of labelled text per language a suffix automaton is
 built. A document is cross-parsed against each automaton: the longest match
 from the current place is one phrase, and the next phrase starts behind it. A
 language that fits gives long matches, so few phrases. Phrases are normalised
-by the sample's size, in whole bits, and the text's length (phrases *
-log2(sample) / length; the length is the same for all languages); the language
+by the sample's size and the text's length (phrases * log2(sample) / length; the length is the same for all languages); the language
 with the least of that entropy wins. ``score`` = 1 - best / second.
 
 The sample is the only bounded part: ``SAMPLE_DOCS`` documents a language in
-hash order, ``SAMPLE_CHARS`` characters of each. Every document is parsed whole, in
-lanes of ``LANE`` characters that numpy advances together; a phrase ends at the
-end of its lane.
+hash order, ``SAMPLE_CHARS`` characters of each. Every document is parsed whole.
+Its text lies in lanes of ``LANE`` characters that numpy advances together, each
+from the root; then each lane is repeated from the state in which the one before
+it truly ended, until it meets its first parse (two parses of a text soon fall
+together), so phrases are those of the text and not of lanes.
+
+All letters of the samples are symbols. The ``DENSE_LETTERS`` most frequent ones
+have a column in the transition table, the others' transitions are looked up.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
-ties go to the language with more labelled documents, then by name; documents
-without lang or doc_id are never learned from, and a null doc_id counts as held
-out; repeated rows are predicted each; without any labelled row all is ``und``;
-an empty table gives no rows; further columns are ignored.
+ties go to the language with more learnable documents, then by name; documents
+without lang or doc_id are never learned from, nor are held-out ones in any way,
+and a null doc_id counts as held out; repeated rows are predicted each; a language
+whose learnable texts have no letter is not learned; letters that no sample has
+are phrases of their own in every language; without any labelled row all is
+``und``; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,22 +37,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stormmart.llm.common import tidy
+from stormmart.llm.common import loaded, tidy
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 500
 LANE = 256
-#: Lanes that are advanced together (bounds a task's memory).
-LANES_AT_ONCE = 32_768
+#: States that are kept of lanes advanced together (bounds a task's memory).
+STATES_AT_ONCE = 4_000_000
 FOLDS = 5
 UNKNOWN = "und"
 
 # Symbol classes: every run of non-letters is one GAP, letters that no sample
 # has are OTHER, BREAK separates sampled documents, PAD fills up lanes.
 GAP, OTHER, BREAK, PAD, FIRST_LETTER = 0, 1, 2, 3, 4
-MAX_LETTERS = 120
-
-_models: dict = {}
+#: Letters with a column of their own in the transition table.
+DENSE_LETTERS = 120
 
 
 def held_out(doc_id: Column) -> Column:
@@ -60,23 +65,23 @@ def learning_sample(docs: DataFrame, n_docs: int = SAMPLE_DOCS,
 
     The rank limit is applied in every task before the shuffle, so a language
     that holds most rows sends no more than another."""
-    labelled = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                           & ~held_out(F.col("doc_id")))
-                .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id",
-                        F.substring("text", 1, n_chars).alias("text"))
-                .where(F.length("text") >= 20))
+    learnable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    # A letter somewhere in the part that is learned from.
+    labelled = (learnable.select("lang", F.xxhash64("doc_id").alias("h"), "doc_id",
+                                 F.substring("text", 1, n_chars).alias("text"))
+                .where(F.col("text").rlike(r"\p{L}")))
     w = Window.partitionBy("lang").orderBy("h", "doc_id", "text")
     rows = labelled.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n_docs).collect()
-    sizes = {r["lang"]: r["count"] for r in docs.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in learnable.groupBy("lang").count().collect()}
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (-sizes[r["lang"]], r["lang"], r["rn"])):
         out.setdefault(r["lang"], []).append(r["text"])
     return out
 
 
-def suffix_automaton(symbols: list[int], n_symbols: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``symbols``: table[state, symbol],
-    -1 where there is none; state 0 is the root."""
+def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``symbols``: for each state its
+    symbols and where they lead; state 0 is the root."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols:
@@ -102,52 +107,63 @@ def suffix_automaton(symbols: list[int], n_symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(nxt), n_symbols), -1, dtype=np.int32)
-    for s, edges in enumerate(nxt):
-        for c, t in edges.items():
-            table[s, c] = t
-    return table
+    return nxt
 
 
 class CrossParser:
     """Automata of all languages in one table, and the parse of whole texts."""
 
-    RESTART = 1 << 30
-
     def __init__(self, sample: dict[str, list[str]]):
         self.languages = list(sample)
         letters = Counter(c for texts in sample.values() for t in texts for c in t.lower() if c.isalpha())
-        known = {c: FIRST_LETTER + i for i, (c, _) in enumerate(
-            sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:MAX_LETTERS])}
+        known = {c: FIRST_LETTER + i for i, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0])))}
         self.n_symbols = FIRST_LETTER + len(known)
-        self.class_of = np.zeros(0x110000, dtype=np.uint8)
+        self.n_dense = min(self.n_symbols, FIRST_LETTER + DENSE_LETTERS)
+        self.class_of = np.zeros(0x110000, dtype=np.int32)
         for code in range(0x110000):
             c = chr(code)
             if c.isalpha():
                 self.class_of[code] = known.get(c.lower(), OTHER)
-        tables, self.roots, self.bits, base = [], [], [], 0
+        automata = []
         for lang in self.languages:
             symbols: list[int] = []
             for text in sample[lang]:
                 symbols += [*self.symbols(text).tolist(), BREAK]
-            table = suffix_automaton(symbols, self.n_symbols)
-            table[:, BREAK] = -1
-            table[:, OTHER] = -1
+            automata.append((suffix_automaton(symbols), math.log2(max(2, len(symbols)))))
+        self.bits = [bits for _, bits in automata]
+        n_states = sum(len(nxt) + 1 for nxt, _ in automata)
+        # A state is its row's place in the table; the bit above says that a phrase ended.
+        wide = n_states * self.n_dense >= 1 << 30
+        self.kind, self.shift = (np.int64, 62) if wide else (np.int32, 30)
+        self.restart = self.kind(1 << self.shift)
+        tables, rare, self.roots, self.alone, base = [], [], [], [], 0
+        for nxt, _ in automata:
+            dense = np.full((len(nxt) + 1, self.n_dense), -1, dtype=np.int64)
+            for s, edges in enumerate(nxt):
+                for c, t in edges.items():
+                    if c < self.n_dense:
+                        dense[s, c] = t
+                    else:
+                        rare.append(((base + s) * self.n_symbols + c, (base + t) * self.n_dense))
+            dense[:, [BREAK, OTHER]] = -1
             # No edge: a phrase ends, and the next one starts with this symbol. A
             # symbol that the sample lacks is a phrase of its own, which the last
             # state stands for. At the root no phrase has begun that could end.
-            alone = len(table)
-            again = np.where(table[0] >= 0, table[0], alone)
-            table = np.vstack([table, np.full((1, self.n_symbols), -1, dtype=np.int32)])
-            full = np.where(table >= 0, table, again | self.RESTART)
-            full[0] = again
-            full[:, PAD] = np.arange(len(table))
-            states, flags = full & ~self.RESTART, full & self.RESTART
-            tables.append((states + base) * self.n_symbols | flags)
-            self.roots.append(base * self.n_symbols)
-            self.bits.append(round(math.log2(max(2, len(symbols)))))
-            base += len(table)
-        self.table = (np.concatenate(tables) if tables else np.zeros((0, 1))).astype(np.int32).ravel()
+            alone = len(nxt)
+            again = np.where(dense[0] >= 0, dense[0], alone)
+            to = (np.where(dense >= 0, dense, again) + base) * self.n_dense
+            flag = (dense < 0) * int(self.restart)
+            flag[0] = 0
+            full = to | flag
+            full[:, PAD] = (np.arange(len(dense)) + base) * self.n_dense
+            tables.append(full.astype(self.kind))
+            self.roots.append(base * self.n_dense)
+            self.alone.append((base + alone) * self.n_dense)
+            base += len(dense)
+        self.table = np.concatenate([t.ravel() for t in tables]) if tables else np.zeros(0, dtype=np.int32)
+        rare.sort()
+        self.rare_keys = np.array([k for k, _ in rare], dtype=np.int64)
+        self.rare_to = np.array([t for _, t in rare], dtype=self.kind)
 
     def symbols(self, text: str) -> np.ndarray:
         """Symbol classes of a text; runs of non-letters become one gap."""
@@ -159,35 +175,84 @@ class CrossParser:
             classes = classes[keep]
         return classes
 
+    def _rare(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Next states for symbols that have no column of their own."""
+        def edge(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            keys = at.astype(np.int64) // self.n_dense * self.n_symbols + symbol
+            i = np.minimum(np.searchsorted(self.rare_keys, keys), len(self.rare_keys) - 1)
+            return self.rare_keys[i] == keys, self.rare_to[i]
+
+        lang = np.searchsorted(self.roots, state, side="right") - 1
+        start = np.array(self.roots)[lang]
+        found, to = edge(state)
+        there, first = edge(start)
+        again = np.where(there, first, np.array(self.alone, dtype=self.kind)[lang])
+        return np.where(found, to, again | np.where(state == start, 0, self.restart)).astype(self.kind)
+
+    def _next(self, state: np.ndarray, symbol: np.ndarray, any_rare: bool) -> np.ndarray:
+        """States after one more symbol each, with the bit of an ended phrase."""
+        if not any_rare:
+            return self.table.take(state + symbol)
+        rare = symbol >= self.n_dense
+        out = self.table.take(state + np.where(rare, PAD, symbol))
+        rare = np.broadcast_to(rare, state.shape)
+        out[rare] = self._rare(state[rare], np.broadcast_to(symbol, state.shape)[rare])
+        return out
+
     def phrases(self, symbols: list[np.ndarray]) -> np.ndarray:
         """Phrases of every text against every language (texts x languages)."""
         sizes = np.array([len(s) for s in symbols])
         lanes = -(-sizes // LANE)
         text_of_lane = np.repeat(np.arange(len(symbols)), lanes)
-        padded = np.full(int(lanes.sum()) * LANE, PAD, dtype=np.uint8)
+        padded = np.full(int(lanes.sum()) * LANE, PAD, dtype=self.kind)
         at = 0
         for s, k in zip(symbols, lanes):
             padded[at:at + len(s)] = s
             at += int(k) * LANE
         counts = np.zeros((len(symbols), len(self.languages)))
         grid = padded.reshape(-1, LANE)
-        for i in range(0, len(grid), LANES_AT_ONCE):
-            steps = np.ascontiguousarray(grid[i:i + LANES_AT_ONCE].T)
-            got = self._advance(steps)
+        follows = np.zeros(len(grid), dtype=bool)
+        follows[1:] = text_of_lane[1:] == text_of_lane[:-1]
+        at_once = max(16, STATES_AT_ONCE // (LANE * max(1, len(self.languages))))
+        ends = np.array(self.roots, dtype=self.kind)
+        for i in range(0, len(grid), at_once):
+            steps = np.ascontiguousarray(grid[i:i + at_once].T)
+            got, ends = self._advance(steps, follows[i:i + at_once], ends)
             for k in range(len(self.languages)):
-                counts[:, k] += np.bincount(text_of_lane[i:i + LANES_AT_ONCE], got[k],
-                                            minlength=len(symbols))
-        return counts
-
-    def _advance(self, steps: np.ndarray) -> np.ndarray:
-        state = np.repeat(np.array(self.roots, dtype=np.int32)[:, None], steps.shape[1], axis=1)
-        ended = np.zeros(state.shape, dtype=np.int32)
-        for row in steps:
-            state += row
-            state = self.table.take(state)
-            ended += state >> 30
-            state &= ~np.int32(self.RESTART)
-        return ended + 1  # the phrase that the lane's end cuts off
+                counts[:, k] += np.bincount(text_of_lane[i:i + at_once], got[k], minlength=len(symbols))
+        return counts + (sizes > 0)[:, None]  # the phrase that the text's end closes
+
+    def _advance(self, steps: np.ndarray, follows: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases that end in every lane (languages x lanes), and the last lane's
+        states. ``follows``: the lane goes on with the text of the one before it;
+        ``before``: the states in which the lane before the first one ended."""
+        mask = ~self.restart
+        rare = (steps >= self.n_dense).any(axis=1).tolist()
+        state = np.repeat(np.array(self.roots, dtype=self.kind)[:, None], steps.shape[1], axis=1)
+        if follows[0]:
+            state[:, 0] = before
+        seen = np.empty((LANE, *state.shape), dtype=self.kind)
+        for t, row in enumerate(steps):
+            seen[t] = self._next(state, row, rare[t])
+            state = seen[t] & mask
+        # Lanes again, from the state in which the one before truly ends, until
+        # they meet what was seen; where a lane's end changes, the next one again.
+        again = follows & (np.arange(len(follows)) > 0)
+        lang, lane = np.nonzero(np.broadcast_to(again, state.shape))
+        while len(lane):
+            state = seen[-1][lang, lane - 1] & mask
+            for t, row in enumerate(steps):
+                new, old = self._next(state, row[lane], rare[t]), seen[t][lang, lane]
+                seen[t][lang, lane] = new
+                apart = (new & mask) != (old & mask)
+                state, lang, lane = (new & mask)[apart], lang[apart], lane[apart]
+                if not len(lane):
+                    break
+            on = lane + 1 < len(follows)
+            lang, lane = lang[on], lane[on] + 1
+            on = follows[lane]
+            lang, lane = lang[on], lane[on]
+        return (seen >> self.shift).sum(axis=0, dtype=np.int64), seen[-1][:, -1] & mask
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         symbols = [self.symbols(t or "") for t in texts]
@@ -206,11 +271,7 @@ class CrossParser:
 
 
 def _parser(sample: dict[str, list[str]]) -> CrossParser:
-    key = hash(tuple((k, tuple(v)) for k, v in sample.items()))
-    if key not in _models:
-        _models.clear()
-        _models[key] = CrossParser(sample)
-    return _models[key]
+    return loaded("language", hash(tuple((k, tuple(v)) for k, v in sample.items())), lambda: CrossParser(sample))
 
 
 #: Characters of text that are parsed together.
@@ -244,7 +305,7 @@ def identify(docs: DataFrame, sample: dict[str, list[str]], keep: tuple[str, ...
                        pa.array([x[1] for x in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *names])
 
-    return cols.mapInArrow(tidy(run), f"{schema}, `{names[0]}` string, `{names[1]}` double")
+    return cols.mapInArrow(tidy(run, "language"), f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def op4_cross_parsing_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from stormmart.llm.common import text_bytes
+from stormmart.llm.common import text_bytes, tidy
 from stormmart.llm.shingles import mixed, shingle_row, words_of
 
 WORDS = 5
@@ -171,7 +171,7 @@ def scan(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
                                                      names=[x.split()[0] for x in REPORT.split(", ")])
                     held, size = [], 0
 
-    return docs.select("doc_id", text_bytes("text").alias("text")).mapInArrow(run, REPORT)
+    return docs.select("doc_id", text_bytes("text").alias("text")).mapInArrow(tidy(run), REPORT)
 
 
 def op9_minhash_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stormmart.llm.common import gapless_rank, staged, tidy
+from stormmart.llm.common import gapless_rank, loaded, staged, tidy
 from stormmart.llm.cutting_stock import cutting_plan, length_classes
 
 CAPACITY = 4096
@@ -41,11 +41,12 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 # Texts that the tokenizer must see whole: characters that str.split() takes for
 # white space and the tokenizer does not, the letter that str.lower() lowers by
-# its place, and the opening of the tokenizer's special tokens.
+# its place, and the opening of the tokenizer's special tokens. So must texts that
+# could be composed again once they are lowered (a letter and a mark that only the
+# lower case has as one character).
 _WHOLE = re.compile("[\x1c-\x1f\u03a3]|<[|]")
 # A single comma or stop behind a letter or digit at the end of a word.
 _LAST_MARK = re.compile(r"(?<=[^\W_])([.,])(?!\S)")
-_state: dict = {}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -72,9 +73,10 @@ class ByteCharacters(dict):
 class WordTokenizer:
     """ids of whole texts as little-endian 32-bit bytes.
 
-    The tokenizer lowers letters, drops white space, never joins text across it
-    and parts letters from punctuation. So a text's ids are those of its lower-case
-    words, a last comma or stop apart, one after the other. Words repeat, and
+    The tokenizer composes characters (NFC), lowers letters, drops white space,
+    never joins text across it and parts letters from punctuation. So a composed
+    text's ids are those of its lower-case words, a last comma or stop apart, one
+    after the other. Words repeat, and
     their ids are remembered: in two generations, of which the older is dropped
     when the younger is full. Words of letters need no splitting and go straight
     to the tokenizer's merges. Texts for which this does not hold (see
@@ -123,9 +125,16 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """ids of a few texts; their words are looked up together."""
-        whole = {i: self._whole([t])[0] for i, t in enumerate(texts) if _WHOLE.search(t)}
-        split = [[] if i in whole else _LAST_MARK.sub(r" \1", t.lower()).split()
-                 for i, t in enumerate(texts)]
+        split: list[list[str]] = []
+        whole: dict[int, bytes] = {}
+        for i, text in enumerate(texts):
+            composed = text if text.isascii() else unicodedata.normalize("NFC", text)
+            lower = composed.lower()
+            if _WHOLE.search(composed) or not (lower.isascii() or unicodedata.is_normalized("NFC", lower)):
+                whole[i] = self._whole([text])[0]
+                split.append([])
+            else:
+                split.append(_LAST_MARK.sub(r" \1", lower).split())
         self._learn(set().union(*split))
         known = self.known
         return [whole.get(i) or b"".join([known[w] for w in words]) for i, words in enumerate(split)]
@@ -135,9 +144,7 @@ def _tokenizer(path: str) -> WordTokenizer:
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _state:
-        _state[path] = WordTokenizer(path)
-    return _state[path]
+    return loaded("tokenizer", path, lambda: WordTokenizer(path))
 
 
 def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
@@ -175,7 +182,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY,
                 [pa.array(c, t) for c, t in zip(columns, types)], names=names)
         tokenizer.forget()
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(cut), schema)
+    return docs.select("doc_id", "text").mapInArrow(tidy(cut, "tokenizer"), schema)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

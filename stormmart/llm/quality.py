@@ -26,21 +26,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stormmart.llm.common import tidy
+
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 #: Documents on which rule costs and rejections are measured (expected number).
 SAMPLE_ROWS = 2000
 
-_BMP = np.arange(1 << 16)
+_CODES = range(0x110000)
 _tables: dict[str, np.ndarray] = {}
 
 
 def _table(kind: str) -> np.ndarray:
-    """Which characters of the basic plane are letters or upper-case letters."""
+    """Which characters are letters or upper-case letters."""
     if kind not in _tables:
         test = {"letter": str.isalpha, "upper": str.isupper}[kind]
-        _tables[kind] = np.fromiter((test(chr(c)) for c in _BMP), dtype=bool, count=len(_BMP))
+        _tables[kind] = np.fromiter((test(chr(c)) for c in _CODES), dtype=bool, count=len(_CODES))
     return _tables[kind]
 
 
@@ -64,8 +66,7 @@ class Measured:
 
     @cached_property
     def codes(self) -> np.ndarray:
-        codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        return codes[codes < 1 << 16]
+        return np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
 def _repeated(words: list[bytes]) -> int:
@@ -149,7 +150,7 @@ def rule_statistics(docs: DataFrame, rules: tuple[Rule, ...] = RULES,
             "rule": [r.name for r in rules], "seen": [seen] * len(rules),
             "rejected": rejected, "seconds": spent})
 
-    parts = picked.select("text").mapInArrow(measure, "rule string, seen long, rejected long, seconds double")
+    parts = picked.select("text").mapInArrow(tidy(measure), "rule string, seen long, rejected long, seconds double")
     return parts.groupBy("rule").agg(*(F.sum(c).alias(c) for c in ("seen", "rejected", "seconds")))
 
 
@@ -186,7 +187,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
                 names=[x.split()[0] for x in JUDGED.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(run, JUDGED)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), JUDGED)
 
 
 def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -369,7 +369,7 @@ def frequent_grams(texts: DataFrame) -> np.ndarray:
                 [pa.array(slots, pa.int64()), pa.array(counts[slots], pa.int64())], names=["slot", "n"])
 
     # At most 2 ** FREQUENT_BITS slots, whatever the corpus.
-    found = (picked.select("text").mapInArrow(values, "slot long, n long")
+    found = (picked.select("text").mapInArrow(tidy(values), "slot long, n long")
              .groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT)
              .select("slot").toArrow().column(0).to_numpy())
     table = np.zeros(1 << FREQUENT_BITS, dtype=bool)
@@ -443,7 +443,7 @@ def _with_runs(docs: DataFrame) -> DataFrame:
                 names=schema.names)
 
     packed = (numbered.select(*others, F.encode("text", "UTF-8").alias("__text"))
-              .mapInArrow(compress, schema))
+              .mapInArrow(tidy(compress), schema))
     return packed.join(covered_runs(numbered).withColumnRenamed("doc", "__doc"), "__doc", "left")
 
 
@@ -473,7 +473,7 @@ def removal_report(docs: DataFrame) -> DataFrame:
                 names=[x.split()[0] for x in REPORT.split(", ")])
 
     joined = _with_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return joined.select("doc_id", "__text", "__runs").mapInArrow(report, REPORT)
+    return joined.select("doc_id", "__text", "__runs").mapInArrow(tidy(report), REPORT)
 
 
 def dedup_texts(docs: DataFrame) -> DataFrame:
@@ -488,7 +488,7 @@ def dedup_texts(docs: DataFrame) -> DataFrame:
                 [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns],
                 names=columns)
 
-    return _with_runs(docs).mapInArrow(rest, docs.schema)
+    return _with_runs(docs).mapInArrow(tidy(rest), docs.schema)
 
 
 def op10_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,8 +17,8 @@ lost executor leaves at most unused files.
 
 Defined cases: a null html is an empty payload; a null url has an empty key; a
 null page_id sorts first and is always a response; pages may share key and
-page_id (or have no page_id): a lookup gives all their records, and repeated
-rows, whose records are equal, are one capture; an empty table writes no archive
+page_id (or have no page_id): a lookup gives all their records, and repeated rows
+have a record each; an empty table writes no archive
 and gives no rows; further columns are ignored.
 """
 
@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stormmart.llm.common import scratch, staged, text_bytes
+from stormmart.llm.common import scratch, staged, text_bytes, tidy
 
 #: Payload bytes of one archive file.
 ARCHIVE_BYTES = 32_000_000
@@ -193,7 +193,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
                 [pa.array([name]), pa.array([first[0]]), pa.array([first[1]], pa.int64()), pa.array([n])],
                 names=["name", "first_key", "first_page", "captures"])
 
-    return staged(ranges.select("key", "page_id", "url", "payload", "refers_to").mapInArrow(write, RANGES),
+    return staged(ranges.select("key", "page_id", "url", "payload", "refers_to").mapInArrow(tidy(write), RANGES),
                   "archive-ranges")
 
 
@@ -233,18 +233,14 @@ class ArchiveReader:
             self.block_no = block_no
 
     def get(self, key: str, page_id: int | None) -> Iterator[dict]:
-        """The different records of a capture; cheap when captures are asked for in order."""
-        wanted, seen = _order(key, page_id), set()
+        """All records of a capture; cheap when captures are asked for in order."""
+        wanted = _order(key, page_id)
         # The records may begin in the block before the first one that starts with them.
         first = max(0, bisect.bisect_left(self.firsts, wanted) - 1)
         for block_no in range(first, bisect.bisect_right(self.firsts, wanted)):
             self._load(block_no)
             for place in self.lines.get(wanted, []):
-                data = _unzip(self._member(*map(int, place)))
-                value = hashlib.sha256(data).digest()
-                if value not in seen:
-                    seen.add(value)
-                    yield parsed(data)
+                yield parsed(_unzip(self._member(*map(int, place))))
 
 
 RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -282,8 +278,9 @@ def read_captures(wanted: DataFrame, ranges: DataFrame, folder: str) -> DataFram
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                     names=[x.split()[0] for x in RECORDS.split(", ")])
 
-    located = wanted.select("key", "page_id").mapInArrow(locate, "name string, key string, page_id long")
-    return located.groupBy("name").applyInArrow(fetch, RECORDS)
+    located = wanted.select("key", "page_id").mapInArrow(tidy(locate), "name string, key string, page_id long")
+    # Dealt by a number of tasks that does not depend on the lookups' small rows.
+    return located.repartition(max(1, len(names)), "name").groupBy("name").applyInArrow(fetch, RECORDS)
 
 
 def op6_two_level_index(spark: SparkSession, sf_dir: str) -> DataFrame:

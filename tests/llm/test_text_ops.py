@@ -149,11 +149,11 @@ def test_suffix_automaton_accepts_exactly_the_substrings():
     rng = np.random.default_rng(4)
     for _ in range(30):
         text = rng.integers(0, 3, 25).tolist()
-        table = language.suffix_automaton(text, 3)
+        edges = language.suffix_automaton(text)
         for _ in range(60):
             probe, state = rng.integers(0, 3, rng.integers(1, 6)).tolist(), 0
             for c in probe:
-                state = table[state, c] if state >= 0 else -1
+                state = edges[state].get(c, -1) if state >= 0 else -1
             assert (state >= 0) == any(text[i:i + len(probe)] == probe for i in range(25))
 
 
@@ -202,7 +202,7 @@ def test_texts_are_parsed_whole(monkeypatch):
     parser = language.CrossParser({"a": ["one two three four"], "b": ["five six seven eight"]})
     text = "one two " * 300 + "seven eight " * 900
     assert parser.predict([text])[0][0] == "b"
-    monkeypatch.setattr(language, "LANES_AT_ONCE", 3)
+    monkeypatch.setattr(language, "STATES_AT_ONCE", 3)
     assert parser.predict([text, "one two"]) == [parser.predict([text])[0], parser.predict(["one two"])[0]]
 
 
@@ -303,3 +303,103 @@ def test_license_scan_matches_brute_force(spark, words):
     assert {(r["doc_id"], r["license"]): r["containment"] for r in out} == want
     assert next(r["occurrences"] for r in out if r["doc_id"] == 99 and r["license"] == "mit") == 3
     assert licenses.scan(docs_frame(spark, []), licenses.TEMPLATES).count() == 0
+
+
+def test_ids_of_all_code_points():
+    """Alone, behind a letter, before a stop and inside words: every code point below U+11000."""
+    import struct
+
+    from stormmart.llm.packing import WordTokenizer, tokenizer_path
+
+    words = WordTokenizer(tokenizer_path())
+    codes = [chr(c) for c in range(1, 0x11000) if not 0xD800 <= c < 0xE000]
+    texts = [t for c in codes for t in (c, "Y" + c, c + ".", f"a{c} b")]
+    texts += ["Y̊ H̱ T̈ W̊ J̌", "क़.", "क़.", "ẞ Ị̇. İ,"]
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids)
+            for e in words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    got = words.encode(texts)
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
+def test_letters_of_all_planes():
+    from stormmart.llm.quality import Measured, _capitals, _few_letters
+
+    adlam = " ".join("".join(chr(0x1E922 + (i + j) % 34) for j in range(6)) for i in range(60))
+    assert not _few_letters(Measured(adlam)) and not _capitals(Measured(adlam))
+    assert _capitals(Measured(" ".join("".join(chr(0x1E900 + (i + j) % 34) for j in range(6)) for i in range(60))))
+    assert _few_letters(Measured("\U0001f600 " * 60))
+
+
+def test_cross_parse_is_that_of_whole_texts(monkeypatch):
+    """Phrases against the definition, with rare letters, across lanes and blocks."""
+    import random
+
+    from stormmart.llm import language
+
+    rng = random.Random(1)
+    han = "".join(chr(0x4E00 + i) for i in range(400))
+
+    def text(letters, n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    sample = {"a": [text("abcde ", 150) for _ in range(8)], "b": [text("abcfg ", 150) for _ in range(9)],
+              "zh": [text(han + " ", 150) for _ in range(6)]}
+    monkeypatch.setattr(language, "LANE", 16)
+    monkeypatch.setattr(language, "STATES_AT_ONCE", 1)
+    parser = language.CrossParser(sample)
+    assert parser.n_symbols > 300 and parser.n_dense < parser.n_symbols
+    learned = {k: [parser.symbols(t).tolist() for t in texts] for k, texts in sample.items()}
+
+    def phrases(symbols, lang):
+        def known(part):
+            n = len(part)
+            return language.OTHER not in part and any(
+                c[i:i + n] == part for c in learned[lang] for i in range(len(c) - n + 1))
+        n = at = 0
+        while at < len(symbols):
+            size = 1
+            while at + size < len(symbols) and known(symbols[at:at + size + 1]):
+                size += 1
+            n, at = n + 1, at + size
+        return n
+
+    texts = [text("abcde ", 300), text("abcfg ", 90), text(han, 120), sample["zh"][0] + sample["zh"][1],
+             sample["a"][0], text("xyz ", 40), text("ab", 200), "", "a"]
+    symbols = [parser.symbols(t) for t in texts]
+    assert parser.phrases(symbols).tolist() == [[phrases(s.tolist(), k) for k in sample] for s in symbols]
+    assert parser.phrases(symbols)[4][0] == 1  # a text of the sample is one phrase
+
+
+def test_equal_languages_of_unequal_samples_share_the_texts():
+    import random
+
+    from stormmart.llm.language import CrossParser
+
+    rng = random.Random(6)
+
+    def text(n):
+        return " ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+    parser = CrossParser({"x": [text(100) for _ in range(42)], "y": [text(100) for _ in range(43)]})
+    won = [lang for lang, _ in parser.predict([text(60) for _ in range(400)])].count("x")
+    assert 120 < won < 280
+
+
+def test_held_out_labels_do_nothing_and_short_texts_teach(spark):
+    import zlib
+
+    from stormmart.llm.language import identify, learning_sample
+
+    def rows(other):
+        out = []
+        for i in range(200):
+            lang = ("ab", "cd")[i % 2]
+            held = zlib.crc32(str(i).encode()) % 5 == 0
+            out.append((i, f"{lang} {lang}{i % 7}", other if held else lang))
+        return out + [(1000 + i, "vw xy", "zz") for i in range(30)]
+
+    first, second = (docs_frame(spark, rows(x)) for x in ("ab", None))
+    assert learning_sample(first) == learning_sample(second)
+    assert set(learning_sample(first)) == {"ab", "cd", "zz"}
+    got = {r["doc_id"]: r["lang_pred"] for r in identify(first, learning_sample(first)).collect()}
+    assert got[0] == "ab" and got[1] == "cd" and got[1000] == "zz"
