@@ -14,13 +14,16 @@ The trees grow breadth-first, all at once, as tables of (node name, set). Only
 components are asked for, so sets that are connected already need no comparison:
 a node whose members are all connected is closed, and the size of a node is that
 of its members outside its largest component. Those meet all members, in blocks.
-A large node first links its members to its least one and within blocks, which
-contracts groups of copies, and branches if that leaves it large. Before the
-trees, the same is done once for the nodes of the first ``FIRST_TREES``.
+A large node first links its members within blocks, along a spanning tree of the
+nearest, each block with the node's least member in it; this contracts groups of
+copies, and the node branches if that leaves it large. Before the trees, the same
+is done once for the nodes of the first ``FIRST_TREES``.
 
-Compared are 8-bit tokens: pairs that agree on fewer than ``agreeing`` positions
-are left out, which a linked pair does with a probability below 1e-9. All others
-are confirmed on the full sets of their texts. Equal sets are one class.
+Compared are 8-bit tokens and parities: pairs that agree on fewer than
+``agreeing`` positions are left out, which a linked pair does with a probability
+below 1e-9, and those whose parities (a bitmap of each set, folded to one size)
+differ in more bits than linked sets have differences, which never loses a link.
+All others are confirmed on the full sets of their texts. Equal sets are one class.
 
 Defined cases: words are runs without white space (0x20, 0x09-0x0D), A-Z count
 as a-z; a text with fewer words than a shingle is one shingle; null and empty
@@ -44,16 +47,26 @@ from pyspark.sql import functions as F
 
 from stormmart.llm.common import groups_of, staged, text_bytes, tidy
 from stormmart.llm.components import components
+from stormmart.llm.shingle_sql import components_sql
 from stormmart.llm.shingles import mixed, shingle_set, words_of
 
 POSITIONS = 128
 #: Chance that no tree brings a pair of just the similarity together.
 MISS = 1e-6
 #: Members outside the largest component up to which a node is compared.
-SMALL_NODE = 1000
+SMALL_NODE = 4000
 FIRST_TREES = 2
+#: Depth that the number of trees is made for at first; deeper trees bring more.
+FIRST_DEPTH = 4
 #: Shingles of the partners of one set that are confirmed by one task.
 TASK_SHINGLES = 2_000_000
+#: Bits of the parity of a set of up to so many shingles; larger sets have more.
+PARITY_BITS = 1024
+#: Links that one task writes when they are connected.
+EDGES_PER_TASK = 200_000
+#: Rows that name the texts to confirm up to which they are broadcast (some 40 MB);
+#: more are joined by a shuffle of the texts.
+BROADCAST_ROWS = 500_000
 #: Text bytes whose sets are made at once.
 CUT_BYTES = 2_000_000
 
@@ -91,6 +104,45 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def parity(shingles: np.ndarray) -> bytes:
+    """Parities of the number of elements in cells. Two sets differ in at least as
+    many elements as their parities in bits. The cells are a power of two, so a
+    larger bitmap folds to a smaller one by xor of its halves."""
+    bits = PARITY_BITS << max(0, (len(shingles) - 1) // PARITY_BITS).bit_length()
+    cells = np.bincount((shingles >> np.uint64(13)).astype(np.int64) % bits, minlength=bits)
+    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+
+
+class Distances:
+    """How far apart the sets of a block are at least, by their parities."""
+
+    def __init__(self, parities: list[bytes]):
+        self.words = np.array([len(p) for p in parities]) // 8
+        self.place = np.zeros(len(parities), dtype=np.int64)
+        self.grids: dict[int, np.ndarray] = {}
+        for w in np.unique(self.words):
+            at = np.flatnonzero(self.words == w)
+            self.place[at] = np.arange(len(at))
+            self.grids[int(w)] = np.frombuffer(b"".join([parities[i] for i in at]), dtype=np.uint64).reshape(len(at), -1)
+
+    @staticmethod
+    def _folded(grid: np.ndarray, words: int) -> np.ndarray:
+        while grid.shape[-1] > words:
+            half = grid.shape[-1] // 2
+            grid = grid[..., :half] ^ grid[..., half:]
+        return grid
+
+    def of(self, i: int, others: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(others), dtype=np.int64)
+        own = self.grids[int(self.words[i])][self.place[i]]
+        for w in np.unique(self.words[others]):
+            at = np.flatnonzero(self.words[others] == w)
+            words = min(int(w), len(own))
+            theirs = self._folded(self.grids[int(w)][self.place[others[at]]], words)
+            out[at] = np.bitwise_count(theirs ^ self._folded(own, words)).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
     """Two 64-bit values of a set, as signed numbers."""
     sums = [mixed(shingles ^ np.uint64(salt)).sum(dtype=np.uint64) for salt in (0x51ED2701, 0xA0B428DB << 20)]
@@ -120,7 +172,7 @@ def _valued(docs: DataFrame) -> DataFrame:
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, value of the text, n_shingles, the set's digest (node, check) and
-    minwise tokens of every row."""
+    minwise tokens, the parity behind them, of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, sets in _sets(batch, 2, k):
@@ -129,7 +181,7 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 full = [i for i, s in enumerate(sets) if len(s)]
                 tokens: list[bytes | None] = [None] * len(sets)
                 for i, row in zip(full, minwise([sets[i] for i in full])):
-                    tokens[i] = row.tobytes()
+                    tokens[i] = row.tobytes() + parity(sets[i])
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0), own.column(1), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(tokens, pa.binary())],
@@ -139,8 +191,11 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
         tidy(run), "doc_id long, value long, n_shingles long, node long, check long, tokens binary")
 
 
+TOKEN_BYTES = 4 * POSITIONS
+
+
 def _tokens(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, POSITIONS)
+    return np.frombuffer(b"".join([t[:TOKEN_BYTES] for t in column.to_pylist()]), dtype=np.uint32).reshape(-1, POSITIONS)
 
 
 def root(tree: int) -> int:
@@ -183,22 +238,17 @@ class Join:
         self.similarity = percent / 100
         self.links: list[DataFrame] = []
         self.component: DataFrame | None = None
-        tokens = F.col("tokens")
-        # The lowest byte of each token is compared.
-        self.short = classes.select("node", "n_shingles", tokens)
 
     def run(self) -> DataFrame | None:
         """(node, component) of all classes with a link, or None."""
         if self.classes.isEmpty():
             return None
-        start = self._level(self._named(), 0, FIRST_TREES).drop("total", "top", "top_n")
-        self._contract(start)
-        done = 0
-        wanted = trees_for(1, self.similarity)
+        roots = [root(t) for t in range(FIRST_TREES)]
+        self._contract(staged(children(self._named(), self.similarity, roots), "members"))
+        done, wanted = 0, trees_for(FIRST_DEPTH, self.similarity)
         while done < wanted:
             depth = self._grow(done, wanted)
             done, wanted = wanted, max(wanted, trees_for(depth, self.similarity))
-        self._connect()
         return self.component
 
     def _named(self) -> DataFrame:
@@ -212,52 +262,50 @@ class Join:
         """Rows of nodes with more than one component, with the node's number of
         members and its largest component."""
         rows = staged(rows, "members")
-        mixed_nodes = (rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-                       .where(F.col("least") != F.col("most")).select("key"))
-        rows = staged(rows.join(mixed_nodes, "key"), "open")
         parts = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        largest = F.max(F.struct("n", "component"))
-        nodes = parts.groupBy("key").agg(F.sum("n").alias("total"), largest.alias("top"))
-        return staged(rows.join(nodes.select("key", "total", F.col("top.component").alias("top"),
-                                             F.col("top.n").alias("top_n")), "key"), "nodes")
+        nodes = parts.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("components"),
+                                         F.max(F.struct("n", "component")).alias("top"))
+        nodes = nodes.where(F.col("components") > 1).select(
+            "key", "total", F.col("top.component").alias("top"), F.col("top.n").alias("top_n"))
+        return staged(rows.join(nodes, "key"), "nodes")
 
     def _level(self, rows: DataFrame, first: int, last: int) -> DataFrame:
         return self._open(children(rows, self.similarity, [root(t) for t in range(first, last)]))
 
     def _grow(self, first: int, last: int) -> int:
-        """Trees ``first`` to ``last``, to their leaves; the deepest level."""
+        """Trees ``first`` to ``last``, to their leaves; the deepest level. The
+        pairs of all leaves are confirmed together."""
         nodes, depth = self._level(self._named(), first, last), 1
         large = F.col("total") - F.col("top_n") > SMALL_NODE
+        pairs = []
         while True:
-            self._confirm(self._compare(nodes.where(~large)))
+            pairs.append(self._compare(nodes.where(~large)))
             rows = nodes.where(large).select("key", "node", "component")
             if rows.isEmpty():
-                return depth
-            self._contract(rows)
-            relabelled = rows.drop("component").join(self.component, "node", "left").select(
-                "key", "node", F.coalesce("component", "node").alias("component"))
-            nodes = self._open(relabelled)
-            self._confirm(self._compare(nodes.where(~large)))
+                break
+            if self._contract(rows):
+                rows = rows.drop("component").join(self.component, "node", "left").select(
+                    "key", "node", F.coalesce("component", "node").alias("component"))
+                nodes = self._open(rows)
+                pairs.append(self._compare(nodes.where(~large)))
             wide = nodes.where(large).join(self.classes.select("node", "tokens"), "node")
-            nodes, depth = self._open(children(wide.select("key", "node", "component", "tokens"), self.similarity)), depth + 1
-
-    def _connect(self) -> None:
-        edges = reduce(DataFrame.unionByName, self.links)
-        self.component = staged(components(edges), "components")
+            nodes = self._open(children(wide.select("key", "node", "component", "tokens"), self.similarity))
+            depth += 1
+        self._confirm(reduce(DataFrame.unionByName, pairs).distinct())
+        return depth
 
-    def _contract(self, rows: DataFrame) -> None:
-        """Links within blocks of each node and to its least member."""
+    def _contract(self, rows: DataFrame) -> bool:
+        """Links within blocks of each node and to its least member; whether there are any."""
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
         blocks = F.ceil(F.col("members") / SMALL_NODE).cast("int")
-        sizes = staged(sizes.select("key", "pivot", blocks.alias("blocks")), "blocks")
+        sizes = staged(sizes.where(F.col("members") > 1).select("key", "pivot", blocks.alias("blocks")), "blocks")
         own = (rows.join(sizes, "key").where(F.col("node") != F.col("pivot"))
                .select("key", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
                        F.lit(1).alias("guest"), "node"))
         pivots = sizes.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                               F.lit(0).alias("guest"), F.col("pivot").alias("node"))
         both = own.unionByName(pivots).withColumn("component", F.col("node"))
-        self._confirm(self._pairs(both, _forest))
-        self._connect()
+        return self._confirm(self._pairs(both, _nearest_tree))
 
     def _compare(self, nodes: DataFrame) -> DataFrame:
         """Pairs of small nodes that can link: members outside the largest
@@ -279,26 +327,32 @@ class Join:
                     n, guest, node, component = (table.column(c).to_numpy() for c in
                                                  ("n_shingles", "guest", "node", "component"))
                     shown = (_tokens(table.column("tokens")) & np.uint32(255)).astype(np.uint8)
-                    block = int(table.column("block")[0].as_py())
+                    distances = Distances([t[TOKEN_BYTES:] for t in table.column("tokens").to_pylist()])
 
-                    def near(i: int, others: np.ndarray, agree: int) -> np.ndarray:
-                        a, b = n[i], n[others]
-                        others = others[100 * np.minimum(a, b) >= percent * np.maximum(a, b)]
-                        return others[(shown[others] == shown[i]).sum(axis=1) >= agree]
+                    def near(i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                        """Which of ``others`` can link to i, and how far they are."""
+                        others = others[100 * np.minimum(n[i], n[others]) >= percent * np.maximum(n[i], n[others])]
+                        others = others[(shown[others] == shown[i]).sum(axis=1) >= least]
+                        apart, both = distances.of(i, others), n[i] + n[others]
+                        can = (100 + percent) * apart <= (100 - percent) * both
+                        return others[can], apart[can] / both[can]
 
-                    u, v = pairs_of(near, guest, component, block, least, percent)
+                    u, v = pairs_of(near, guest, component, int(table.column("block")[0].as_py()))
                     u, v = node[u], node[v]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
                                                      names=["u", "v"])
 
-        full = rows.join(self.short, "node").select("key", "block", "guest", "node", "component", "n_shingles", "tokens")
+        full = rows.join(self.classes.select("node", "n_shingles", "tokens"), "node").select("key", "block", "guest", "node", "component", "n_shingles", "tokens")
         dealt = full.repartition("key", "block").sortWithinPartitions("key", "block", "guest", "node")
-        return dealt.mapInArrow(tidy(run), "u long, v long").where(F.col("u") != F.col("v")).distinct()
-
-    def _confirm(self, pairs: DataFrame) -> None:
-        """Add the pairs whose full sets link. Sets meet by pairs: the lesser one
-        once for each task, the other one once for each pair."""
-        pairs = staged(pairs, "pairs")
+        found = dealt.mapInArrow(tidy(run), "u long, v long").where(F.col("u") != F.col("v")).distinct()
+        return staged(found, "pairs")
+
+    def _confirm(self, pairs: DataFrame) -> bool:
+        """Add the pairs whose full sets link, and connect them; whether there are
+        pairs. Sets meet by pairs: the lesser one once for each task, the other one
+        once for each pair."""
+        if pairs.isEmpty():
+            return False
         sizes = self.classes.select("node", "n_shingles")
         rooms = (pairs.join(sizes.withColumnRenamed("node", "v"), "v").groupBy("u")
                  .agg(F.ceil(F.sum("n_shingles") / TASK_SHINGLES).cast("int").alias("parts")))
@@ -308,8 +362,9 @@ class Join:
         others = pairs.join(rooms, "u").select(
             "u", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"),
             F.lit(1).alias("other"), F.col("v").alias("node"))
-        wanted = (own.unionByName(others).join(self.classes.select("node", "check", "rep", "value"), "node")
-                  .withColumnRenamed("value", "rep_value"))
+        wanted = staged(own.unionByName(others).join(self.classes.select("node", "check", "rep", "value"), "node")
+                        .withColumnRenamed("value", "rep_value"), "wanted")
+        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted.hint("merge")
         k, percent = self.k, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,34 +388,38 @@ class Join:
         dealt = (full.select("u", "part", "other", "node", "check", "text")
                  .repartition("u", "part").sortWithinPartitions("u", "part", "other"))
         self.links.append(staged(dealt.mapInArrow(tidy(run), "u long, v long").distinct(), "links"))
+        self.component = components(reduce(DataFrame.unionByName, self.links), EDGES_PER_TASK)
+        return True
 
 
-def _all_pairs(near, guest: np.ndarray, component: np.ndarray, block: int, least: int, percent: int):
+def _all_pairs(near, guest: np.ndarray, component: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     """Guests with all members that aren't connected to them; guests meet each
     other in the first block."""
     u, v = [], []
     guests, members = np.flatnonzero(guest == 1), np.flatnonzero(guest == 0)
     for i, g in enumerate(guests.tolist()):
         others = np.concatenate([members, guests[i + 1:]]) if block == 0 else members
-        found = near(g, others[component[others] != component[g]], least)
+        found, _ = near(g, others[component[others] != component[g]])
         u += [g] * len(found)
         v += found.tolist()
     return np.array(u, dtype=np.int64), np.array(v, dtype=np.int64)
 
 
-def _forest(near, guest: np.ndarray, component: np.ndarray, block: int, least: int, percent: int):
-    """A spanning forest of members that most likely link."""
-    likely = math.ceil(POSITIONS * (percent + 100) / 200)
-    u, v, left = [], [], np.arange(len(guest))
-    while len(left):
-        todo, left = [int(left[0])], left[1:]
-        while todo and len(left):
-            i = todo.pop(0)
-            found = near(i, left, likely)
-            u += [i] * len(found)
-            v += found.tolist()
-            todo += found.tolist()
-            left = np.setdiff1d(left, found, assume_unique=True)
+def _nearest_tree(near, guest: np.ndarray, component: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of members that can link: each joins the nearest one."""
+    u, v = [], []
+    best, parent = np.full(len(guest), np.inf), np.full(len(guest), -1)
+    left = np.ones(len(guest), dtype=bool)
+    while left.any():
+        at = np.flatnonzero(left)
+        i = int(at[np.argmin(best[at])])
+        left[i] = False
+        if parent[i] >= 0:
+            u.append(int(parent[i]))
+            v.append(i)
+        found, far = near(i, np.flatnonzero(left))
+        closer = far < best[found]
+        best[found[closer]], parent[found[closer]] = far[closer], i
     return np.array(u, dtype=np.int64), np.array(v, dtype=np.int64)
 
 
@@ -406,26 +465,4 @@ def op12_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), 5, 85)
 
 
-def oracle(k: int, percent: int, more: str) -> str:
-    """SQL for components of texts by k-word shingles, on small tables."""
-    return rf"""
-WITH RECURSIVE docs AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
-sets AS MATERIALIZED (
-  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))) END AS s
-  FROM docs),
-shingles AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
-links AS MATERIALIZED (
-  SELECT a.doc_id AS u, b.doc_id AS v FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
-  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
-reach AS (
-  SELECT doc_id AS u, doc_id AS v FROM sets
-  UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
-SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.v) AS component_id{more}
-FROM sets s JOIN reach r ON s.doc_id = r.u GROUP BY s.doc_id, s.s
-"""
-
-
-ORACLE_OP12 = oracle(5, 85, ", s.doc_id = min(r.v) AS kept")
+ORACLE_OP12 = components_sql(5, 85, ", s.doc_id = min(r.v) AS kept")

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from stormmart.llm.common import free_memory, staged, text_bytes, tidy
 from stormmart.llm.components import components
+from stormmart.llm.shingle_sql import components_sql
 from stormmart.llm.shingles import mixed, shingle_set, words_of
 
 #: Largest size that may become light.
@@ -529,3 +530,6 @@ def one_of_each(docs: DataFrame, k: int, percent: int) -> DataFrame:
 def op2_heavy_light_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: 3-word shingles, similarity of 0.9 or more."""
     return near_duplicate_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 90)
+
+
+ORACLE_OP2 = components_sql(3, 90)

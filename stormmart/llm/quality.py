@@ -194,3 +194,26 @@ def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return judge(docs, cascade_order(docs)).drop("rejected_by")
+
+
+ORACLE_OP3 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS g FROM words),
+repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM repeated) GROUP BY r),
+lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+measures AS (
+  SELECT d.doc_id, len(w.w)::BIGINT AS n_words, length(regexp_replace(d.text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines, length(regexp_replace(d.text, '[^!?]', '', 'g')) AS n_marks,
+         length(regexp_replace(d.text, '\P{L}', '', 'g')) AS letters, length(regexp_replace(d.text, '\P{Lu}', '', 'g')) AS upper
+  FROM docs d JOIN words w USING (r) LEFT JOIN lines l USING (r) LEFT JOIN covered c USING (r)),
+base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars / n_words BETWEEN 2.5 AND 12 AND n_symbols <= 0.1 * n_words
+       AND n_dup_lines <= 0.5 * n_lines AND n_marks <= 0.3 * n_words AND upper <= 0.4 * letters
+       AND letters >= 0.6 * word_chars AS kept
+FROM base
+"""

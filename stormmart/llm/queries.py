@@ -14,13 +14,13 @@ from stormmart.llm.decontaminate import op7_pigeonhole_edit
 from stormmart.llm.divergence import ORACLE_OP13, op13_term_tree
 from stormmart.llm.language import op4_cross_parsing_entropy
 from stormmart.llm.licenses import op9_minhash_licenses
-from stormmart.llm.ngram_join import op2_heavy_light_join
+from stormmart.llm.ngram_join import ORACLE_OP2, op2_heavy_light_join
 from stormmart.llm.packing import op1_cutting_stock
-from stormmart.llm.quality import op3_quality_cascade
+from stormmart.llm.quality import ORACLE_OP3, op3_quality_cascade
 from stormmart.llm.sharding import op8_fixed_virtual_slots
 from stormmart.llm.spelling import ORACLE_OP11, op11_edit_composition
 from stormmart.llm.suffix_dedup import op10_interval_expansion
-from stormmart.llm.warc import op6_two_level_index
+from stormmart.llm.warc import ORACLE_OP6, op6_two_level_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,7 +50,10 @@ QUERIES: dict[str, Query] = {q.__name__: _importable(q) for q in (
 )}
 
 ORACLE: dict[str, str] = {
+    "op2_heavy_light_join": ORACLE_OP2,
+    "op3_quality_cascade": ORACLE_OP3,
     "op5_preference_formatting": ORACLE_OP5,
+    "op6_two_level_index": ORACLE_OP6,
     "op11_edit_composition": ORACLE_OP11,
     "op12_chosen_path": ORACLE_OP12,
     "op13_term_tree": ORACLE_OP13,

@@ -290,3 +290,17 @@ def op6_two_level_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranges = write_archives(with_originals(captures(pages)), folder)
     wanted = pages.select(capture_key(F.col("url")).alias("key"), F.col("page_id").cast("long").alias("page_id"))
     return read_captures(wanted, ranges, folder)
+
+
+# Base32 from the digest's hexadecimal digits: five of them are four characters.
+ORACLE_OP6 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+o AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS original,
+             list_transform(range(8), lambda i: ('0x' || substr(hex, 5 * i + 1, 5))::INTEGER) AS parts FROM p)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(parts, lambda v: array_to_string(list_transform([15, 10, 5, 0],
+         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> original THEN original END AS refers_to, true AS verified
+FROM o
+"""
