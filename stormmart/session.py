@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,22 @@ def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> None
         spark.conf.set(k, v)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Runtime settings for some statements; the session's own come back after them."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "stormmart") -> SparkSession:
     """Session for local runs. On a cluster, use the cluster's own session."""

@@ -54,3 +54,18 @@ def test_union_filter_models(spark):
     assert first.count() == 4
     assert second_model(first).count() == 2
     assert non_null_ids(first).count() == 3
+
+
+def test_character_references_as_the_standard_reads_them(spark):
+    import html
+
+    from pyspark.sql import functions as F
+
+    from stormmart.sources.links import decode_references
+
+    texts = ["plain", "a &amp; b", "&#38;#38;", "&#x27;&#X1F600;&#128512;", "&#0; &#xD800; &#99999999999; &#xFFFFFFFFFF;",
+             "&eacute;&NotEqualTilde;&nope; & &; &# &#x; &#xg", "&amp;lt;", "&#38", "&#x41b", "two\nlines &#233;", "",
+             *[f"&#{c};" for c in range(128, 160) if c in (128, 130, 150, 159)]]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = {r.t: r.d for r in frame.select("t", decode_references(F.col("t")).alias("d")).collect()}
+    assert got == {**{t: html.unescape(t) for t in texts}, None: None}
