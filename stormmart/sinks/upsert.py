@@ -1,41 +1,39 @@
-"""Upsert by key into a versioned parquet folder (delete + insert without MERGE).
-
-Layout below the table's folder:
-
-* ``data/__load=<id>[/__group=<g>]/__bucket=<b>/``: rows written by one upsert;
-* ``versions/v=<n>/``: the table at version n, a small list of the data folders
-  that belong to it. A version counts once its ``_SUCCESS`` mark exists;
-* ``staging/<id>/``: the batch while it is merged.
-
-An upsert writes new folders only and then one new version, so a reader always
-sees a whole version, and a crash at any step leaves the last version as it
-was: the replay starts from that. Folders that no kept version names, staging
-copies and parts of crashed attempts are removed after the commit. One writer
-at a time.
+"""Upsert by key into a partitioned parquet folder: delete + insert.
+
+Rows are partitioned by ``__bucket = pmod(xxhash64(key), n_buckets)``, below an
+optional ``__group`` level of columns that the key determines (as a content hash
+does), so a stored row and its replacement lie in one partition. An upsert
+
+1. writes the batch to staging (it may be derived from the stored table);
+2. finds the batch's partitions that hold a replaced key, by a semi join;
+3. writes the remaining rows of these partitions and their new rows to staging,
+   and replaces the partitions from there (dynamic partition overwrite);
+4. appends the batch's rows of all other partitions.
+
+Step 3's staged rows stay until the replacement is through: the next upsert or
+``finish_upsert`` repeats one that a crash has interrupted. After that a replay of
+the batch finds its own rows by key and replaces them, so no step doubles or
+loses a row. One writer at a time; readers should not run during step 3. Where a
+table format with ``MERGE INTO`` is present, ``merge_into`` is that one statement.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from stormmart.operators.dedupe import anti_by_key
-from stormmart.sinks.tables import check_schema
+from stormmart.sinks.tables import check_schema, has_files, path_exists, remove_path
 
 BUCKET = "__bucket"
 GROUP = "__group"
-LOAD = "__load"
-#: Versions whose folders stay for readers that started on them.
-KEPT_VERSIONS = 2
-MANIFEST = "folder string, part string, table_schema string"
 
 
-def _cols(names) -> list[str]:
+def _cols(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
@@ -49,214 +47,113 @@ def group_of(group_cols: Sequence[str]) -> Column:
     return F.concat(F.lit("g"), F.concat_ws("|", *parts))
 
 
-class _Folder:
-    """File-system calls on a table's folder."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._jvm = spark.sparkContext._jvm
-        self._fs = self._at("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+def _with_parts(schema: StructType, part_cols: Sequence[str]) -> StructType:
+    kinds = {GROUP: StringType(), BUCKET: IntegerType()}
+    return StructType([f for f in schema.fields if f.name not in kinds] + [StructField(c, kinds[c]) for c in part_cols])
 
-    def names(self, name: str) -> list[str]:
-        """Names of the folders below ``name``."""
-        if not self._fs.exists(self._at(name)):
-            return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at(name)) if s.isDirectory())
 
-    def has(self, name: str) -> bool:
-        return self._fs.exists(self._at(name))
+def _data(path: str) -> str:
+    return f"{path.rstrip('/')}/data"
 
-    def remove(self, name: str) -> None:
-        self._fs.delete(self._at(name), True)
 
-    def partitions(self, load: str, grouped: bool) -> list[str]:
-        """Partition folders (relative to the load) that a load has written."""
-        base = f"data/{LOAD}={load}"
-        if not grouped:
-            return self.names(base)
-        return [f"{g}/{b}" for g in self.names(base) for b in self.names(f"{base}/{g}")]
-
-    def versions(self) -> list[int]:
-        found = [n for n in self.names("versions") if self.has(f"versions/{n}/_SUCCESS")]
-        return sorted(int(n.removeprefix("v=")) for n in found)
+def _merged(path: str) -> str:
+    return f"{path.rstrip('/')}/merged"
 
 
 def upsert_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_Folder(spark, path).versions())
+    return has_files(spark, _data(path)) or path_exists(spark, _merged(path))
 
 
-def _manifest(spark: SparkSession, folder: _Folder, version: int) -> tuple[list[tuple[str, str]], StructType]:
-    """Data folders of a version as (folder, partition), and the table's schema.
+def read_upsert_table(spark: SparkSession, path: str) -> DataFrame:
+    """The stored rows, without helper columns."""
+    finish_upsert(spark, path)
+    return spark.read.parquet(_data(path)).drop(GROUP, BUCKET)
 
-    One row for each live partition folder: what the file index of any
-    partitioned table holds on the driver as well."""
-    rows = spark.read.schema(MANIFEST).parquet(f"{folder.path}/versions/v={version}").collect()
-    schema = next(r["table_schema"] for r in rows if r["table_schema"])
-    return [(r["folder"], r["part"]) for r in rows if r["folder"]], StructType.fromJson(json.loads(schema))
 
+def _stored(spark: SparkSession, path: str, part_cols: Sequence[str]) -> DataFrame:
+    known = spark.read.parquet(_data(path)).schema
+    return spark.read.schema(_with_parts(known, part_cols)).parquet(_data(path))
 
-def live_partitions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(data folder, partition) of the newest version."""
-    folder = _Folder(spark, path)
-    versions = folder.versions()
-    return _manifest(spark, folder, versions[-1])[0] if versions else []
 
+def _write(rows: DataFrame, path: str, part_cols: Sequence[str], replace: bool) -> None:
+    """Rows clustered by partition: a few files for each, and adaptive execution
+    splits a hot partition over several tasks."""
+    writer = rows.hint("rebalance", *part_cols).write.partitionBy(*part_cols)
+    if replace:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        writer.mode("append").parquet(path)
 
-def _rows(spark: SparkSession, path: str, folders: Sequence[str], schema: StructType) -> DataFrame:
-    """Rows of some data folders, with the partition columns."""
-    return (spark.read.schema(schema).option("basePath", f"{path}/data")
-            .parquet(*[f"{path}/data/{f}" for f in folders]).drop(LOAD))
 
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Repeat a replacement of partitions that a crash has interrupted; staged rows
+    that were not complete are dropped."""
+    merged = _merged(path)
+    if not path_exists(spark, merged):
+        return
+    if path_exists(spark, f"{merged}/_SUCCESS"):
+        _replace(spark, path)
+    remove_path(spark, merged)
 
-def _full_schema(schema: StructType, grouped: bool) -> StructType:
-    full = StructType(list(schema.fields)).add(LOAD, StringType())
-    if grouped:
-        full = full.add(GROUP, StringType())
-    return full.add(BUCKET, IntegerType())
 
-
-def read_upsert_table(spark: SparkSession, path: str) -> DataFrame:
-    """The stored rows of the newest version, without helper columns."""
-    folder = _Folder(spark, path)
-    live, schema = _manifest(spark, folder, folder.versions()[-1])
-    if not live:
-        return spark.createDataFrame([], schema)
-    grouped = "/" in live[0][1]
-    return _rows(spark, folder.path, [f for f, _ in live], _full_schema(schema, grouped)).select(*schema.names)
-
-
-def _commit(spark: SparkSession, folder: _Folder, version: int, live: list[tuple[str, str]],
-            schema: StructType) -> None:
-    rows = [(f, p, None) for f, p in live] + [(None, None, schema.json())]
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
-        f"{folder.path}/versions/v={version}")
-
-
-def _clean_up(spark: SparkSession, folder: _Folder) -> None:
-    """Remove staging copies, old versions and folders that no kept version names."""
-    versions = folder.versions()
-    kept = versions[-KEPT_VERSIONS:]
-    named = {f for v in kept for f, _ in _manifest(spark, folder, v)[0]}
-    loads = {f.split("/")[0] for f in named}
-    folder.remove("staging")
-    for v in folder.names("versions"):
-        if int(v.removeprefix("v=")) not in kept:
-            folder.remove(f"versions/{v}")
-    for load in folder.names("data"):
-        if load not in loads:
-            folder.remove(f"data/{load}")
-            continue
-        grouped = any(n.startswith(f"{GROUP}=") for n in folder.names(f"data/{load}"))
-        for part in folder.partitions(load.removeprefix(f"{LOAD}="), grouped):
-            if f"{load}/{part}" not in named:
-                folder.remove(f"data/{load}/{part}")
-
-
-def _write_load(data: DataFrame, folder: _Folder, load: str, part_cols: list[str]) -> list[tuple[str, str]]:
-    """Write rows clustered by partition: a few files for each, and adaptive
-    execution splits a hot partition over several tasks."""
-    (data.hint("rebalance", *part_cols).write.mode("overwrite").partitionBy(*part_cols)
-     .parquet(f"{folder.path}/data/{LOAD}={load}"))
-    return [(f"{LOAD}={load}/{p}", p) for p in folder.partitions(load, len(part_cols) > 1)]
-
-
-def _value(part: str, i: int) -> str:
-    return part.split("/")[i]
+def _replace(spark: SparkSession, path: str) -> None:
+    rows = spark.read.parquet(_merged(path))
+    part_cols = [c for c in (GROUP, BUCKET) if c in rows.columns]
+    rows = spark.read.schema(_with_parts(rows.schema, part_cols)).parquet(_merged(path))
+    _write(rows, _data(path), part_cols, replace=True)
 
 
 def upsert_table(spark: SparkSession, batch: DataFrame, path: str, key: str | Sequence[str],
-                 n_buckets: int = 64, group_cols: Sequence[str] = (),
-                 key_sets_group: bool = False) -> list[str]:
-    """Delete stored rows whose key is in ``batch``, insert ``batch``.
-
-    Rows are partitioned by ``__bucket = pmod(xxhash64(key), n_buckets)``, below
-    an optional ``__group`` level built from ``group_cols``. Stored keys are
-    looked for in the batch's buckets of all groups; with ``key_sets_group`` (a
-    key that determines the group columns, as a content hash does) only in the
-    batch's own partitions.
-
-    1. the batch goes to staging (it may be derived from the stored table);
-    2. a semi join of the stored key column with the batch's keys finds the
-       partitions that hold a replaced key;
-    3. their remaining rows and the whole batch are written as a new load;
-    4. the next version names the untouched folders and the new ones.
-    Returns the rewritten partitions.
-    """
+                 n_buckets: int = 64, group_cols: Sequence[str] = ()) -> int:
+    """Delete stored rows whose key is in ``batch``, insert ``batch``. The key must
+    determine ``group_cols``. Returns the number of replaced rows' partitions."""
     keys = _cols(key)
     part_cols = [GROUP, BUCKET] if group_cols else [BUCKET]
-    folder = _Folder(spark, path)
-    versions = folder.versions()
-    live, schema = _manifest(spark, folder, versions[-1]) if versions else ([], None)
-    if schema is not None:
-        check_schema(batch, schema)
-        batch = batch.select(*schema.names)
-    schema = schema or batch.schema
-    load = f"{(versions[-1] if versions else 0) + 1:08d}-{uuid.uuid4().hex[:8]}"
-    parts = batch.withColumn(BUCKET, bucket_of(keys, n_buckets))
+    finish_upsert(spark, path)
+    exists = has_files(spark, _data(path))
+    names = batch.columns
+    if exists:
+        stored_schema = StructType([f for f in _stored(spark, path, part_cols).schema.fields if f.name not in (GROUP, BUCKET)])
+        check_schema(batch, stored_schema)
+        names = stored_schema.names
+    parts = batch.select(*names).withColumn(BUCKET, bucket_of(keys, n_buckets))
     if group_cols:
         parts = parts.withColumn(GROUP, group_of(group_cols))
-    staging = f"{folder.path}/staging/{load}"
-    parts.write.partitionBy(*part_cols).parquet(staging)
-    names = folder.names(f"staging/{load}")
-    if group_cols:
-        names = [f"{g}/{b}" for g in names for b in folder.names(f"staging/{load}/{g}")]
-    if not names:                       # empty batch
-        if not versions:
-            _commit(spark, folder, 1, [], schema)
-        folder.remove(f"staging/{load}")
-        return []
-    full = _full_schema(schema, bool(group_cols))
-    without_load = StructType([f for f in full.fields if f.name != LOAD])
-    new = spark.read.schema(without_load).parquet(staging)
-    level = len(part_cols) - 1
-    own = set(names) if key_sets_group else {_value(n, level) for n in names}
-    near = [(f, p) for f, p in live if (p if key_sets_group else _value(p, level)) in own]
-    touched: set[str] = set()
-    data = new
-    if near:
-        stored = _rows(spark, folder.path, [f for f, _ in near], full)
-        pid = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in part_cols])
-        hits = (stored.select(*part_cols, *keys).join(new.select(*keys).distinct(), keys, "left_semi")
-                .select(pid.alias("pid")).distinct())
-        found = {r["pid"] for r in hits.collect()}
-        touched = {p for _, p in near if _unescaped(p) in found}
-    if touched:
-        held = _rows(spark, folder.path, [f for f, p in near if p in touched], full)
-        data = anti_by_key(held, new.select(*keys), keys).unionByName(new)
-    written = _write_load(data.select(*without_load.names), folder, load, part_cols)
-    _commit(spark, folder, (versions[-1] if versions else 0) + 1,
-            [(f, p) for f, p in live if p not in touched] + written, schema)
-    _clean_up(spark, folder)
-    return sorted(touched)
-
-
-def _unescaped(part: str) -> str:
-    from urllib.parse import unquote
-
-    return unquote(part)
-
-
-def compact_upsert_table(spark: SparkSession, path: str, max_folders: int = 4) -> list[str]:
-    """Rewrite partitions that lie in more than ``max_folders`` loads into one
-    load, as a new version with the same rows. Returns the rewritten partitions."""
-    folder = _Folder(spark, path)
-    versions = folder.versions()
-    if not versions:
-        return []
-    live, schema = _manifest(spark, folder, versions[-1])
-    count: dict[str, int] = {}
-    for _, p in live:
-        count[p] = count.get(p, 0) + 1
-    many = {p for p, n in count.items() if n > max_folders}
-    if not many:
-        return []
-    part_cols = [GROUP, BUCKET] if "/" in live[0][1] else [BUCKET]
-    load = f"{versions[-1] + 1:08d}-{uuid.uuid4().hex[:8]}"
-    rows = _rows(spark, folder.path, [f for f, p in live if p in many], _full_schema(schema, len(part_cols) > 1))
-    written = _write_load(rows, folder, load, part_cols)
-    _commit(spark, folder, versions[-1] + 1, [(f, p) for f, p in live if p not in many] + written, schema)
-    _clean_up(spark, folder)
-    return sorted(many)
+    staging = f"{path.rstrip('/')}/staging-{uuid.uuid4().hex[:12]}"
+    try:
+        parts.select(*names, *part_cols).write.parquet(f"{staging}/new")
+        new = spark.read.schema(_with_parts(parts.select(*names).schema, part_cols)).parquet(f"{staging}/new")
+        if not exists:
+            _write(new, _data(path), part_cols, replace=False)
+            return 0
+        own = new.select(*part_cols, *keys).distinct()
+        hits = _stored(spark, path, part_cols).select(*part_cols, *keys).join(own, [*part_cols, *keys], "left_semi")
+        hits.select(*part_cols).distinct().write.parquet(f"{staging}/hits")
+        hits = spark.read.schema(_with_parts(StructType([]), part_cols)).parquet(f"{staging}/hits")
+        replaced = hits.count()
+        if replaced:
+            # Partition values reach the scan at run time (dynamic partition pruning).
+            held = _stored(spark, path, part_cols).join(hits, part_cols, "left_semi")
+            rows = anti_by_key(held, new.select(*keys), keys).select(*names, *part_cols).unionByName(
+                new.join(hits, part_cols, "left_semi").select(*names, *part_cols))
+            rows.hint("rebalance", *part_cols).write.partitionBy(*part_cols).parquet(_merged(path))
+            _replace(spark, path)
+            remove_path(spark, _merged(path))
+        rest = new.join(hits, part_cols, "left_anti").select(*names, *part_cols)
+        if not rest.isEmpty():
+            _write(rest, _data(path), part_cols, replace=False)
+        return replaced
+    finally:
+        remove_path(spark, staging)
+
+
+def merge_into(spark: SparkSession, batch: DataFrame, table: str, key: str | Sequence[str]) -> DataFrame:
+    """The upsert as one statement, for catalogs whose tables take ``MERGE INTO``."""
+    check_schema(batch, spark.table(table).schema)
+    return spark.sql(merge_sql(table, "{rows}", _cols(key)), rows=batch)
+
+
+def merge_sql(table: str, source: str, keys: Sequence[str]) -> str:
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    return (f"MERGE INTO {table} t USING {source} s ON {on} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")

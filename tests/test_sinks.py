@@ -1,149 +1,136 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from stormmart.sinks import upsert
-from stormmart.sinks.tables import SchemaDriftError
-from stormmart.sinks.upsert import compact_upsert_table, live_partitions, read_upsert_table, upsert_table
+from stormmart.sinks.tables import SchemaDriftError, ensure_table, insert_named, route_lengths
+from stormmart.sinks.upsert import merge_sql, read_upsert_table, upsert_exists, upsert_table
 
 
-def test_upsert_table_replace_add_and_replay(spark, tmp_dir):
+def _parts(path):
+    """Data files by partition folder."""
+    return {os.path.relpath(d, path): {f for f in fs if f.endswith(".parquet")}
+            for d, _, fs in os.walk(os.path.join(path, "data")) if any(f.endswith(".parquet") for f in fs)}
+
+
+def _left(path):
+    return sorted(n for n in os.listdir(path) if n != "data")
+
+
+def test_upsert_replaces_adds_and_replays(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
     first = spark.createDataFrame([(i, "v0") for i in range(1000)], "k long, v string")
-    assert upsert_table(spark, first, path, "k", n_buckets=8) == []
+    assert not upsert_exists(spark, path) and upsert_table(spark, first, path, "k", n_buckets=8) == 0
     batch = spark.createDataFrame([(3, "v1"), (7, "v1"), (5000, "v1")], "k long, v string")
-    touched = upsert_table(spark, batch, path, "k", n_buckets=8)
-    assert 1 <= len(touched) <= 2
-    rows = {r.k: r.v for r in read_upsert_table(spark, path).collect()}
-    assert len(rows) == 1001 and rows[3] == rows[7] == rows[5000] == "v1" and rows[4] == "v0"
-    upsert_table(spark, batch, path, "k", n_buckets=8)          # replay: no change
-    again = read_upsert_table(spark, path)
-    assert again.count() == 1001 and again.select("k").distinct().count() == 1001
+    assert 1 <= upsert_table(spark, batch, path, "k", n_buckets=8) <= 2
+    for _ in range(2):
+        rows = read_upsert_table(spark, path).collect()
+        found = {r.k: r.v for r in rows}
+        assert len(rows) == len(found) == 1001 and found[3] == found[7] == found[5000] == "v1" and found[4] == "v0"
+        upsert_table(spark, batch, path, "k", n_buckets=8)          # replay: no change
+    assert _left(path) == [] and read_upsert_table(spark, path).columns == ["k", "v"]
 
 
-def test_upsert_table_rejects_schema_change(spark, tmp_dir):
+def test_upsert_rejects_schema_change(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
     upsert_table(spark, spark.createDataFrame([(1, "a")], "k long, v string"), path, "k", 4)
-    drift = spark.createDataFrame([(1, "a", 1)], "k long, v string, extra int")
     with pytest.raises(SchemaDriftError):
-        upsert_table(spark, drift, path, "k", 4)
-    assert read_upsert_table(spark, path).columns == ["k", "v"]
-
-
-def _by_part(spark, path):
-    out = {}
-    for folder, part in live_partitions(spark, path):
-        out.setdefault(part, set()).add(folder)
-    return out
+        upsert_table(spark, spark.createDataFrame([(1, "a", 1)], "k long, v string, extra int"), path, "k", 4)
+    assert read_upsert_table(spark, path).count() == 1
 
 
-def test_upsert_rewrites_only_buckets_with_replaced_keys(spark, tmp_dir):
+def test_only_partitions_with_replaced_keys_are_rewritten(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
-    upsert_table(spark, spark.createDataFrame([(i, "v0") for i in range(2000)], "k long, v string"),
-                 path, "k", n_buckets=8)
-    before = _by_part(spark, path)
-    touched = upsert_table(spark, spark.createDataFrame([(5, "v1")], "k long, v string"), path, "k", 8)
-    after = _by_part(spark, path)
-    assert len(touched) == 1 and {p for p in before if before[p] != after[p]} == set(touched)
-    # a batch of new keys only adds folders: all others stay
-    upsert_table(spark, spark.createDataFrame([(9001, "n"), (9002, "n")], "k long, v string"), path, "k", 8)
-    final = _by_part(spark, path)
-    assert all(after[p] <= final[p] for p in after) and final != after
-    assert read_upsert_table(spark, path).count() == 2002
-
-
-def test_grouped_upsert_reads_and_rewrites_only_batch_groups(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "clean")
-    rows = [(i, 1950 + i % 3, "v0") for i in range(300)]
-    upsert_table(spark, spark.createDataFrame(rows, "k long, year int, v string"), path, "k",
-                 n_buckets=4, group_cols=["year"], key_sets_group=True)
-    before = _by_part(spark, path)
-    assert {p.split("/")[0] for p in before} == {"__group=g1950", "__group=g1951", "__group=g1952"}
-    batch = spark.createDataFrame([(0, 1950, "v1"), (3, 1950, "v1"), (999, 1950, "new")],
-                                  "k long, year int, v string")
-    touched = upsert_table(spark, batch, path, "k", n_buckets=4, group_cols=["year"], key_sets_group=True)
-    assert touched and all(t.startswith("__group=g1950/") for t in touched)
-    after = _by_part(spark, path)
-    assert all(after[p] == before[p] for p in before if not p.startswith("__group=g1950/"))
+    rows = spark.range(0, 3000, 1, 8).selectExpr("id AS k", "CAST(1950 + id % 3 AS INT) AS year", "'v0' AS v")
+    upsert_table(spark, rows, path, "k", 4, ["year"])
+    before = _parts(path)
+    assert len(before) == 12 and sum(map(len, before.values())) <= 24   # few files for each partition
+    batch = spark.createDataFrame([(0, 1950, "v1"), (9000, 1950, "new")], "k long, year int, v string")
+    assert upsert_table(spark, batch, path, "k", 4, ["year"]) == 1
+    after = _parts(path)
+    rewritten = [p for p in before if not before[p] <= after[p]]
+    assert len(rewritten) == 1 and "__group=g1950" in rewritten[0]
+    assert all(after[p] == before[p] for p in before if "__group=g1950" not in p)
+    # New keys only add files.
+    upsert_table(spark, spark.createDataFrame([(9001, 1951, "n")], "k long, year int, v string"), path, "k", 4, ["year"])
+    assert all(after[p] <= files for p, files in _parts(path).items() if p in after)
     got = {r.k: (r.year, r.v) for r in read_upsert_table(spark, path).collect()}
-    assert len(got) == 301 and got[0] == (1950, "v1") and got[3] == (1950, "v1") and got[999] == (1950, "new")
-    assert read_upsert_table(spark, path).columns == ["k", "year", "v"]
-
+    assert len(got) == 3002 and got[0] == (1950, "v1") and got[9000] == (1950, "new") and got[3] == (1950, "v0")
 
-def test_key_that_changes_its_group_is_replaced(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "clean")
-    schema = "k long, g string, v int"
-    upsert_table(spark, spark.createDataFrame([(1, "a|0 %", 0), (2, "b", 0), (3, "", 0)], schema), path, "k", 4, ["g"])
-    upsert_table(spark, spark.createDataFrame([(1, "b", 1), (3, None, 1)], schema), path, "k", 4, ["g"])
-    assert sorted(tuple(r) for r in read_upsert_table(spark, path).collect()) == [(1, "b", 1), (2, "b", 0), (3, None, 1)]
 
-
-@pytest.mark.parametrize("step", ["staging", "load", "half_load", "version", "clean_up"])
+@pytest.mark.parametrize("step", ["staging", "merged", "half_replaced", "append"])
 def test_crash_at_every_step_loses_and_doubles_nothing(spark, tmp_dir, monkeypatch, step):
     path = os.path.join(tmp_dir, "clean")
     old = spark.createDataFrame([(i, "v0") for i in range(1000)], "k long, v string")
-    new = spark.createDataFrame([(i, "v1") for i in range(950, 1050)], "k long, v string")
-    upsert_table(spark, old, path, "k", 4)
-    with monkeypatch.context() as m:
-        def crash(*args, **kwargs):
-            raise RuntimeError("lost")
+    new = spark.createDataFrame([(i, "v1") for i in range(990, 1050)], "k long, v string")
+    upsert_table(spark, old, path, "k", 64)
+    write, replace = upsert._write, upsert._replace
 
-        def half(data, folder, load, part_cols):
-            write(data.limit(7), folder, load, part_cols)
-            crash()
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
 
-        write = upsert._write_load
+    def half(s, p):
+        """The commit removed a partition's files and ended before the new ones came."""
+        folder = next(d for d, _, fs in os.walk(os.path.join(p, "data")) if any(f.endswith(".parquet") for f in fs)
+                      and os.path.exists(d.replace("/data/", "/merged/")))
+        for f in os.listdir(folder):
+            os.remove(os.path.join(folder, f))
+        crash()
+
+    with monkeypatch.context() as m:
         if step == "staging":
             m.setattr(upsert, "bucket_of", crash)
-        elif step == "load":
-            m.setattr(upsert, "_write_load", crash)
-        elif step == "half_load":
-            m.setattr(upsert, "_write_load", half)
-        elif step == "version":
-            m.setattr(upsert, "_commit", crash)
+        elif step == "merged":
+            m.setattr(upsert, "_replace", crash)
+        elif step == "half_replaced":
+            m.setattr(upsert, "_replace", half)
         else:
-            m.setattr(upsert, "_clean_up", crash)
+            m.setattr(upsert, "_write", lambda rows, p, cols, replace: write(rows, p, cols, replace) if replace else crash())
         with pytest.raises(RuntimeError):
-            upsert_table(spark, new, path, "k", 4)
+            upsert_table(spark, new, path, "k", 64)
+    assert upsert._replace is replace
     seen = {r.k: r.v for r in read_upsert_table(spark, path).collect()}
-    committed = step == "clean_up"
-    assert len(seen) == (1050 if committed else 1000)
-    assert {v for k, v in seen.items() if k >= 950} == ({"v1"} if committed else {"v0"})
-    upsert_table(spark, new, path, "k", 4)                       # replay
+    assert set(range(1000)) <= set(seen)                     # nothing stored is lost
+    upsert_table(spark, new, path, "k", 64)                  # replay
     rows = read_upsert_table(spark, path).collect()
-    assert len(rows) == 1050 and {r.k: r.v for r in rows} == {i: "v1" if i >= 950 else "v0" for i in range(1050)}
-    assert not os.path.exists(os.path.join(path, "staging"))
-    assert len(os.listdir(os.path.join(path, "versions"))) <= 2
-    upsert_table(spark, new, path, "k", 4)
-    upsert_table(spark, new, path, "k", 4)                       # nothing of the first attempts is left
-    named = {f.split("/")[0] for f, _ in live_partitions(spark, path)}
-    assert len(os.listdir(os.path.join(path, "data"))) <= 2 * max(1, len(named))
-
-
-def test_upsert_writes_few_files_for_each_partition(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "clean")
-    rows = spark.range(0, 20000, 1, 16).selectExpr("id AS k", "id % 5 AS g")
-    upsert_table(spark, rows, path, "k", 8, ["g"])
-    files = [f for _, _, names in os.walk(os.path.join(path, "data")) for f in names if f.endswith(".parquet")]
-    assert len(live_partitions(spark, path)) == 40 and len(files) <= 80
+    assert len(rows) == 1050 and {r.k: r.v for r in rows} == {i: "v1" if i >= 990 else "v0" for i in range(1050)}
+    assert _left(path) == []
 
 
-def test_compaction_keeps_rows(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "clean")
-    for i in range(4):
-        upsert_table(spark, spark.createDataFrame([(100 * i + j, i) for j in range(50)], "k long, v int"), path, "k", 2)
-    before = sorted(map(tuple, read_upsert_table(spark, path).collect()))
-    assert len(live_partitions(spark, path)) == 8
-    assert len(compact_upsert_table(spark, path, max_folders=2)) == 2
-    assert len(live_partitions(spark, path)) == 2
-    assert sorted(map(tuple, read_upsert_table(spark, path).collect())) == before
-    assert compact_upsert_table(spark, path, max_folders=2) == []
-
-
-def test_empty_batches(spark, tmp_dir):
+def test_empty_batches_and_null_keys(spark, tmp_dir):
     path = os.path.join(tmp_dir, "clean")
     none = spark.createDataFrame([], "k long, v string")
-    assert upsert_table(spark, none, path, "k", 2) == [] and read_upsert_table(spark, path).count() == 0
+    upsert_table(spark, none, path, "k", 2)
+    assert not upsert_exists(spark, path)
     upsert_table(spark, spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string"), path, "k", 2)
     upsert_table(spark, none, path, "k", 2)
     assert read_upsert_table(spark, path).count() == 2
+
+
+def test_merge_statement(spark):
+    sql = merge_sql("cat.db.t", "s", ["a", "b"])
+    spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    assert "t.`a` = s.`a` AND t.`b` = s.`b`" in sql
+
+
+def test_defaults_and_lengths_are_the_tables(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("k BIGINT, v STRING, loaded TIMESTAMP, part STRING")
+    spark.sql("DROP TABLE IF EXISTS defaults_t")
+    ensure_table(spark, "defaults_t", schema, ["part"], {"loaded": "current_timestamp()", "v": "'?'"}, {"v": 3})
+    insert_named(spark.createDataFrame([(1, "p")], "k long, part string"), "defaults_t")
+    insert_named(spark.createDataFrame([(2, "é漢😀", "q"), (3, None, "q")], "k long, v string, part string"), "defaults_t")
+    rows = {r.k: (r.v, r.loaded is not None) for r in spark.table("defaults_t").collect()}
+    assert rows == {1: ("?", True), 2: ("é漢😀", True), 3: (None, True)}
+    long = spark.createDataFrame([(4, "four", "q"), (5, "ok", "q")], "k long, v string, part string")
+    with pytest.raises(PySparkException, match="(?i)length"):
+        insert_named(long, "defaults_t")
+    fits, rejected = route_lengths(long, {"v": 3, "absent": 1})
+    insert_named(fits, "defaults_t", overwrite_partitions=True)      # replaces part q only
+    assert sorted(r.k for r in spark.table("defaults_t").collect()) == [1, 5]
+    assert [(r.k, r.column_name, r.limit_length, r.found_length) for r in rejected.collect()] == [(4, "v", 3, 4)]
+    assert route_lengths(long, {})[1].count() == 0
+    assert rejected.select(F.max("found_length")).first()[0] == 4
