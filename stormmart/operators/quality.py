@@ -3,21 +3,25 @@
 A suite is a named list of rules in the expectation-suite JSON shape
 (``expectation_type`` + ``kwargs``). ``run_suite`` turns every row-level rule
 into a ``count_if`` and evaluates all of them in a single ``agg`` (partial
-aggregation per task, one tiny row to the driver). Key-uniqueness rules need
-a grouping by the key, one extra aggregate each. Results are rows
+aggregation per task, one tiny row to the driver). Key-uniqueness rules are
+counted in the same scan, all of them in one grouping by (rule, key). Results are rows
 (suite, rule, column_name, element_count, unexpected_count, success).
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stormmart.functions.hashing import encode_values
 from stormmart.schemas import QUALITY_RESULT_SCHEMA
+from stormmart.session import shared_path
 
 NOT_NULL = "expect_column_values_to_not_be_null"
 BE_NULL = "expect_column_values_to_be_null"
@@ -32,7 +36,7 @@ ALIASES = {"not_null": NOT_NULL, "unique": UNIQUE}
 # Settings of a rule, besides its columns.
 _RANGE = {"min_value", "max_value"}
 RULE_KWARGS = {
-    NOT_NULL: set(), BE_NULL: set(), IN_SET: {"value_set", "ignore_case"},
+    NOT_NULL: set(), BE_NULL: set(), IN_SET: {"value_set", "value_table", "value_column", "ignore_case"},
     BETWEEN: _RANGE | {"strict_min", "strict_max"}, LENGTH_BETWEEN: _RANGE,
     UNIQUE: set(), COMPOUND_UNIQUE: set(),
 }
@@ -73,6 +77,8 @@ class Rule:
             raise ValueError(f"{self.kind}: settings {sorted(extra)} are not known")
         if not 0 < self.mostly <= 1 or (self.mostly < 1 and self.kind in (UNIQUE, COMPOUND_UNIQUE)):
             raise ValueError(f"{self.kind}: mostly={self.mostly} is not possible")
+        if self.kind == IN_SET and ("value_set" in self.kwargs) == ("value_table" in self.kwargs):
+            raise ValueError(f"{self.kind}: either value_set or value_table names the values")
 
     @property
     def mostly(self) -> float:
@@ -142,6 +148,11 @@ def in_set(column: str, values: Iterable[str], ignore_case: bool = False) -> Rul
     return Rule(IN_SET, column, {"value_set": list(values), "ignore_case": ignore_case})
 
 
+def in_table(column: str, table: str, value_column: str, ignore_case: bool = False) -> Rule:
+    """The set is a column of a table or view: any number of values."""
+    return Rule(IN_SET, column, {"value_table": table, "value_column": value_column, "ignore_case": ignore_case})
+
+
 def between(column: str, min_value=None, max_value=None,
             strict_min: bool = False, strict_max: bool = False) -> Rule:
     return Rule(BETWEEN, column, {"min_value": min_value, "max_value": max_value,
@@ -203,6 +214,14 @@ def _is_key_rule(rule: Rule) -> bool:
     return rule.kind in (UNIQUE, COMPOUND_UNIQUE)
 
 
+def _is_table_rule(rule: Rule) -> bool:
+    return "value_table" in rule.kwargs
+
+
+def _row_rules(suite: Suite) -> list[Rule]:
+    return [r for r in suite.rules if not _is_key_rule(r) and not _is_table_rule(r)]
+
+
 def _row_metrics(rules: Sequence[Rule]) -> list[Column]:
     """One count for each rule, one of its values where ``mostly`` needs it, and the rows."""
     aggs = [F.count(F.lit(1)).alias("__n")]
@@ -229,10 +248,6 @@ def _result(suite: str, rule: Rule, n: Column, bad: Column, success: Column) ->
     )
 
 
-def _row_rules_frame(df: DataFrame, suite: Suite, rules: Sequence[Rule]) -> DataFrame:
-    return _row_results(df.agg(*_row_metrics(rules)), suite, rules)
-
-
 def _row_results(one: DataFrame, suite: Suite, rules: Sequence[Rule]) -> DataFrame:
     return one.select(F.inline(F.array(*[
         _result(suite.name, r, F.col("__n"), F.col(f"__u{i}"), _passes(r, i)) for i, r in enumerate(rules)
@@ -242,9 +257,12 @@ def _row_results(one: DataFrame, suite: Suite, rules: Sequence[Rule]) -> DataFra
 def run_row_rules_by(df: DataFrame, suite: Suite, by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Row-level rules for each group of ``by`` in one pass: the results of all
     rows together, and the groups that break a rule. Both read the small table
-    of counts, which is persisted."""
-    rules = [r for r in suite.rules if not _is_key_rule(r)]
-    counts = df.groupBy(*by).agg(*_row_metrics(rules)).persist()
+    of counts, which is written to the shared folder."""
+    rules = _row_rules(suite)
+    counts = df.groupBy(*by).agg(*_row_metrics(rules))
+    path = shared_path(df.sparkSession, "quality", uuid.uuid4().hex)
+    counts.write.parquet(path)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
     sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns if c not in by])
     passes = F.lit(True)
     for i, r in enumerate(rules):
@@ -254,44 +272,97 @@ def run_row_rules_by(df: DataFrame, suite: Suite, by: Sequence[str]) -> tuple[Da
 
 
 def key_rules(suite: Suite) -> Suite:
-    """The suite's uniqueness rules."""
-    return Suite(suite.name, [r for r in suite.rules if _is_key_rule(r)])
-
+    """The rules that need more than a row: uniqueness and sets in tables."""
+    return Suite(suite.name, [r for r in suite.rules if _is_key_rule(r) or _is_table_rule(r)])
 
-def _key_rule_frame(df: DataFrame, suite: Suite, rule: Rule) -> DataFrame:
-    """Uniqueness as the model tests define it: keys (every part non-null) occurring more than once.
 
-    One grouping by the key (partial counts per task, so a hot key costs one
-    row per task), then a one-row aggregate over the groups.
-    """
-    cols = list(rule.column) if isinstance(rule.column, tuple) else [rule.column]
+def _key_of(rule: Rule) -> Column:
+    """The rule's key as one text; null where a part of it is null."""
+    cols = [F.col(c) for c in (rule.column if isinstance(rule.column, tuple) else (rule.column,))]
     present = F.lit(True)
     for c in cols:
-        present = present & F.col(c).isNotNull()
-    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c"))
-    one = per_key.agg(
-        F.sum("__c").alias("__n"),
-        F.count_if(present & (F.col("__c") > 1)).alias("__u"),
-    )
-    return one.select(F.inline(F.array(
-        _result(suite.name, rule, F.coalesce(F.col("__n"), F.lit(0)), F.col("__u"), F.col("__u") == 0)
-    )))
+        present = present & c.isNotNull()
+    return F.when(present, encode_values(*cols))
+
+
+def _all_metrics(df: DataFrame, rows: Sequence[Rule], keys: Sequence[Rule]) -> DataFrame:
+    """One row: what ``_row_metrics`` counts, and for each uniqueness rule
+    (``__k0`` ...) the keys, every part of them not null, that occur more than once.
+
+    Row rules are plain aggregates. With uniqueness rules a row becomes a line
+    for each of them, (rule, key), and one more for the row rules, whose key is
+    empty: one scan and one grouping for all rules. Lines are counted in every
+    task first, so a hot key, like the row rules' one, sends one line from each.
+    """
+    row_aggs = _row_metrics(rows)
+    if not keys:
+        return df.agg(*row_aggs)
+    # The same counts as sums of flags, which lines of other rules leave null.
+    flags = {"__n": F.lit(1).cast("long")}
+    flags |= {f"__u{i}": unexpected(r).cast("long") for i, r in enumerate(rows)}
+    flags |= {f"__v{i}": (F.lit(True) if r.kind in (NOT_NULL, BE_NULL) else F.col(r.column).isNotNull()).cast("long")
+              for i, r in enumerate(rows) if r.mostly < 1}
+    lines = [F.struct(F.lit(-1).alias("__rule"), F.lit("").alias("__key"), *[c.alias(n) for n, c in flags.items()])]
+    lines += [F.struct(F.lit(j).alias("__rule"), _key_of(r).alias("__key"),
+                       *[F.lit(None).cast("long").alias(n) for n in flags]) for j, r in enumerate(keys)]
+    each = df.select(F.inline(F.array(*lines))).where(F.col("__key").isNotNull())
+    counts = each.groupBy("__rule", "__key").agg(F.count(F.lit(1)).alias("__c"), *[F.sum(n).alias(n) for n in flags])
+    own = F.col("__rule") == -1
+    return counts.agg(
+        *[F.coalesce(F.max(F.when(own, F.col(n))), F.lit(0)).alias(n) for n in flags],
+        *[F.count_if((F.col("__rule") == j) & (F.col("__c") > 1)).alias(f"__k{j}") for j in range(len(keys))])
 
 
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """All rules of the suite as result rows; row-level rules in one pass."""
-    row_rules = [r for r in suite.rules if not _is_key_rule(r)]
-    key_rules = [r for r in suite.rules if _is_key_rule(r)]
-    parts = []
-    if row_rules:
-        parts.append(_row_rules_frame(df, suite, row_rules))
-    parts += [_key_rule_frame(df, suite, r) for r in key_rules]
+    """All rules of the suite as result rows: one scan of ``df`` for all row-level
+    and uniqueness rules, and one more for each set that is a table."""
+    parts = [outside_table(df, suite.name, r) for r in suite.rules if _is_table_rule(r)]
+    rows, keys = _row_rules(suite), [r for r in suite.rules if _is_key_rule(r)]
+    if rows or keys:
+        parts.insert(0, _one_scan(df, suite, rows, keys))
     if not parts:
         return df.sparkSession.createDataFrame([], QUALITY_RESULT_SCHEMA)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _one_scan(df: DataFrame, suite: Suite, rows: Sequence[Rule], keys: Sequence[Rule]) -> DataFrame:
+    results = [_result(suite.name, r, F.col("__n"), F.col(f"__u{i}"), _passes(r, i)) for i, r in enumerate(rows)]
+    results += [_result(suite.name, r, F.col("__n"), F.col(f"__k{j}"), F.col(f"__k{j}") == 0)
+                for j, r in enumerate(keys)]
+    return _all_metrics(df, rows, keys).select(F.inline(F.array(*results)))
+
+
+#: Bytes of a set's values up to which it is sent to every task.
+SET_BROADCAST_BYTES = 32 * 1024 * 1024
+#: Bytes beside the text that a value takes in memory.
+VALUE_OVERHEAD = 64
+
+
+def outside_table(df: DataFrame, suite: str, rule: Rule, broadcast_bytes: int = SET_BROADCAST_BYTES) -> DataFrame:
+    """One result row of a set rule whose values are a table.
+
+    The column's values are counted first (in every task, then by value), so the
+    join sees each different value once, however often it occurs. Nulls of the
+    column are not looked for and nulls of the set match nothing, so a null in the
+    set never makes a value fit (as NOT IN would have it). The set's size is
+    measured: a small one is broadcast, a larger one is merged by value.
+    """
+    value = F.col(rule.column).cast("string")
+    spark = df.sparkSession
+    member = F.col(rule.kwargs["value_column"]).cast("string")
+    if rule.kwargs.get("ignore_case"):
+        value, member = F.upper(value), F.upper(member)
+    members = spark.table(rule.kwargs["value_table"]).select(member.alias("value")).where("value is not null").distinct()
+    size = members.agg(F.sum(F.octet_length("value") + VALUE_OVERHEAD)).first()[0] or 0
+    members = F.broadcast(members) if size <= broadcast_bytes else members.hint("merge")
+    counts = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    # Nulls count as rows, but never meet the set.
+    outside = counts.where("value is not null").join(members, "value", "left_anti")
+    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__n"),
+                      F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("__v0"))
+    bad = outside.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("__u0"))
+    return sums.join(bad).select(F.inline(F.array(
+        _result(suite, rule, F.col("__n"), F.col("__u0"), _passes(rule, 0)))))
 
 
 def observe_suite(df: DataFrame, suite: Suite):
@@ -304,14 +375,14 @@ def observe_suite(df: DataFrame, suite: Suite):
     """
     from pyspark.sql import Observation
 
-    rules = [r for r in suite.rules if not _is_key_rule(r)]
+    rules = _row_rules(suite)
     obs = Observation(f"suite_{suite.name}")
     return df.observe(obs, *_row_metrics(rules)), obs
 
 
 def observation_results(suite: Suite, obs) -> list[dict]:
     """Result rows (same shape as ``run_suite``) from a finished observation."""
-    rules = [r for r in suite.rules if not _is_key_rule(r)]
+    rules = _row_rules(suite)
     got = obs.get
     return [{"suite": suite.name, "rule": r.kind, "column_name": r.column_name,
              "element_count": int(got["__n"]), "unexpected_count": int(got[f"__u{i}"]),
