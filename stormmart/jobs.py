@@ -6,7 +6,6 @@
     ... stormmart/jobs.py clean  --clean ...
     ... stormmart/jobs.py mart   --clean ... --mart mart.yearly_damage
     ... stormmart/jobs.py models --clean ... --mart mart.yearly_damage   (clean, its tests, mart)
-    ... stormmart/jobs.py compact --clean ...
 
 The session is the cluster's (``getOrCreate``); nothing here sets a master.
 """
@@ -22,7 +21,7 @@ from stormmart.operators import quality as dq
 from stormmart.plans.ingest import Layout, archive_loaded, ingest_directory, run_clean_model, run_models
 from stormmart.plans.layers import yearly_damage
 from stormmart.sinks.tables import materialize_table
-from stormmart.sinks.upsert import compact_upsert_table, read_upsert_table
+from stormmart.sinks.upsert import read_upsert_table
 from stormmart.streaming.landing_stream import FILES_PER_TRIGGER, start_ingest
 
 
@@ -38,7 +37,7 @@ def _suite(args) -> dq.Suite | None:
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     p = argparse.ArgumentParser(prog="stormmart.jobs")
-    p.add_argument("job", choices=["ingest", "stream", "clean", "mart", "models", "compact", "archive"])
+    p.add_argument("job", choices=["ingest", "stream", "clean", "mart", "models", "archive"])
     p.add_argument("--landing")
     p.add_argument("--archive")
     p.add_argument("--clean")
@@ -63,17 +62,23 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
                          max_files_per_trigger=args.files_per_trigger, archive_dir=args.archive,
                          available_now=not args.continuous, interval=args.interval)
         q.awaitTermination()
-        return {"stream": q.id}
+        # The stream archives a batch's files when a later one commits: the rest goes now.
+        return {"stream": q.id, **(_archived(spark, args, layout) if args.archive else {})}
     if args.job == "clean":
         return {"rewritten": run_clean_model(spark, layout)}
     if args.job == "models":
         return run_models(spark, layout, args.mart)
-    if args.job == "compact":
-        return {"rewritten": compact_upsert_table(spark, args.clean)}
     if args.job == "mart":
         materialize_table(yearly_damage(read_upsert_table(spark, args.clean)), args.mart)
         return {"mart": args.mart}
-    return {"archived": archive_loaded(spark, args.landing, args.archive, layout)}
+    return _archived(spark, args, layout)
+
+
+def _archived(spark: SparkSession, args, layout: Layout) -> dict:
+    """Numbers of files that were moved and that were not, by reason."""
+    moves = archive_loaded(spark, args.landing, args.archive, layout)
+    found = {r["error"]: r["count"] for r in moves.groupBy("error").count().collect()}
+    return {"archived": found.pop(None, 0), "not_archived": found}
 
 
 def main() -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from stormmart.operators import quality as dq
 from stormmart.operators.cleaning import prepare_raw
 from stormmart.plans.layers import clean, stage, yearly_damage
-from stormmart.schemas import FILE_PATH, FILENAME, MALFORMED, NOT_CAST, ROW_HASH, text_length_limits
+from stormmart.schemas import DATE_LOADED, FILE_PATH, FILENAME, MALFORMED, NOT_CAST, ROW_HASH, text_length_limits
 from stormmart.session import shared_path
 from stormmart.sinks.tables import (
     BATCH,
@@ -21,12 +23,15 @@ from stormmart.sinks.tables import (
     materialize_view,
     path_exists,
     read_raw,
+    route_lengths,
+    save_rejects,
     save_results,
     write_files,
 )
 from stormmart.sinks.upsert import read_upsert_table, upsert_exists, upsert_table
 from stormmart.sources.catalog import loaded_files, missing_files
-from stormmart.sources.landing import file_key, list_landing, read_landing
+from stormmart.sources.headers import read_by_header
+from stormmart.sources.landing import file_key, list_landing
 
 
 @dataclass
@@ -36,6 +41,8 @@ class Layout:
     log_table: str = "raw.storm_events_log"
     clean_path: str = ""
     results_table: str | None = "raw.quality_results"
+    # Texts that were too long for their columns (report-only runs).
+    reject_table: str | None = "raw.length_rejects"
     n_buckets: int = 64
     # Content column(s) above the hash buckets of the clean table: event files
     # come per year, so a batch touches one or two years.
@@ -73,7 +80,8 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | str, layout: Layout,
-                 suite: dq.Suite | None = None, files: DataFrame | None = None) -> list[dict]:
+                 suite: dq.Suite | None = None, files: DataFrame | None = None,
+                 misfits: DataFrame | None = None) -> list[dict]:
     """Load one batch of landing rows (all text, with their file).
 
     Every file has a partition of its own in the raw table and in the log, so a
@@ -87,8 +95,13 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
     gate the suite only reports; its row rules are counted during the raw
     write, its uniqueness rules on the written rows.
 
+    Without gate, texts that are too long for their columns keep their row out
+    of the raw table; each such text is a row of the reject table.
+
     ``files`` (file name and load key of all files of the batch) lets files
-    without rows enter the log, too. Returns the quality results.
+    without rows enter the log, too. ``misfits`` (``HeaderScan.refused``) are
+    files that could not be read; they fail the gate by their columns. Returns
+    the quality results.
     """
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
     done = spark.table(layout.log_table).select(BATCH).distinct()
@@ -97,19 +110,21 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
         # the same rows without the sort a round-robin repartition needs.
         landing_rows = landing_rows.repartition(
             layout.spread_partitions, F.xxhash64(*landing_rows.columns))
-    rows = _keyed(prepare_raw(landing_rows)).join(done, on=BATCH, how="left_anti")
+    # The load time is the raw table's default.
+    rows = _keyed(prepare_raw(landing_rows).drop(DATE_LOADED)).join(done, on=BATCH, how="left_anti")
     for c in (MALFORMED, NOT_CAST):
         if c not in rows.columns:
             rows = rows.withColumn(c, F.lit(None).cast("string"))
     suite = suite or default_suite()
     keys = dq.key_rules(suite)
+    unread = [] if misfits is None else header_results(suite, misfits)
     refused: list[dict] = []
     if layout.gate:
         if layout.persist_batch:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             results, bad = dq.run_row_rules_by(rows, suite, [FILENAME, BATCH])
-            checked = [r.asDict() for r in results.collect()]
+            checked = [r.asDict() for r in results.collect()] + unread
             bad = bad.select(BATCH)
             good = rows.join(bad, on=BATCH, how="left_anti")
             if keys.rules:
@@ -126,8 +141,12 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
                 rows.unpersist()
     else:
         observed, obs = dq.observe_suite(rows, suite)
-        write_files(observed, layout.raw_table)
-        checked = dq.observation_results(suite, obs)
+        fits, too_long = route_lengths(observed, text_length_limits())
+        write_files(fits, layout.raw_table)
+        checked = dq.observation_results(suite, obs) + unread
+        over = [r for r in checked if r["rule"] == dq.LENGTH_BETWEEN and not r["success"]]
+        if over and layout.reject_table:
+            save_rejects(route_lengths(rows, text_length_limits())[1], layout.reject_table, str(batch_id))
         loaded = _kept(rows.select(BATCH, FILENAME).distinct() if files is None else files)
         if keys.rules:
             checked += [r.asDict() for r in dq.run_suite(_written(spark, layout, loaded), keys).collect()]
@@ -144,14 +163,20 @@ def ingest_batch(spark: SparkSession, landing_rows: DataFrame, batch_id: int | s
         # stored row, so the clean model's "newer than the target" filter
         # keeps all of them and the target's max is not scanned.
         upsert_table(spark, clean(_written(spark, layout, loaded)), layout.clean_path, ROW_HASH,
-                     layout.n_buckets, layout.clean_group_cols, key_sets_group=True)
-    write_files(loaded.withColumn("date_loaded", F.current_timestamp())
-                .withColumn("batch_id", F.lit(str(batch_id))), layout.log_table)
+                     layout.n_buckets, layout.clean_group_cols)
+    write_files(loaded.withColumn("batch_id", F.lit(str(batch_id))), layout.log_table)
     if refused:
         raise dq.QualityGateError(dq.failures(refused) + "; files that break a rule were not loaded")
     return checked
 
 
+def header_results(suite: dq.Suite, misfits: DataFrame) -> list[dict]:
+    """A failed result for each column that kept files from being read."""
+    found = misfits.groupBy("reason", "column").agg(F.count_distinct(FILE_PATH).alias("n")).collect()
+    return [{"suite": suite.name, "rule": f"header: {r['reason']}", "column_name": r["column"],
+             "element_count": r["n"], "unexpected_count": r["n"], "success": False} for r in found]
+
+
 def _kept(files: DataFrame) -> DataFrame:
     """A list of files as a small table in the shared folder."""
     path = shared_path(files.sparkSession, "ingest", uuid.uuid4().hex)
@@ -164,11 +189,17 @@ def _written(spark: SparkSession, layout: Layout, loaded: DataFrame) -> DataFram
     return raw.join(loaded.select(BATCH), on=BATCH, how="left_semi").drop(BATCH)
 
 
+def logged(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The load log as it is now."""
+    ensure_raw_tables(spark, layout.raw_table, layout.log_table)
+    spark.catalog.refreshTable(layout.log_table)
+    return spark.table(layout.log_table)
+
+
 def files_to_load(spark: SparkSession, landing_dir: str, layout: Layout) -> DataFrame:
     """Landing files whose path is not in the load log."""
-    ensure_raw_tables(spark, layout.raw_table, layout.log_table)
     listing = list_landing(spark, landing_dir).withColumn(BATCH, file_key(F.col(FILE_PATH)))
-    return missing_files(listing, spark.table(layout.log_table), BATCH)
+    return missing_files(listing, logged(spark, layout), BATCH)
 
 
 def ingest_directory(spark: SparkSession, landing_dir: str, layout: Layout,
@@ -184,59 +215,100 @@ def ingest_directory(spark: SparkSession, landing_dir: str, layout: Layout,
     paths = [r.path for r in pending.select("path").toLocalIterator()]
     if not paths:
         return []
-    rows = read_landing(spark, paths)
     # The files that are read, also if more arrive meanwhile.
-    listed = pending.join(spark.createDataFrame([(p,) for p in paths], "path string"),
-                          on="path", how="left_semi").select(FILENAME, BATCH)
-    return ingest_batch(spark, rows, batch_id or f"run-{uuid.uuid4().hex[:16]}", layout, suite, listed)
+    listed = pending.join(spark.createDataFrame([(p,) for p in paths], "path string"), on="path", how="left_semi")
+    return ingest_files(spark, paths, listed, batch_id or f"run-{uuid.uuid4().hex[:16]}", layout, suite)
+
+
+def ingest_files(spark: SparkSession, paths: list[str], listed: DataFrame, batch_id: int | str, layout: Layout,
+                 suite: dq.Suite | None = None) -> list[dict]:
+    """Read files by their own headers and load them as one batch; ``listed`` has
+    their path, name and load key. A file whose header does not fit is left out,
+    the others load."""
+    scan = read_by_header(spark, paths)
+    unread = scan.refused.withColumn(BATCH, file_key(F.col(FILE_PATH))).select(BATCH)
+    files = listed.select(FILENAME, BATCH).join(unread, on=BATCH, how="left_anti")
+    return ingest_batch(spark, scan.rows, batch_id, layout, suite, files, scan.refused)
 
 
-class ArchiveError(RuntimeError):
-    """Some files could not be moved; they stay in the landing folder."""
+#: Renames that one task makes.
+FILES_PER_MOVE_TASK = 500
+MOVES = f"path string, {FILENAME} string, target string, error string"
 
 
-def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str,
-                   layout: Layout) -> list[str]:
+def archive_loaded(spark: SparkSession, landing_dir: str, archive_dir: str, layout: Layout) -> DataFrame:
     """Move landing files that are in the load log into ``archive_dir``.
 
-    The batch counterpart of the stream's ``cleanSource=archive``: the file
-    list is a semi join of the listing with the log, read partition by
-    partition; each move is one file-system rename (metadata only). A name that
-    the archive has already gets its load key in front. Files that cannot be
-    moved are reported by an error after all others are done.
+    A job over the listing: its rows, dealt by path, are renamed in the tasks,
+    and each gives a result row (path, name, target, error). Also the last
+    batch's files move, so the folder is empty after a run that loaded all. A name
+    that the archive has already gets its load key in front. A file that can not
+    be moved stays, with the reason in its row; one that an earlier attempt of
+    the task has moved counts as moved. Files are reached through pyarrow's file
+    systems (local, HDFS, S3, GCS).
     """
     ensure_raw_tables(spark, layout.raw_table, layout.log_table)
     listing = list_landing(spark, landing_dir).withColumn(BATCH, file_key(F.col(FILE_PATH)))
     done = listing.join(loaded_files(spark.table(layout.log_table), BATCH), on=BATCH, how="left_semi")
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target_dir = jvm.org.apache.hadoop.fs.Path(archive_dir)
-    fs = target_dir.getFileSystem(conf)
-    fs.mkdirs(target_dir)
-    moved, failed = [], []
-    for row in done.select("path", BATCH).toLocalIterator():
-        src = jvm.org.apache.hadoop.fs.Path(row["path"])
-        target = jvm.org.apache.hadoop.fs.Path(target_dir, src.getName())
-        if fs.exists(target):
-            target = jvm.org.apache.hadoop.fs.Path(target_dir, f"{row[BATCH]}-{src.getName()}")
-        (moved if fs.rename(src, target) else failed).append(src.getName())
-    if failed:
-        raise ArchiveError(f"{len(moved)} files moved, not moved: {failed}")
-    return moved
-
-
-def run_clean_model(spark: SparkSession, layout: Layout) -> list[str]:
+    done = done.select("path", FILENAME, BATCH)
+    tasks = max(1, math.ceil(done.count() / FILES_PER_MOVE_TASK))
+    moved = done.repartition(tasks, "path").mapInArrow(_mover(archive_dir), MOVES)
+    out = shared_path(spark, "archive", uuid.uuid4().hex)
+    moved.write.parquet(out)
+    return spark.read.schema(MOVES).parquet(out)
+
+
+def _mover(archive_dir: str) -> Callable:
+    """The map function of ``archive_loaded``."""
+    def move(batches: Iterator) -> Iterator:
+        import re
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def place(uri: str) -> tuple:
+            return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri if ":/" in uri else f"file://{uri}"))
+
+        for batch in batches:
+            targets, errors = [], []
+            for path, name, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                target = error = None
+                try:
+                    system, source = place(path)
+                    _, folder = place(archive_dir)
+                    system.create_dir(folder, recursive=True)
+                    plain, own = f"{folder}/{name}", f"{folder}/{key}-{name}"
+                    here, there, again = (i.type != fs.FileType.NotFound
+                                          for i in system.get_file_info([source, plain, own]))
+                    target = own if again or (there and here) else plain
+                    if here:
+                        system.move(source, target)
+                    elif not there and not again:
+                        raise FileNotFoundError(path)
+                except Exception as e:  # one row for each file, whatever its end
+                    target, error = None, f"{type(e).__name__}: {e}"
+                targets.append(target)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(targets, pa.string()), pa.array(errors, pa.string())],
+                names=["path", name_column, "target", "error"])
+
+    name_column = FILENAME
+    return move
+
+
+def run_clean_model(spark: SparkSession, layout: Layout) -> int:
     """The clean model as a scheduled incremental run over the whole raw table.
 
     Raw rows loaded after the newest clean row (all rows on the first run; the
     bound reaches the raw scan as a literal) -> first row per content hash ->
-    upsert into the clean table. Returns the rewritten partitions.
+    upsert into the clean table. Returns the number of rewritten partitions.
     """
     raw = read_raw(spark, layout.raw_table)
     target = read_upsert_table(spark, layout.clean_path) \
         if upsert_exists(spark, layout.clean_path) else None
     return upsert_table(spark, clean(raw, target), layout.clean_path, ROW_HASH,
-                        layout.n_buckets, layout.clean_group_cols, key_sets_group=True)
+                        layout.n_buckets, layout.clean_group_cols)
 
 
 def run_models(spark: SparkSession, layout: Layout, mart: str, view: str = "stg_storm_events") -> dict:

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from stormmart.operators import quality as dq
 from stormmart.plans import registry as R
-from stormmart.plans.registry_files import FILE_ORACLE
+from stormmart.plans.oracle_tables import TABLE_ORACLE
+from stormmart.plans.registry_files import FILE_ORACLE, MAX_ANCHORS
+from stormmart.plans.registry_tables import MIXED_SUITE
 
 _NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$"
 _LETTER = r"\p{L}"
@@ -86,8 +88,12 @@ def _suite_sql(table: str, suite: dq.Suite) -> str:
 _EV_Q = ("(select *, case when event_type = 'purchase' then value end as purchase_value, "
          "case when value < 0 then value end as refund_value from events)")
 
+# References that occur in the given pages; '&amp;' last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+
+
 def _links_sql(pages: str, token: str | None, name_col: str = "link_text") -> str:
-    from stormmart.sources.links import ENTITIES
     text = "regexp_replace(inner_html, '<[^>]*>', '', 'g')"
     for ref, ch in ENTITIES:
         text = f"replace({text}, {_lit(ref)}, {_lit(ch)})"
@@ -227,6 +233,11 @@ select * from batch
     "q11_dq_between": _suite_sql("lineitem", R.Q11_SUITE),
     "q12_dq_unique": _suite_sql("lineitem", R.Q12_LINEITEM) + "\nunion all\n"
     + _suite_sql("orders", R.Q12_ORDERS),
+    "q36_first_anchors": f"""
+select page_id, cast(link_pos as bigint) as link_pos,
+       page_id || case when page_id % 3 = 0 then '.csv' else '.txt' end as name, page_id % 3 = 0 as csv
+from {_links_sql("pages", R.LINK_TOKEN)} where link_pos < {MAX_ANCHORS}
+""",
     "q13_link_extract": "select * from " + _links_sql("pages", R.LINK_TOKEN),
     "q14_missing_files": f"""
 with listing as (select page_id, link_pos, link_text as __filename from {_links_sql("pages", None)}),
@@ -356,5 +367,9 @@ select *, {_CENTURY_TS.format(t="try_strptime(trim(event_text), '%d-%b-%y %H:%M:
                               ym="cast(begin_yearmonth as varchar)")} as event_time
 from t
 """,
+    "q40_mixed_suite": _suite_sql(
+        "(select *, case when l_orderkey % 3 <> 0 then l_orderkey || '-' || l_suppkey end as l_comment_key from lineitem)",
+        MIXED_SUITE),
     **FILE_ORACLE,
+    **TABLE_ORACLE,
 }

@@ -29,6 +29,7 @@ from stormmart.operators.lookup import branch
 from stormmart.plans.layers import clean, stage, yearly_damage, yearly_totals
 from stormmart.plans.samples import day_activities, first_model, order_totals, second_model
 from stormmart.plans.registry_files import FILE_QUERIES
+from stormmart.plans.registry_tables import TABLE_QUERIES
 from stormmart.schemas import DATE_LOADED, FILENAME, TIMESTAMP_TEXT_FORMAT
 from stormmart.sources.catalog import loaded_files, missing_files
 from stormmart.sources.links import count_links, extract_links
@@ -432,4 +433,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q28_dq_lengths": q28_dq_lengths,
     "q29_event_time_edges": q29_event_time_edges,
     **FILE_QUERIES,
+    **TABLE_QUERIES,
 }

@@ -4,9 +4,9 @@
   a second run with ``availableNow`` reads nothing new (T-01);
 * files per micro-batch: ``maxFilesPerTrigger`` (T-02);
 * archive: ``cleanSource=archive`` moves a processed file to the archive folder
-  once a later batch commits (T-03);
-* per batch: quality gate, raw append, log, clean upsert, all idempotent on
-  replay (batch id partitions + upsert by key) (T-04..T-06).
+  once a later batch commits; ``archive_loaded`` moves the last batch's (T-03);
+* per batch: read by header name, quality gate, raw append, clean upsert, log,
+  all idempotent on replay (file partitions + upsert by key) (T-04..T-06).
 """
 
 from __future__ import annotations
@@ -14,28 +14,36 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stormmart.operators import quality as dq
-from stormmart.plans.ingest import Layout, ingest_batch
-from stormmart.schemas import landing_schema
-from stormmart.sources.landing import CSV_GLOB, csv_options, with_file_columns, with_malformed
+from stormmart.plans.ingest import Layout, ingest_files, logged
+from stormmart.schemas import FILENAME
 from stormmart.session import shared_path
+from stormmart.sinks.tables import BATCH
+from stormmart.sources.catalog import missing_files
+from stormmart.sources.landing import CSV_GLOB, file_key
 
 
 # A gzip file is one task; a micro-batch should fill a cluster.
 FILES_PER_TRIGGER = 64
 
 
+# What the binary file source gives; the content is not selected, so never read.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def landing_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = FILES_PER_TRIGGER,
                    archive_dir: str | None = None) -> DataFrame:
-    """Streaming scan of the landing folder, as ``read_landing``."""
-    reader = (spark.readStream.schema(with_malformed(landing_schema())).options(**csv_options())
-              .option("pathGlobFilter", CSV_GLOB)
+    """Stream of the landing folder's files: path, name and load key. Their content
+    is read for each batch by its files' own headers."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", CSV_GLOB)
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return with_file_columns(reader.csv(landing_dir))
+    return reader.load(landing_dir).select(
+        "path", F.col("_metadata.file_name").alias(FILENAME), file_key(F.col("_metadata.file_path")).alias(BATCH))
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
@@ -56,7 +64,12 @@ def start_ingest(spark: SparkSession, landing_dir: str, layout: Layout,
     prefix = query_name or "stream-" + hashlib.sha256(checkpoint.encode("utf-8")).hexdigest()[:12]
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch_df.sparkSession, batch_df, f"{prefix}-{batch_id}", layout, suite)
+        session = batch_df.sparkSession
+        # A repeated batch may find files that are logged, and archived, already.
+        pending = missing_files(batch_df, logged(session, layout), BATCH)
+        paths = [r["path"] for r in pending.select("path").toLocalIterator()]
+        if paths:
+            ingest_files(session, paths, pending, f"{prefix}-{batch_id}", layout, suite)
 
     writer = (landing_stream(spark, landing_dir, max_files_per_trigger, archive_dir)
               .writeStream.foreachBatch(per_batch)
