@@ -223,3 +223,18 @@ def test_queries_run_on_whole_tables(spark, name):
         assert got == n
     else:
         assert got > 0
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    names = ["a.b", "__row", "__doc", "__lang", "__benchmark_hits", "se`lect", "further", "x0"]
+    words = [f"{w} {w}ing und der die {i}" for i, w in enumerate(["alpha", "beta", "gamma", "delta"] * 10)]
+    rows = [(i, " ".join(words[i:i + 30])) for i in range(8)] + [(8, " ".join(words[:30])), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, *[f"{n}{i}" for n in names]) for i, t in rows],
+                                 ["doc_id", "text", "lang", "source", "n_chars", *names])
+    docs = docs.select(names[0].join("``"), *[f"`{c.replace('`', '``')}`" for c in docs.columns if c != names[0]])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns, name
+        kept = out.collect()
+        assert kept and all(r[c] == f"{c}{r['doc_id']}" for r in kept for c in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == len(rows)
