@@ -64,7 +64,7 @@ def test_crash_at_every_step_loses_and_doubles_nothing(spark, tmp_dir, monkeypat
     path = os.path.join(tmp_dir, "clean")
     old = spark.createDataFrame([(i, "v0") for i in range(1000)], "k long, v string")
     new = spark.createDataFrame([(i, "v1") for i in range(990, 1050)], "k long, v string")
-    upsert_table(spark, old, path, "k", 64)
+    upsert_table(spark, old, path, "k", 16)
     write, replace = upsert._write, upsert._replace
 
     def crash(*args, **kwargs):
@@ -88,11 +88,11 @@ def test_crash_at_every_step_loses_and_doubles_nothing(spark, tmp_dir, monkeypat
         else:
             m.setattr(upsert, "_write", lambda rows, p, cols, replace: write(rows, p, cols, replace) if replace else crash())
         with pytest.raises(RuntimeError):
-            upsert_table(spark, new, path, "k", 64)
+            upsert_table(spark, new, path, "k", 16)
     assert upsert._replace is replace
     seen = {r.k: r.v for r in read_upsert_table(spark, path).collect()}
     assert set(range(1000)) <= set(seen)                     # nothing stored is lost
-    upsert_table(spark, new, path, "k", 64)                  # replay
+    upsert_table(spark, new, path, "k", 16)                  # replay
     rows = read_upsert_table(spark, path).collect()
     assert len(rows) == 1050 and {r.k: r.v for r in rows} == {i: "v1" if i >= 990 else "v0" for i in range(1050)}
     assert _left(path) == []
