@@ -19,6 +19,10 @@ nearest, each block with the node's least member in it; this contracts groups of
 copies, and the node branches if that leaves it large. Before the trees, the same
 is done once for the nodes of the first ``FIRST_TREES``.
 
+What moves is kept small: a comparison gets the low bytes of the tokens and the
+parity, not the tokens, and deeper levels read a table of the classes in large
+nodes, not all classes. Otherwise every level would shuffle the whole table.
+
 Compared are 8-bit tokens and parities: pairs that agree on fewer than
 ``agreeing`` positions are left out, which a linked pair does with a probability
 below 1e-9, and those whose parities (a bitmap of each set, folded to one size)
@@ -143,6 +147,26 @@ class Distances:
         return out
 
 
+def planes(tokens: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """The low bytes of each row's tokens, and their other bytes."""
+    split = np.ascontiguousarray(tokens, dtype="<u4").view(np.uint8).reshape(-1, POSITIONS, 4)
+    return ([row.tobytes() for row in split[:, :, 0]], [row.tobytes() for row in split[:, :, 1:]])
+
+
+def low_bytes(shown: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The 8-bit tokens (rows x POSITIONS) in front of the parities."""
+    return np.frombuffer(b"".join([t[:POSITIONS] for t in shown.to_pylist()]), dtype=np.uint8).reshape(-1, POSITIONS)
+
+
+def whole_tokens(shown: pa.Array | pa.ChunkedArray, rest: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The tokens that ``planes`` has split."""
+    low = low_bytes(shown)
+    split = np.empty((len(low), POSITIONS, 4), dtype=np.uint8)
+    split[:, :, 0] = low
+    split[:, :, 1:] = np.frombuffer(b"".join(rest.to_pylist()), dtype=np.uint8).reshape(-1, POSITIONS, 3)
+    return split.view("<u4").reshape(-1, POSITIONS)
+
+
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
     """Two 64-bit values of a set, as signed numbers."""
     sums = [mixed(shingles ^ np.uint64(salt)).sum(dtype=np.uint64) for salt in (0x51ED2701, 0xA0B428DB << 20)]
@@ -172,30 +196,26 @@ def _valued(docs: DataFrame) -> DataFrame:
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, value of the text, n_shingles, the set's digest (node, check) and
-    minwise tokens, the parity behind them, of every row."""
+    minwise tokens of every row: their low bytes with the parity behind them
+    (shown), and their other bytes (rest)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, sets in _sets(batch, 2, k):
                 own = batch.take(pa.array(rows, pa.int64()))
                 digests = np.array([_digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
                 full = [i for i, s in enumerate(sets) if len(s)]
-                tokens: list[bytes | None] = [None] * len(sets)
-                for i, row in zip(full, minwise([sets[i] for i in full])):
-                    tokens[i] = row.tobytes() + parity(sets[i])
+                shown: list[bytes | None] = [None] * len(sets)
+                rest = list(shown)
+                for i, low, others in zip(full, *planes(minwise([sets[i] for i in full]))):
+                    shown[i], rest[i] = low + parity(sets[i]), others
                 yield pa.RecordBatch.from_arrays(
                     [own.column(0), own.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(tokens, pa.binary())],
-                    names=["doc_id", "value", "n_shingles", "node", "check", "tokens"])
+                     pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(shown, pa.binary()),
+                     pa.array(rest, pa.binary())],
+                    names=["doc_id", "value", "n_shingles", "node", "check", "shown", "rest"])
 
     return _valued(docs).mapInArrow(
-        tidy(run), "doc_id long, value long, n_shingles long, node long, check long, tokens binary")
-
-
-TOKEN_BYTES = 4 * POSITIONS
-
-
-def _tokens(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join([t[:TOKEN_BYTES] for t in column.to_pylist()]), dtype=np.uint32).reshape(-1, POSITIONS)
+        tidy(run), "doc_id long, value long, n_shingles long, node long, check long, shown binary, rest binary")
 
 
 def root(tree: int) -> int:
@@ -203,13 +223,13 @@ def root(tree: int) -> int:
 
 
 def children(rows: DataFrame, similarity: float, roots: list[int] | None = None) -> DataFrame:
-    """key, node and component of the next level. ``rows``: key, node, component
-    and tokens; without a key column, every row begins at all ``roots``."""
+    """key, node and component of the next level. ``rows``: key, node, component,
+    shown and rest; without a key column, every row begins at all ``roots``."""
     two = np.uint64(int((1 / similarity - 1) * 2 ** 32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = _tokens(batch.column("tokens"))
+            tokens = whole_tokens(batch.column("shown"), batch.column("rest"))
             node, component = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component"))
             for parent in roots if roots is not None else [None]:
                 key = (batch.column("key").to_numpy(zero_copy_only=False) if parent is None
@@ -230,7 +250,7 @@ def children(rows: DataFrame, similarity: float, roots: list[int] | None = None)
 
 
 class Join:
-    """The trees over the classes (node, check, n_shingles, rep, value, tokens)
+    """The trees over the classes (node, check, n_shingles, rep, value, shown, rest)
     of ``docs``; links found so far are staged tables of (u, v)."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, k: int, percent: int):
@@ -244,7 +264,7 @@ class Join:
         if self.classes.isEmpty():
             return None
         roots = [root(t) for t in range(FIRST_TREES)]
-        self._contract(staged(children(self._named(), self.similarity, roots), "members"))
+        self._contract(staged(children(self._named(), self.similarity, roots), "members"), self.classes)
         done, wanted = 0, trees_for(FIRST_DEPTH, self.similarity)
         while done < wanted:
             depth = self._grow(done, wanted)
@@ -252,11 +272,11 @@ class Join:
         return self.component
 
     def _named(self) -> DataFrame:
-        """node, component and tokens of every class."""
+        """node, component, shown and rest of every class."""
         if self.component is None:
-            return self.classes.select("node", F.col("node").alias("component"), "tokens")
+            return self.classes.select("node", F.col("node").alias("component"), "shown", "rest")
         return self.classes.join(self.component, "node", "left").select(
-            "node", F.coalesce("component", "node").alias("component"), "tokens")
+            "node", F.coalesce("component", "node").alias("component"), "shown", "rest")
 
     def _open(self, rows: DataFrame) -> DataFrame:
         """Rows of nodes with more than one component, with the node's number of
@@ -272,29 +292,40 @@ class Join:
     def _level(self, rows: DataFrame, first: int, last: int) -> DataFrame:
         return self._open(children(rows, self.similarity, [root(t) for t in range(first, last)]))
 
+    def _narrowed(self, classes: DataFrame, rows: DataFrame) -> DataFrame:
+        """``classes`` without those that ``rows`` don't name, as a table of its own
+        if that is half of them at most."""
+        wanted = staged(rows.select("node").distinct(), "wanted")
+        n = wanted.count()
+        if 2 * n > classes.count():
+            return classes
+        wanted = F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted
+        return staged(classes.join(wanted, "node", "left_semi"), "classes")
+
     def _grow(self, first: int, last: int) -> int:
         """Trees ``first`` to ``last``, to their leaves; the deepest level. The
         pairs of all leaves are confirmed together."""
         nodes, depth = self._level(self._named(), first, last), 1
         large = F.col("total") - F.col("top_n") > SMALL_NODE
-        pairs = []
+        pairs, classes = [], self.classes
         while True:
-            pairs.append(self._compare(nodes.where(~large)))
+            pairs.append(self._compare(nodes.where(~large), classes))
             rows = nodes.where(large).select("key", "node", "component")
             if rows.isEmpty():
                 break
-            if self._contract(rows):
+            classes = self._narrowed(classes, rows)
+            if self._contract(rows, classes):
                 rows = rows.drop("component").join(self.component, "node", "left").select(
                     "key", "node", F.coalesce("component", "node").alias("component"))
                 nodes = self._open(rows)
-                pairs.append(self._compare(nodes.where(~large)))
-            wide = nodes.where(large).join(self.classes.select("node", "tokens"), "node")
-            nodes = self._open(children(wide.select("key", "node", "component", "tokens"), self.similarity))
+                pairs.append(self._compare(nodes.where(~large), classes))
+            wide = nodes.where(large).join(classes.select("node", "shown", "rest"), "node")
+            nodes = self._open(children(wide.select("key", "node", "component", "shown", "rest"), self.similarity))
             depth += 1
         self._confirm(reduce(DataFrame.unionByName, pairs).distinct())
         return depth
 
-    def _contract(self, rows: DataFrame) -> bool:
+    def _contract(self, rows: DataFrame, classes: DataFrame) -> bool:
         """Links within blocks of each node and to its least member; whether there are any."""
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
         blocks = F.ceil(F.col("members") / SMALL_NODE).cast("int")
@@ -305,9 +336,9 @@ class Join:
         pivots = sizes.select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                               F.lit(0).alias("guest"), F.col("pivot").alias("node"))
         both = own.unionByName(pivots).withColumn("component", F.col("node"))
-        return self._confirm(self._pairs(both, _nearest_tree))
+        return self._confirm(self._pairs(both, classes, _nearest_tree))
 
-    def _compare(self, nodes: DataFrame) -> DataFrame:
+    def _compare(self, nodes: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs of small nodes that can link: members outside the largest
         component (guests, in every block) with all members."""
         blocks = F.greatest(F.ceil(F.col("top_n") / SMALL_NODE).cast("int"), F.lit(1))
@@ -315,10 +346,11 @@ class Join:
         block = F.when(guest, F.sequence(F.lit(0), blocks - 1)).otherwise(
             F.array(F.pmod(F.xxhash64("node"), blocks).cast("int")))
         rows = nodes.select("key", F.explode(block).alias("block"), guest.cast("int").alias("guest"), "node", "component")
-        return self._pairs(rows, _all_pairs)
+        return self._pairs(rows, classes, _all_pairs)
 
-    def _pairs(self, rows: DataFrame, pairs_of) -> DataFrame:
-        """(u, v) that ``pairs_of`` finds among the rows of each (key, block)."""
+    def _pairs(self, rows: DataFrame, classes: DataFrame, pairs_of) -> DataFrame:
+        """(u, v) that ``pairs_of`` finds among the rows of each (key, block);
+        ``classes`` has all that they name."""
         percent, least = self.percent, agreeing(self.similarity)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,8 +358,8 @@ class Join:
                 if table.num_rows > 1:
                     n, guest, node, component = (table.column(c).to_numpy() for c in
                                                  ("n_shingles", "guest", "node", "component"))
-                    shown = (_tokens(table.column("tokens")) & np.uint32(255)).astype(np.uint8)
-                    distances = Distances([t[TOKEN_BYTES:] for t in table.column("tokens").to_pylist()])
+                    shown = low_bytes(table.column("shown"))
+                    distances = Distances([t[POSITIONS:] for t in table.column("shown").to_pylist()])
 
                     def near(i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                         """Which of ``others`` can link to i, and how far they are."""
@@ -342,7 +374,7 @@ class Join:
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))],
                                                      names=["u", "v"])
 
-        full = rows.join(self.classes.select("node", "n_shingles", "tokens"), "node").select("key", "block", "guest", "node", "component", "n_shingles", "tokens")
+        full = rows.join(classes.select("node", "n_shingles", "shown"), "node").select("key", "block", "guest", "node", "component", "n_shingles", "shown")
         dealt = full.repartition("key", "block").sortWithinPartitions("key", "block", "guest", "node")
         found = dealt.mapInArrow(tidy(run), "u long, v long").where(F.col("u") != F.col("v")).distinct()
         return staged(found, "pairs")
@@ -440,9 +472,9 @@ def near_duplicates(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # The representative is a row of the class, by doc_id (nulls last) and text.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "value"))
     classes = (rows.where(F.col("n_shingles") > 0).groupBy("node", "check", "n_shingles")
-               .agg(first.alias("row"), F.first("tokens").alias("tokens")))
+               .agg(first.alias("row"), F.first("shown").alias("shown"), F.first("rest").alias("rest")))
     classes = staged(classes.select("node", "check", "n_shingles", F.col("row.doc_id").alias("rep"),
-                                    F.col("row.value").alias("value"), "tokens"), "classes")
+                                    F.col("row.value").alias("value"), "shown", "rest"), "classes")
     found = Join(docs, classes, k, percent).run()
     reach = classes.select("node", "check", F.col("n_shingles").alias("n"), F.col("rep").alias("component_id"))
     if found is not None:
@@ -451,7 +483,7 @@ def near_duplicates(docs: DataFrame, k: int, percent: int) -> DataFrame:
         linked = named.join(least, "component").select("node", "check", "component_id")
         reach = (reach.withColumnRenamed("component_id", "rep").join(linked, ["node", "check"], "left")
                  .select("node", "check", "n", F.coalesce("component_id", "rep").alias("component_id")))
-    own = rows.drop("tokens")
+    own = rows.drop("shown", "rest")
     joined = own.join(reach, (own["node"] == reach["node"]) & (own["check"] == reach["check"])
                       & (own["n_shingles"] == reach["n"]), "left")
     # A class has the least doc_id in reach, null if there is none; an empty set its own.

@@ -2,6 +2,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from stormmart.llm import chosen_path
 from stormmart.llm.chosen_path import POSITIONS, agreeing, meeting_chance, near_duplicates, trees_for
 from llm_helpers import DOCS, docs_frame
@@ -93,3 +96,34 @@ def test_recall_of_the_trees():
         assert abs(share - meeting_chance(depth, 0.85)) < 0.015
         assert (1 - meeting_chance(depth, 0.85)) ** trees_for(depth, 0.85) <= chosen_path.MISS
     assert 0 < agreeing(0.85) < 0.7 * POSITIONS
+
+
+def test_levels_move_their_own_rows_only(spark, words, monkeypatch):
+    """Deeper levels read the classes in large nodes, comparisons no whole tokens."""
+    monkeypatch.setattr(chosen_path, "SMALL_NODE", 12)
+    moved, grown, pairs_of, grow = [], [], chosen_path.Join._pairs, chosen_path.Join._grow
+
+    def spied(self, rows, classes, *args):
+        wide = classes.select("shown").first()
+        moved.append((classes.count(), wide and len(wide.shown)))
+        return pairs_of(self, rows, classes, *args)
+
+    monkeypatch.setattr(chosen_path.Join, "_pairs", spied)
+    monkeypatch.setattr(chosen_path.Join, "_grow", lambda self, *trees: grown.append(trees) or grow(self, *trees))
+    rng = random.Random(6)
+    base = [rng.choice(words) for _ in range(40)]
+    rows = [(i, " ".join(base + [rng.choice(words) for _ in range(rng.randint(4, 30))])) for i in range(30)]
+    rows += [(100 + i, " ".join(f"{rng.choice(words)}{rng.randrange(99)}" for _ in range(30))) for i in range(90)]
+    assert rows_of(near_duplicates(docs_frame(spark, rows), 5, 85)) == by_all_pairs(rows, 5, 85)
+    assert moved[0] == (120, POSITIONS + chosen_path.PARITY_BITS // 8)
+    # All classes are read once before the trees and once by each set of trees.
+    whole = [n for n, _ in moved if n > 30]
+    assert whole == [120] * (1 + len(grown)) and len(moved) > len(whole)
+
+
+def test_planes_keep_the_tokens():
+    tokens = np.random.default_rng(3).integers(0, 1 << 32, (5, POSITIONS), dtype=np.uint32)
+    low, rest = chosen_path.planes(tokens)
+    shown = pa.array([x + b"parity" for x in low], pa.binary())
+    assert (chosen_path.whole_tokens(shown, pa.array(rest, pa.binary())) == tokens).all()
+    assert (chosen_path.low_bytes(shown) == (tokens & 255)).all()
