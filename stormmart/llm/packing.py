@@ -44,9 +44,10 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 # its place, and the opening of the tokenizer's special tokens. So must texts that
 # could be composed again once they are lowered (a letter and a mark that only the
 # lower case has as one character).
-_WHOLE = re.compile("[\x1c-\x1f\u03a3]|<[|]")
-# A single comma or stop behind a letter or digit at the end of a word.
-_LAST_MARK = re.compile(r"(?<=[^\W_])([.,])(?!\S)")
+_WHOLE = ("\x1c", "\x1d", "\x1e", "\x1f", "\u03a3", "<|")
+# A single comma or stop behind a letter or digit at the end of a word. The mark
+# comes first in the pattern: with the look behind first, every character is tried.
+_LAST_MARK = re.compile(r"([.,])(?<=[^\W_][.,])(?!\S)")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -130,14 +131,14 @@ class WordTokenizer:
         for i, text in enumerate(texts):
             composed = text if text.isascii() else unicodedata.normalize("NFC", text)
             lower = composed.lower()
-            if _WHOLE.search(composed) or not (lower.isascii() or unicodedata.is_normalized("NFC", lower)):
+            if any(x in composed for x in _WHOLE) or not (lower.isascii() or unicodedata.is_normalized("NFC", lower)):
                 whole[i] = self._whole([text])[0]
                 split.append([])
             else:
                 split.append(_LAST_MARK.sub(r" \1", lower).split())
         self._learn(set().union(*split))
-        known = self.known
-        return [whole.get(i) or b"".join([known[w] for w in words]) for i, words in enumerate(split)]
+        ids = self.known.__getitem__
+        return [whole.get(i) or b"".join(map(ids, words)) for i, words in enumerate(split)]
 
 
 def _tokenizer(path: str) -> WordTokenizer:
