@@ -201,7 +201,7 @@ class CrossParser:
 
     def phrases(self, symbols: list[np.ndarray]) -> np.ndarray:
         """Phrases of every text against every language (texts x languages)."""
-        sizes = np.array([len(s) for s in symbols])
+        sizes = np.array([len(s) for s in symbols], dtype=np.int64)  # also of no texts
         lanes = -(-sizes // LANE)
         text_of_lane = np.repeat(np.arange(len(symbols)), lanes)
         padded = np.full(int(lanes.sum()) * LANE, PAD, dtype=self.kind)

@@ -215,6 +215,16 @@ def test_language_odd_rows(spark, words):
     assert language.identify(unlabelled, language.learning_sample(unlabelled)).first()["lang_pred"] == "und"
 
 
+def test_a_batch_that_ends_with_a_full_portion(spark, words):
+    """Nothing is left to parse when the last text of a batch fills a portion."""
+    assert language.CrossParser({"a": ["one two"]}).predict([]) == []
+    text = " ".join(words[:30]) + " "
+    rows = [(i, text, "a") for i in range(20)]
+    docs = docs_frame(spark, [*rows, (50, text * (language.CHARS_AT_ONCE // len(text) + 1), "a")]).coalesce(1)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, language.learning_sample(docs)).collect()}
+    assert got == {i: "a" for i in [*range(20), 50]}
+
+
 def test_texts_are_parsed_whole(monkeypatch):
     parser = language.CrossParser({"a": ["one two three four"], "b": ["five six seven eight"]})
     text = "one two " * 300 + "seven eight " * 900
