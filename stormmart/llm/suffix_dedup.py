@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +47,14 @@ GRAM = 16
 #: Strings that can share a signpost, and bytes of the longest segment.
 REACH = LENGTH - GRAM + 1
 WIDEST = LENGTH + REACH - 1
-#: Text bytes that are cut into segments at once, and that are packed together.
+#: Text bytes that are cut into segments at once, and whose equal segments are joined.
 CUT_BYTES = 1_000_000
 FLUSH_BYTES = 4_000_000
+#: Text bytes whose segments a task holds, in order of buckets, before it packs a
+#: row for each bucket: rows of little content cost the more, the more buckets are.
+PACK_BYTES = 12_000_000
+#: Segments whose bytes are laid out in rows at once.
+ROWS_AT_ONCE = 16_384
 #: Text bytes for each bucket of signposts.
 BUCKET_BYTES = 8_000_000
 #: Segment bytes whose order is made at once (more if one signpost has more).
@@ -102,6 +108,17 @@ def rows_at(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: in
     return rows * (np.arange(width) < lengths[:, None])
 
 
+def row_blocks(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
+               width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Matrices of the bytes from some starts on, and which of these lie within their lengths."""
+    padded = np.zeros(len(flat) + width, dtype=np.uint8)
+    padded[:len(flat)] = flat
+    windows, places = np.lib.stride_tricks.sliding_window_view(padded, width), np.arange(width)
+    for i in range(0, len(starts), ROWS_AT_ONCE):
+        some = slice(i, i + ROWS_AT_ONCE)
+        yield windows[starts[some]], places < lengths[some, None]
+
+
 def row_hashes(rows: np.ndarray) -> np.ndarray:
     """64-bit value of every matrix row."""
     width = -(-rows.shape[1] // 8) * 8
@@ -116,6 +133,21 @@ def row_hashes(rows: np.ndarray) -> np.ndarray:
     return total * _ODD64
 
 
+def hashes_at(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> np.ndarray:
+    """64-bit value of the bytes from each start on."""
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *(
+        row_hashes(rows * inside) for rows, inside in row_blocks(flat, starts, lengths, width))])
+
+
+@cache
+def _zstandard() -> tuple:
+    """Compressor and decompressor of packed segments; making one for each costs
+    as much as a small row takes."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
+
+
 class Segments:
     """Segments of text: document, start there, signpost's place and bytes."""
 
@@ -130,10 +162,15 @@ class Segments:
 
     def take(self, chosen: np.ndarray) -> Segments:
         length = self.length[chosen]
-        rows = rows_at(self.flat, self.at[chosen], length, WIDEST)
-        flat = rows[np.arange(WIDEST) < length[:, None]]
+        flat = np.concatenate([np.zeros(0, dtype=np.uint8), *(
+            rows[inside] for rows, inside in row_blocks(self.flat, self.at[chosen], length, WIDEST))])
         return Segments(self.doc[chosen], self.start[chosen], length, self.post[chosen], flat)
 
+    def between(self, begin: int, end: int) -> Segments:
+        """One or more segments that lie side by side; their bytes are not copied."""
+        flat = self.flat[self.at[begin]:self.at[end - 1] + self.length[end - 1]]
+        return Segments(*(getattr(self, f)[begin:end] for f in Segments.FIELDS), flat)
+
     @staticmethod
     def joined(parts: list[Segments]) -> Segments:
         return Segments(*(np.concatenate([getattr(p, f) for p in parts])
@@ -142,28 +179,24 @@ class Segments:
     def keys(self) -> np.ndarray:
         """Value of the signpost's bytes."""
         full = np.full(len(self), GRAM)
-        return row_hashes(rows_at(self.flat, self.at + self.post, full, GRAM))
+        return hashes_at(self.flat, self.at + self.post, full, GRAM)
 
     def contents(self) -> np.ndarray:
         """Value of the whole bytes, length and signpost's place."""
         own = (self.length * 256 + self.post).astype(np.uint64) * _ODD64
-        return row_hashes(rows_at(self.flat, self.at, self.length, WIDEST)) ^ own
+        return hashes_at(self.flat, self.at, self.length, WIDEST) ^ own
 
     def packed(self) -> bytes:
-        import zstandard
-
         head = np.array([len(self)], dtype="<i8").tobytes()
         # Numbers byte by byte, documents as differences: they compress better.
         numbers = [x.astype("<i8").view("u1").reshape(-1, 8).T
                    for x in (np.diff(self.doc, prepend=np.int64(0)), self.start)]
         cols = (*numbers, self.length.astype("u1"), self.post.astype("u1"), self.flat)
-        return zstandard.ZstdCompressor(level=6).compress(head + b"".join(c.tobytes() for c in cols))
+        return _zstandard()[0].compress(head + b"".join(c.tobytes() for c in cols))
 
     @staticmethod
     def unpacked(blob: bytes) -> Segments:
-        import zstandard
-
-        raw = zstandard.ZstdDecompressor().decompress(blob)
+        raw = _zstandard()[1].decompress(blob)
         n, at = int(np.frombuffer(raw, "<i8", 1)[0]), 8
         cols = []
         for size in (8, 8, 1, 1):
@@ -245,22 +278,44 @@ def _flushes(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterato
 RUNS = "doc long, from_byte long, to_byte long"
 
 
+def joined_runs(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Runs (doc, from, to) of segments, as one where they meet or overlap: those of
+    a copied text are a single run. Of two segments of a document, the one that
+    starts later also ends later."""
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    heads = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (begin[1:] > end[:-1]))[:len(doc)])
+    return np.stack([doc[heads], begin[heads], end[np.append(heads[1:], len(doc))[:len(heads)] - 1]])
+
+
 def _routed(buckets: int, frequent: np.ndarray):
+    def packed(held: list[tuple[Segments, list[int]]], runs: list[np.ndarray]) -> pa.RecordBatch:
+        where, blobs = [], []
+        for b in range(buckets):
+            parts = [s.between(edges[b], edges[b + 1]) for s, edges in held if edges[b] < edges[b + 1]]
+            if parts:
+                where.append(b)
+                blobs.append(Segments.joined(parts).packed())
+        # Runs that are known already travel along, some with each bucket.
+        known = [x.astype("<i8").tobytes() for x in np.array_split(np.concatenate(runs, axis=1), len(blobs), axis=1)]
+        return pa.RecordBatch.from_pydict(
+            {"bucket": pa.array(where, pa.int32()), "segments": pa.array(blobs, pa.binary()),
+             "runs": pa.array(known, pa.binary())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, runs = [], []
         for segments in _flushes(batches, frequent):
             distinct, later = segments.joined_copies()
             bucket = (distinct.keys() >> np.uint64(33)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            where = [b for b in range(buckets) if edges[b] < edges[b + 1]]
-            blobs = [distinct.take(order[edges[b]:edges[b + 1]]).packed() for b in where]
-            done = np.stack([segments.doc[later], segments.start[later],
-                             segments.start[later] + segments.length[later]]).astype("<i8")
-            # Runs that are known already travel with the first blob.
-            runs = [done.tobytes()] + [b""] * (len(blobs) - 1)
-            yield pa.RecordBatch.from_pydict(
-                {"bucket": pa.array(where, pa.int32()), "segments": pa.array(blobs, pa.binary()),
-                 "runs": pa.array(runs, pa.binary())})
+            held.append((distinct.take(order), np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()))
+            runs.append(joined_runs(segments.doc[later], segments.start[later],
+                                    segments.start[later] + segments.length[later]))
+            if len(held) * FLUSH_BYTES >= PACK_BYTES:
+                yield packed(held, runs)
+                held, runs = [], []
+        if held:
+            yield packed(held, runs)
     return run
 
 
@@ -333,7 +388,7 @@ def bucket_runs(table: pa.Table) -> pa.Table:
         left, right = segments.post >= half, segments.length - segments.post >= GRAM + half
         partner = np.zeros(len(segments), dtype=bool)
         for side, begin in ((left, segments.at + segments.post - half), (right, segments.at + segments.post)):
-            found = _with_partner(row_hashes(rows_at(segments.flat, begin[side], span[side], GRAM + half)))
+            found = _with_partner(hashes_at(segments.flat, begin[side], span[side], GRAM + half))
             partner[np.flatnonzero(side)[found]] = True
         chosen = np.flatnonzero(partner)
         segments, keys = segments.take(chosen), keys[chosen]

@@ -78,6 +78,51 @@ def test_suffix_dedup_does_not_depend_on_sizes(spark, corpus, monkeypatch):
     assert all((getattr(again, f) == getattr(segments, f)).all() for f in (*segments.FIELDS, "flat"))
 
 
+def test_suffix_dedup_packs_a_row_for_each_bucket_of_many_texts(monkeypatch):
+    """Rows and copies of bytes follow the text and not the buckets; known runs do not meet in one bucket."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, 3000).astype(np.uint8).tobytes() for _ in range(20)]
+    texts += texts[:10] + [t[500:900] + t[:300] for t in texts]
+    batch = pa.RecordBatch.from_pydict({"doc": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.binary())})
+    monkeypatch.setattr(suffix_dedup, "CUT_BYTES", 7000)
+    monkeypatch.setattr(suffix_dedup, "FLUSH_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "PACK_BYTES", 60_000)
+    taken, take = [], suffix_dedup.Segments.take
+    monkeypatch.setattr(suffix_dedup.Segments, "take", lambda self, chosen: taken.append(len(self)) or take(self, chosen))
+    frequent = np.zeros(1 << suffix_dedup.FREQUENT_BITS, dtype=bool)
+    routed = pa.Table.from_batches(list(suffix_dedup._routed(40, frequent)(iter([batch]))))
+    flushes = sum(map(len, texts)) // 20_000 + 1
+    assert len(taken) <= 2 * flushes  # one of all buckets, one of the earliest
+    assert routed.num_rows <= 40 * (flushes // 3 + 1)
+    runs = [r for r in routed.column("runs").to_pylist() if r]
+    assert len(runs) > 5 and max(map(len, runs)) < sum(map(len, runs)) / 3
+
+    def covered(tables):
+        found = set()
+        for t in tables:
+            for doc, begin, end in zip(*(suffix_dedup.bucket_runs(t).column(c).to_pylist() for c in range(3))):
+                found.update((doc, i) for i in range(begin, end))
+        return found
+
+    seen, want = {}, set()
+    for doc, text in enumerate(texts):
+        for i in range(len(text) - 99):
+            if seen.setdefault(text[i:i + 100], (doc, i)) != (doc, i):
+                want.update((doc, j) for j in range(i, i + 100))
+    buckets = set(routed.column("bucket").to_pylist())
+    assert covered(routed.filter(pc.equal(routed.column("bucket"), b)) for b in buckets) == want
+
+
+def test_joined_runs():
+    doc, begin, end = (np.array(x) for x in ([2, 1, 1, 1, 2, 2], [50, 0, 40, 150, 50, 151], [150, 100, 140, 250, 150, 260]))
+    assert suffix_dedup.joined_runs(doc, begin, end).T.tolist() == [[1, 0, 140], [1, 150, 250], [2, 50, 150], [2, 151, 260]]
+    none = np.zeros(0, dtype=np.int64)
+    assert suffix_dedup.joined_runs(none, none, none).shape == (3, 0)
+
+
 def test_suffix_dedup_cuts_texts_and_keeps_columns(spark, corpus):
     docs = docs_frame(spark, corpus)
     out = suffix_dedup.dedup_texts(docs)
